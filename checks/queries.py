@@ -18,7 +18,7 @@ from ledgerloom.sources.tables import query as sql_query
 from .views import erp, source
 
 DAY = dt.date(1998, 6, 15)
-SITE = params.AsOf(dt.date(2024, 1, 15), dt.datetime(2024, 1, 16, 5, 0))
+SITE = params.AsOf(dt.date(2024, 1, 15), dt.datetime(2024, 1, 16, 6, 0))
 MAIL_DAY = dt.date(2024, 6, 30)
 LOG_TIME = dt.datetime(2024, 1, 31, 1, 0)
 

@@ -74,7 +74,8 @@ def micros_between(start: Column, end: Column) -> Column:
 def hours(micros: Column, decimals: int = 2) -> Column:
     """Hours of a microsecond span, rounded half up on the exact value."""
     unit = 3_600_000_000 // 10**decimals
-    return F.floor((micros + unit // 2) / F.lit(unit)) / F.lit(float(10**decimals))
+    padded = micros + unit // 2
+    return (padded - F.pmod(padded, F.lit(unit))) / unit / F.lit(float(10**decimals))
 
 
 def days_overdue(due: Column, as_of: dt.date) -> Column:

@@ -48,7 +48,7 @@ def header_pending(invoice_status: Column, total: Column, unpaid: Column) -> Col
 
 
 def value_per_unit(value: Column, quantity: Column) -> Column:
-    return F.when(quantity > 0, value / quantity).otherwise(F.lit(0))
+    return F.when(quantity > 0, value / quantity).otherwise(F.lit(0)).cast("decimal(18,4)")
 
 
 def money_label(c: Column, symbol: str = "Q") -> Column:

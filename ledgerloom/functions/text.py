@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import html
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import reference_data as ref
 
@@ -55,6 +54,9 @@ def map_text(df, clean):
 
 # --- control characters and whitespace -------------------------------------------------------
 
+# Any Unicode whitespace, with the four separator controls that also split words.
+BLANK = r"(?U:[\s\x1C-\x1F])"
+
 _CONTROL = {
     # mode: characters removed
     "all": r"[\x00-\x1F\x7F]",
@@ -76,12 +78,16 @@ def strip_control(c: Column, mode: str = "all") -> Column:
     return out
 
 
+def trim_blank(c: Column) -> Column:
+    return F.regexp_replace(c, rf"\A{BLANK}+|{BLANK}+\z", "")
+
+
 def squash_lines(c: Column) -> Column:
     """Collapse whitespace inside each line and drop the blank lines; null becomes ''."""
     text = F.regexp_replace(strip_control(or_blank(c), "xml"), r"\r\n?", "\n")
     text = F.regexp_replace(text, r"(?U)[\s&&[^\n]]+", " ")
     text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
+    return F.regexp_replace(text, r"\A[ \n]+|[ \n]+\z", "")
 
 
 # --- HTML ------------------------------------------------------------------------------------
@@ -90,14 +96,15 @@ def squash_lines(c: Column) -> Column:
 COMMON_ENTITIES = (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'))
 
 
-@F.pandas_udf("string")
-def _decode_entities(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
 def decode_entities(c: Column) -> Column:
     """Decode every HTML entity. Only texts holding an ampersand travel to a Python worker."""
-    return F.coalesce(_decode_entities(F.when(c.contains("&"), c)), c)
+    def unescape(texts: pd.Series) -> pd.Series:  # local, so that workers need no copy of this module
+        from html import unescape as decode
+
+        return texts.map(decode, na_action="ignore")
+
+    decoded = F.pandas_udf(unescape, T.StringType())(F.when(c.contains("&"), c))
+    return F.coalesce(decoded, c)
 
 
 def decode_common_entities(c: Column) -> Column:
@@ -109,10 +116,10 @@ def decode_common_entities(c: Column) -> Column:
 def html_to_lines(c: Column, decode=decode_entities, squeeze_spaces: bool = True) -> Column:
     """HTML to plain lines: decode first, breaks become line ends, then tags go."""
     text = decode(or_blank(c))
-    text = F.regexp_replace(text, r"(?i)<br\s*/?>|</p>", "\n")
+    text = F.regexp_replace(text, rf"(?i)<br{BLANK}*/?>|</p>", "\n")
     text = F.regexp_replace(text, r"<[^>]+>", "")
-    text = F.regexp_replace(text, r"\n\s*\n", "\n")
-    text = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    text = F.regexp_replace(text, rf"\n{BLANK}*\n", "\n")
+    text = trim_blank(text)
     if squeeze_spaces:
         text = F.regexp_replace(text, r" +", " ")
     return text
@@ -120,11 +127,11 @@ def html_to_lines(c: Column, decode=decode_entities, squeeze_spaces: bool = True
 
 def html_to_summary(c: Column, longest: int = 200) -> Column:
     """HTML to one line: tags go first, then five entities are decoded; long text is shortened."""
-    text = F.regexp_replace(or_blank(c), r"<.*?>", "")
-    text = F.regexp_replace(F.regexp_replace(text, r"(?U)\s+", " "), r"^ | $", "")
+    text = F.regexp_replace(or_blank(c), r"(?d)<.*?>", "")
+    text = F.regexp_replace(F.regexp_replace(text, rf"{BLANK}+", " "), r"\A | \z", "")
     text = F.regexp_replace(decode_common_entities(text), r"[\n\r]", " ")
     short = F.concat(F.substring(text, 1, longest - 3), F.lit("..."))
-    return F.regexp_replace(F.when(F.length(text) > longest, short).otherwise(text), r"(?U)^\s+|\s+$", "")
+    return trim_blank(F.when(F.length(text) > longest, short).otherwise(text))
 
 
 def strip_tags(c: Column) -> Column:
