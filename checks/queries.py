@@ -147,32 +147,37 @@ def stock_or_join(t):
 
 @register
 def stock_by_type(t):
-    return stock.stock_by_type(stock.stock_movements(t))
+    return stock.stock_by_type(stock.move_values(t))
 
 
 @register
 def stock_by_type_all_rows(t):
-    return stock.stock_by_type(stock.stock_movements(t), dedup=False)
+    return stock.stock_by_type(stock.stock_movements(t))
+
+
+@register
+def stock_by_type_first_rows(t):
+    return stock.stock_by_type(stock.first_rows(stock.stock_movements(t)))
 
 
 @register
 def stock_by_category(t):
-    return stock.stock_by_category(stock.stock_movements(t))
+    return stock.stock_by_category(stock.move_values(t))
 
 
 @register
 def stock_by_purpose(t):
-    return stock.stock_by_purpose(stock.stock_movements(t))
+    return stock.stock_by_purpose(stock.move_values(t))
 
 
 @register
 def stock_by_month(t):
-    return stock.stock_by_month(stock.stock_movements(t))
+    return stock.stock_by_month(stock.move_values(t))
 
 
 @register
 def stock_kpis(t):
-    return stock.stock_kpis(stock.stock_movements(t))
+    return stock.stock_kpis(stock.move_documents(t))
 
 
 @register
@@ -677,7 +682,7 @@ def group_counts(t):
 
 @register
 def viewer_kpis(t):
-    fact = stock.counted_rows(stock.stock_movements(t))
+    fact = stock.move_values(t)
     by = F.col("movement_type")
     return fact.agg(
         F.count(F.lit(1)).alias("movements"), F.sum("total_value").alias("total_value"),

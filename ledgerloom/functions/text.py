@@ -82,12 +82,17 @@ def trim_blank(c: Column) -> Column:
     return F.regexp_replace(c, rf"\A{BLANK}+|{BLANK}+\z", "")
 
 
+# Anything ``squash_lines`` would change: control characters, whitespace that is not one inner space.
+_UNTIDY = r"[\x00-\x1F]|(?U:[\s&&[^ ]])|  |\A | \z"
+
+
 def squash_lines(c: Column) -> Column:
     """Collapse whitespace inside each line and drop the blank lines; null becomes ''."""
-    text = F.regexp_replace(strip_control(or_blank(c), "xml"), r"\r\n?", "\n")
+    text = F.regexp_replace(strip_control(c, "xml"), r"\r\n?", "\n")
     text = F.regexp_replace(text, r"(?U)[\s&&[^\n]]+", " ")
     text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"\A[ \n]+|[ \n]+\z", "")
+    text = F.regexp_replace(text, r"\A[ \n]+|[ \n]+\z", "")
+    return or_blank(F.when(F.rlike(c, F.lit(_UNTIDY)), text).otherwise(c))
 
 
 # --- HTML ------------------------------------------------------------------------------------

@@ -86,14 +86,16 @@ def vendor_bills(t: Mapping[str, DataFrame], headers: DataFrame) -> DataFrame:
         t["product_product"].select("id", "product_tmpl_id", "default_code")
         .join(t["product_template"].select(F.col("id").alias("product_tmpl_id"), F.col("name").alias("_name")),
               "product_tmpl_id", "left")
+        .select("id", squash_lines(localized_nonblank("_name")).alias("product_name"),
+                squash_lines(F.col("default_code")).alias("product_code"))
     )
     lines = t["account_move_line"].select(
-        F.col("id").alias("line_id"), F.col("move_id").alias("bill_id"), F.col("name").alias("line_label"),
-        "display_type", "quantity", "price_unit", "price_subtotal", "price_total", F.col("ref").alias("line_ref"),
-        "sequence", "product_id")
-    lines = look_up(lines, products, "product_id", "product", {"_name": "_name", "default_code": "product_code"})
-    df = headers.join(lines, "bill_id", "left").withColumn("product_name", localized_nonblank("_name"))
-    return df.withColumns({c: squash_lines(F.col(c)) for c in LINE_TEXT}).drop("_name", "product_id")
+        F.col("id").alias("line_id"), F.col("move_id").alias("bill_id"), squash_lines(F.col("name")).alias("line_label"),
+        "display_type", "quantity", "price_unit", "price_subtotal", "price_total",
+        squash_lines(F.col("ref")).alias("line_ref"), "sequence", "product_id")
+    lines = look_up(lines, products, "product_id", "product",
+                    {"product_name": "product_name", "product_code": "product_code"}).drop("product_id")
+    return headers.join(lines, "bill_id", "left").na.fill("", list(LINE_TEXT))
 
 
 def bill_order() -> list[Column]:

@@ -86,10 +86,11 @@ def find_messages(messages: DataFrame, terms: DataFrame, boxes: DataFrame, prese
     wanted = terms.agg(F.collect_list(F.struct("query_id", "term_rank", "term")))
     kept = messages.join(boxes.select("mailbox", "priority"), "mailbox")
     text = haystack("subject", "body")
-    tested = kept.withColumns({"_text": text, "_terms": wanted.scalar()})
+    tested = kept.withColumn("_terms", wanted.scalar())
+    # The outer array has one element: its lambda variable holds the lowered text, made once per row.
+    matches = F.transform(F.array(text), lambda x: F.filter("_terms", lambda t: F.contains(x, t["term"])))
     hits = tested.select(
-        "id", "mailbox", "priority", "sender", "subject", "received",
-        F.explode(F.filter("_terms", lambda t: F.contains(F.col("_text"), t["term"]))).alias("_hit"))
+        "id", "mailbox", "priority", "sender", "subject", "received", F.explode(matches[0]).alias("_hit"))
     hits = hits.select(
         F.col("_hit.query_id").alias("query_id"), F.col("_hit.term_rank").alias("term_rank"),
         F.col("_hit.term").alias("matched_term"), "id", F.col("mailbox").alias("searched_mailbox"), "priority",
