@@ -371,18 +371,17 @@ def task_po_pending(t):
 
 @register
 def project_hierarchy(t):
-    return projects.project_hierarchy(projects.project_tasks(t), DAY)
+    return projects.project_hierarchy(t, DAY)
 
 
 @register
 def open_project_hierarchy(t):
-    return projects.project_hierarchy(projects.project_tasks(t), DAY, only_open=True,
-                                      now=dt.datetime(1998, 6, 15, 9, 30))
+    return projects.project_hierarchy(t, DAY, only_open=True, now=dt.datetime(1998, 6, 15, 9, 30))
 
 
 @register
 def hierarchy_orphans(t):
-    return projects.hierarchy_orphans(projects.project_tasks(t), only_open=True)
+    return projects.hierarchy_orphans(projects.plan_tasks(t), only_open=True)
 
 
 @register
@@ -392,20 +391,18 @@ def gantt_rows(t):
 
 @register
 def project_summary(t):
-    return projects.project_summary(projects.project_tasks(t), projects.task_orders(t))
+    return projects.project_summary(t)
 
 
 @register
 def project_summary_total(t):
-    return projects.project_summary_total(
-        projects.project_summary(projects.project_tasks(t), projects.task_orders(t))).withColumn(
+    return projects.project_summary_total(projects.project_summary(t)).withColumn(
         "avg_progress", F.round("avg_progress", 6))
 
 
 @register
 def project_order_refs(t):
-    tasks = projects.project_tasks(t)
-    return projects.project_order_refs(tasks, projects.task_orders(t))
+    return projects.project_order_refs(projects.plan_tasks(t), projects.task_orders(t))
 
 
 @register
@@ -416,7 +413,7 @@ def task_reference_list(t):
 
 @register
 def plan_stats(t):
-    return projects.plan_stats(projects.project_tasks(t), projects.task_orders(t), DAY)
+    return projects.plan_stats(t, DAY)
 
 
 # --- attendance ------------------------------------------------------------------------------

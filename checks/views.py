@@ -291,23 +291,33 @@ def with_views(body: str) -> str:
 SPREAD = ("customer", "documents", "events", "lineitem", "orders", "pages", "conversations")
 
 
-def _read(spark: SparkSession, folder: str, name: str) -> str:
-    hint = f"/*+ REPARTITION({spark.sparkContext.defaultParallelism}) */ " if name in SPREAD else ""
-    return f"SELECT {hint}* FROM parquet.`{folder}/{name}.parquet`"
+_tables: dict[tuple[str, str], Tables] = {}
+_sources: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.sql(_read(spark, folder, name))
+    """A test table. Its plan is kept per application, so that its footer is read only once."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _sources:
+        df = spark.read.parquet(f"{folder}/{name}.parquet")
+        _sources[key] = df.repartition(spark.sparkContext.defaultParallelism) if name in SPREAD else df
+    return _sources[key]
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One view over the test tables of a folder."""
     text = VIEWS[name]
-    tables = [s for s in SOURCES if re.search(rf"\b{s}\b", text)]
-    ctes = ", ".join(f"{s} AS ({_read(spark, folder, s)})" for s in tables)
-    return spark.sql(f"WITH {ctes} {text}" if ctes else text)
+    for table in SOURCES:
+        reads = rf"\b(FROM|JOIN)\s+{table}\b"
+        if re.search(reads, text):
+            source(spark, folder, table).createOrReplaceTempView(f"ledgerloom_{table}")
+            text = re.sub(reads, rf"\1 ledgerloom_{table}", text)
+    return spark.sql(text)
 
 
 def erp(spark: SparkSession, folder: str) -> Tables:
-    """All ERP tables over the test tables of a folder."""
-    return Tables(lambda name: view(spark, folder, name), VIEWS)
+    """All ERP tables over the test tables of a folder (their plans, kept per application)."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _tables:
+        _tables[key] = Tables(lambda name: view(spark, folder, name), VIEWS)
+    return _tables[key]

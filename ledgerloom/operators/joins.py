@@ -15,10 +15,21 @@ def prefixed(df: DataFrame, prefix: str, columns: dict[str, str] | list[str], ke
 
 
 def look_up(fact: DataFrame, dim: DataFrame, fk: str | Column, prefix: str,
-            columns: dict[str, str] | list[str], key: str = "id") -> DataFrame:
-    """Left join one role of a dimension and drop its key. Spark picks the strategy by size."""
+            columns: dict[str, str] | list[str], key: str = "id", spread_nulls_by: str | None = None) -> DataFrame:
+    """Left join one role of a dimension and drop its key. Spark picks the strategy by size.
+
+    Rows without a foreign key would all meet in one shuffle partition. With ``spread_nulls_by``
+    they get stand-in keys, made from that column, that no dimension row has.
+    """
     side = prefixed(dim, prefix, columns, key)
     fk = F.col(fk) if isinstance(fk, str) else fk
+    if spread_nulls_by:
+        number = F.pmod(F.xxhash64(spread_nulls_by), F.lit(2**20))
+        if side.schema[f"{prefix}_key"].dataType.typeName() == "string":
+            stand_in = F.concat(F.lit("\x00"), number.cast("string"))
+        else:
+            stand_in = number - F.lit(2**62)
+        fk = F.coalesce(fk, stand_in)
     return fact.join(side, fk == F.col(f"{prefix}_key"), "left").drop(f"{prefix}_key")
 
 

@@ -88,8 +88,8 @@ def task_po_pending(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> Data
     return sums.join(refs, "task_id", "left").join(money, "task_id", "left")
 
 
-def project_tasks(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFrame:
-    """One row per active task of an active project, with everything the plan shows."""
+def plan_tasks(t: Mapping[str, DataFrame]) -> DataFrame:
+    """Active tasks of active projects with project and status, without dependencies or money."""
     projects = t["project_project"].filter("active").select(
         F.col("id").alias("project_id"), localized_only("name").alias("project_name"),
         F.col("description").alias("project_description"), F.col("date_start").alias("project_start_date"),
@@ -100,8 +100,28 @@ def project_tasks(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFr
         F.col("fecha_inicio").alias("task_start_date"), F.col("date_deadline").alias("task_end_date"),
         F.col("date_end").alias("actual_end_date"), "stage_id", "is_closed",
         F.col("progress").alias("progress_percentage"), "planned_hours", "effective_hours", "remaining_hours")
-    df = tasks.join(projects, "project_id")
-    df = look_up(df, t["project_task_type"], "stage_id", "stage", {"name": "_stage"})
+    stages = t["project_task_type"].select("id", localized_only("name").alias("status"))
+    df = look_up(tasks.join(projects, "project_id"), stages, "stage_id", "stage", {"status": "status"})
+    return df.withColumns({
+        "status": or_blank(F.col("status")),
+        "task_level": F.when(F.col("parent_id").isNull(), 0).otherwise(1),
+    }).drop("stage_id")
+
+
+def with_order_money(tasks: DataFrame, orders: DataFrame) -> DataFrame:
+    """Adds the number of orders and the open amount of each task; ``orders`` is ``task_orders``."""
+    sums = orders.groupBy("task_id").agg(
+        F.count(F.lit(1)).alias("po_count"), F.sum("pending_gtq").alias("total_po_amount"),
+        F.count_if(F.col("currency") == "USD").alias("usd_orders"))
+    return tasks.join(sums, "task_id", "left").withColumns({
+        "po_count": F.coalesce("po_count", F.lit(0)),
+        "usd_orders": F.coalesce("usd_orders", F.lit(0)),
+        "total_po_amount": zero(F.col("total_po_amount")).cast(AMOUNT),
+    })
+
+
+def project_tasks(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFrame:
+    """One row per active task of an active project, with everything the plan shows."""
     edges = task_dependencies(t)
     details = (
         list_cell(task_people(t), ["task_id"], "person", "assigned_to"),
@@ -109,15 +129,14 @@ def project_tasks(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFr
         list_cell(edges, ["task_id"], "depends_on", "dependency_ids", separator=","),
         task_po_pending(t, rates),
     )
+    df = plan_tasks(t)
     for side in details:
         df = df.join(side, "task_id", "left")
     return df.withColumns({
-        "status": or_blank(localized_only("_stage")),
-        "task_level": F.when(F.col("parent_id").isNull(), 0).otherwise(1),
         "dependency_count": F.coalesce("dependency_count", F.lit(0)),
         "po_count": F.coalesce("po_count", F.lit(0)),
         "total_po_amount": zero(F.col("total_po_amount")).cast(AMOUNT),
-    }).drop("_stage", "stage_id")
+    })
 
 
 def plan_order() -> list[Column]:
@@ -132,8 +151,12 @@ def open_tasks(tasks: DataFrame) -> DataFrame:
     return tasks.filter(~is_completed(F.col("status")))
 
 
+def _due_of(c: Column) -> Column:
+    return F.coalesce(c, F.lit(ref.FAR_FUTURE).cast("date"))
+
+
 def _due(c: str) -> Column:
-    return F.coalesce(F.col(c), F.lit(ref.FAR_FUTURE).cast("date"))
+    return _due_of(F.col(c))
 
 
 def _remaining(as_of: dt.date, now: dt.datetime | None) -> Column:
@@ -162,43 +185,51 @@ def _headers(tasks: DataFrame, base_url: str) -> DataFrame:
     )
 
 
-def _task_rows(tasks: DataFrame, level: int, as_of: dt.date, now, base_url: str) -> DataFrame:
-    kind, mark = ("Task", "") if level == 1 else ("Subtask", "  → ")
+def _task_rows(tasks: DataFrame, as_of: dt.date, now, base_url: str) -> DataFrame:
     left = _remaining(as_of, now)
-    name = F.coalesce("task_name", F.concat(F.lit(f"{kind} "), F.col("task_id").cast("string")))
+    top = F.col("parent_id").isNull()
+    kind = F.when(top, "Task").otherwise("Subtask")
+    name = F.coalesce("task_name", F.concat(kind, F.lit(" "), F.col("task_id").cast("string")))
     return tasks.select(
-        "project_id", F.lit(None).cast("date").alias("project_order"), "parent_order",
-        "root_id", F.lit(level).alias("level"), F.col("task_id").cast("string").alias("id"),
-        F.concat(F.lit(mark), name).alias("name"), html_to_summary(F.col("task_description")).alias("description"),
+        "project_id", "project_order", "parent_order", "root_id",
+        F.when(top, 1).otherwise(2).alias("level"), F.col("task_id").cast("string").alias("id"),
+        F.concat(F.when(top, "").otherwise("  → "), name).alias("name"),
+        html_to_summary(F.col("task_description")).alias("description"),
         F.col("task_start_date").alias("start_date"), F.col("task_end_date").alias("end_date"),
         inclusive_days(F.col("task_start_date"), F.col("task_end_date")).alias("days"),
         left.alias("remaining_days"), or_blank(F.col("assigned_to")).alias("assigned_to"),
         or_blank(F.col("dependencies")).alias("dependencies"), F.col("status"),
         F.when(F.col("po_count") > 0, F.col("po_count")).alias("po_count"),
         money_label(F.col("total_po_amount")).alias("pending"), or_blank(F.col("po_references")).alias("po_references"),
-        F.lit(kind).alias("type"), F.col("task_end_date").isNotNull().alias("has_end_date"),
+        kind.alias("type"), F.col("task_end_date").isNotNull().alias("has_end_date"),
         schedule_class(left, F.col("status")).alias("schedule_class"),
         erp_link(base_url, F.col("task_id"), project=False, project_id=F.col("project_id")).alias("link"),
     )
 
 
-def project_hierarchy(tasks: DataFrame, as_of: dt.date, *, only_open: bool = False, now: dt.datetime | None = None,
-                      base_url: str = ERP_URL) -> DataFrame:
+def project_hierarchy(t: Mapping[str, DataFrame], as_of: dt.date, *, only_open: bool = False,
+                      now: dt.datetime | None = None, base_url: str = ERP_URL) -> DataFrame:
     """Projects, their root tasks and the children of these, with the keys that put them in order.
 
     Two levels are shown: a task below a child, or one whose parent is not in the frame or in
     another project, has no row (``hierarchy_orphans`` counts them). With ``now`` the days left
     are counted from that instant and rounded down; otherwise dates are compared.
+
+    The full task rows are made once; parents, project order and project sums come from narrow
+    frames, and no window gathers the tasks of a project.
     """
-    shown = open_tasks(tasks) if only_open else tasks
-    roots = shown.filter("parent_id is null").withColumns({"parent_order": _due("task_end_date"), "root_id": F.col("task_id")})
-    parents = roots.select("project_id", F.col("task_id").alias("parent_id"), "parent_order", "root_id")
-    children = shown.filter("parent_id is not null").join(parents, ["project_id", "parent_id"])
-    headers = _headers(shown, base_url)
-    order = headers.select("project_id", F.col("project_order").alias("_order"))
-    rows = headers.unionByName(_task_rows(roots, 1, as_of, now, base_url)).unionByName(
-        _task_rows(children, 2, as_of, now, base_url))
-    return rows.join(order, "project_id").withColumn("project_order", F.col("_order")).drop("_order")
+    keep = open_tasks if only_open else (lambda df: df)
+    narrow = keep(plan_tasks(t))
+    parents = narrow.filter("parent_id is null").select(
+        F.col("project_id").alias("_project"), F.col("task_id").alias("_parent"), _due("task_end_date").alias("_parent_end"))
+    order = narrow.groupBy("project_id").agg(_due_of(F.min("task_end_date")).alias("project_order"))
+    tasks = keep(project_tasks(t)).join(
+        parents, (F.col("project_id") == F.col("_project")) & (F.col("parent_id") == F.col("_parent")), "left")
+    shown = tasks.filter("parent_id is null or _parent is not null").join(order, "project_id").withColumns({
+        "root_id": F.coalesce("parent_id", "task_id"),
+        "parent_order": F.coalesce("_parent_end", _due("task_end_date"))})
+    headers = _headers(with_order_money(narrow, task_orders(t)), base_url)
+    return headers.unionByName(_task_rows(shown, as_of, now, base_url))
 
 
 def hierarchy_order() -> list[Column]:
@@ -243,8 +274,10 @@ def explode_list(df: DataFrame, column: str, name: str, separator: str = ", ") -
     return df.filter(F.col(column).isNotNull()).withColumn(name, F.explode(F.split(column, separator)))
 
 
-def project_summary(tasks: DataFrame, orders: DataFrame, base_url: str = ERP_URL) -> DataFrame:
+def project_summary(t: Mapping[str, DataFrame], base_url: str = ERP_URL) -> DataFrame:
     """Progress, hours, open money and orders per project."""
+    narrow, orders = plan_tasks(t), task_orders(t)
+    tasks = with_order_money(narrow, orders)
     keys = ("project_id", "project_name", "project_start_date", "project_end_date")
     done = F.count_if(is_completed(F.col("status")))
     sums = tasks.groupBy(*keys).agg(
@@ -257,7 +290,7 @@ def project_summary(tasks: DataFrame, orders: DataFrame, base_url: str = ERP_URL
         mean_or_zero(F.col("progress_percentage")).alias("avg_progress"),
         money_label(F.sum("total_po_amount")).alias("pending"),
     )
-    refs = list_cell(project_order_refs(tasks, orders), ["project_id"], "po_reference", "po_references", size="po_ref_count")
+    refs = list_cell(project_order_refs(narrow, orders), ["project_id"], "po_reference", "po_references", size="po_ref_count")
     return sums.join(refs, "project_id", "left").select(
         "project_id",
         F.coalesce("project_name", F.concat(F.lit("Project "), F.col("project_id").cast("string"))).alias("project_name"),
@@ -278,8 +311,11 @@ def project_summary_total(summary: DataFrame) -> DataFrame:
         F.avg("avg_progress").alias("avg_progress"))
 
 
-def plan_stats(tasks: DataFrame, orders: DataFrame, as_of: dt.date, now: dt.datetime | None = None) -> DataFrame:
+def plan_stats(t: Mapping[str, DataFrame], as_of: dt.date, now: dt.datetime | None = None) -> DataFrame:
     """Counts over the whole plan, in one row: orders, completion, missing dates, due and overdue."""
+    narrow, orders = plan_tasks(t), task_orders(t)
+    waiting = task_dependencies(t).select("task_id").distinct().withColumn("_waits", F.lit(True))
+    tasks = with_order_money(narrow, orders).join(waiting, "task_id", "left")
     left = _remaining(as_of, now)
     done = is_completed(F.col("status"))
     main = tasks.agg(
@@ -287,17 +323,17 @@ def plan_stats(tasks: DataFrame, orders: DataFrame, as_of: dt.date, now: dt.date
         F.count(F.lit(1)).alias("tasks"),
         F.count_if(F.col("po_count") > 0).alias("tasks_with_orders"),
         F.sum("total_po_amount").alias("total_po_amount"),
-        F.count_if(F.contains("currencies_used", F.lit("USD"))).alias("tasks_with_usd"),
+        F.count_if(F.col("usd_orders") > 0).alias("tasks_with_usd"),
         F.count_if(~done).alias("open_tasks"),
         F.count_if(done).alias("completed_tasks"),
         percent_label(F.count_if(done), F.count(F.lit(1))).alias("completion_rate"),
         F.count_if(F.col("task_start_date").isNull()).alias("without_start"),
         F.count_if(F.col("task_end_date").isNull()).alias("without_end"),
-        F.count_if(F.col("dependency_count") > 0).alias("with_dependencies"),
+        F.count_if("_waits").alias("with_dependencies"),
         F.count_if(is_blocked(F.col("status"))).alias("blocked"),
         F.count_if(~done & (left < 0)).alias("overdue"),
         F.count_if(is_overdue(left, F.col("is_closed"))).alias("overdue_open"),
         F.count_if(~done & left.between(0, 3)).alias("due_soon"),
     )
-    refs = orders.join(tasks.select("task_id"), "task_id").agg(F.countDistinct("po_reference"))
+    refs = orders.join(narrow.select("task_id"), "task_id").agg(F.countDistinct("po_reference"))
     return main.withColumn("unique_order_refs", refs.scalar())
