@@ -68,4 +68,4 @@ def mean_or_zero(c: Column) -> Column:
 def percent_label(part: Column, whole: Column) -> Column:
     """``12.5%``, rounded half up; ``0%`` when there is nothing to divide by."""
     tenths = F.floor(part.cast("double") * 1000 / F.nullif(whole, F.lit(0)) + 0.5) / 10
-    return F.coalesce(F.concat(F.format_string("%.1f", tenths), F.lit("%")), F.lit("0%"))
+    return F.when(whole != 0, F.concat(F.format_string("%.1f", tenths), F.lit("%"))).otherwise("0%")
