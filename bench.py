@@ -32,6 +32,8 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
+        # The test tables are small: partitions of less than a megabyte still deserve a core each.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
