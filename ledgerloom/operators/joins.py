@@ -14,14 +14,31 @@ def prefixed(df: DataFrame, prefix: str, columns: dict[str, str] | list[str], ke
     return df.select(F.col(key).alias(f"{prefix}_key"), *[F.col(c).alias(n) for c, n in names.items()])
 
 
+def table_bytes(df: DataFrame) -> int:
+    """Size of the tables a frame reads, as Spark measures them (pushed-down columns not deducted)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Mark a frame for broadcast when all tables it reads fit the session's broadcast limit.
+
+    For frames whose joins only add columns to one of their tables. Spark's own estimate of such a
+    frame multiplies the sizes of its tables and would shuffle the fact instead. A frame over the
+    limit stays as it is: Spark then joins by shuffle, with skewed partitions split.
+    """
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if table_bytes(df) <= limit else df
+
+
 def look_up(fact: DataFrame, dim: DataFrame, fk: str | Column, prefix: str,
             columns: dict[str, str] | list[str], key: str = "id", spread_nulls_by: str | None = None) -> DataFrame:
-    """Left join one role of a dimension and drop its key. Spark picks the strategy by size.
+    """Left join one role of a dimension and drop its key; a small dimension is broadcast.
 
     Rows without a foreign key would all meet in one shuffle partition. With ``spread_nulls_by``
     they get stand-in keys, made from that column, that no dimension row has.
     """
-    side = prefixed(dim, prefix, columns, key)
+    side = broadcast_if_small(prefixed(dim, prefix, columns, key))
     fk = F.col(fk) if isinstance(fk, str) else fk
     if spread_nulls_by:
         number = F.pmod(F.xxhash64(spread_nulls_by), F.lit(2**20))

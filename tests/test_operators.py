@@ -138,3 +138,19 @@ def test_facets_and_search(spark):
     assert ids(explore.search(df, "A X", ["v", "t"])) == [1]
     assert ids(explore.search(df, "", ["v"])) == [1, 2, 3]
     assert [r["value"] for r in explore.facet_values(df, "p").collect()] == ["a", "c"]
+
+
+def test_broadcast_depends_on_size(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(5000).selectExpr("id", "uuid() AS name").write.parquet(path)
+    dim, fact = spark.read.parquet(path), spark.range(10).withColumnRenamed("id", "fk")
+    size = joins.table_bytes(dim)
+    assert size > 5000
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, expected in ((size, True), (size - 1, False)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit))
+            plan = joins.look_up(fact, dim, "fk", "d", {"name": "name"})._jdf.queryExecution().analyzed().toString()
+            assert ("strategy=broadcast" in plan) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
