@@ -638,10 +638,10 @@ def explore_page(t):
 
 @register
 def explore_deep_page(t):
-    """A page beyond the prefix limit: rows are numbered in parallel, by month of the order date."""
+    """Row numbers as deep pages use them; a bucket holds at most one date and a slice of the ids."""
     df = order_list(t).select("id", "date_order", "total_amount")
-    return explore.numbered(df, [], [F.desc("date_order"), F.desc("id")], F.date_trunc("month", F.col("date_order")),
-                            "row_no", descending=True)
+    bucket = F.struct("date_order", F.floor(F.col("id") / 10_000).alias("slice"))
+    return explore.numbered(df, [], [F.desc("date_order"), F.desc("id")], bucket, "row_no", descending=True)
 
 
 @register

@@ -2,8 +2,9 @@
 
 A window partitioned by a key pulls every row of that key into one task. Where a key can be hot,
 the operators here cut each key by a *bucket* — any expression that never decreases along the
-order, such as the hour of a timestamp or the first characters of a name. Windows then run per
-(key, bucket), and one summary row per bucket carries what crosses a bucket border.
+order, such as the hour of a timestamp. Windows then run per (key, bucket), and one summary row
+per bucket carries what crosses a bucket border. Where many rows can share the leading sort value,
+a struct of that value and a slice of the unique tie-break keeps every bucket bounded.
 """
 
 from __future__ import annotations

@@ -139,18 +139,18 @@ def trailing_range(as_of: AsOf, days: int = 30) -> tuple[dt.date, dt.date]:
 
 def attendance_sessions(t: Mapping[str, DataFrame], as_of: AsOf, *, days: int = 30,
                         departments: Departments = None, breaks: BreakRule = BreakRule(),
-                        open_hours: str = "add") -> DataFrame:
+                        open_hours: str = "add", cut: str = "hour") -> DataFrame:
     """Per employee and local day: hours, break hours, first entry, last exit, still inside.
 
     ``open_hours='add'`` adds the running session to the closed ones on the report date only;
     ``'replace'`` makes the running session the total of any day that ends with one;
-    ``'ignore'`` counts closed sessions only.
+    ``'ignore'`` counts closed sessions only. ``cut`` is the unit a person's day is divided by
+    while gaps are found; a finer one spreads a badge with very many records further.
     """
     first, last = trailing_range(as_of, days)
     sessions = _sessions(t, as_of.tz, first, last)
-    # A person's day is cut by hour, so that even a shared badge with many records is spread out.
     chained = with_next(sessions, ["employee_id", "work_date"], ["check_in", "id"], "check_in",
-                        F.date_trunc("hour", F.col("check_in")), "next_in")
+                        F.date_trunc(cut, F.col("check_in")), "next_in")
     gap = micros_between(F.col("check_out"), F.col("next_in"))
     counts = gap.isNotNull()
     if breaks.shortest is not None:
