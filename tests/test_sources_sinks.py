@@ -64,7 +64,7 @@ def test_file_listing_and_logs(spark, tmp_path):
 
 
 def test_report_sections(spark, tmp_path):
-    df = spark.createDataFrame([(1, 'say "hi", you', None)], "id int, t string, n string")
+    df = spark.createDataFrame([(1, 'say "hi", you', None)], "id int, t string, n string").coalesce(1)
     reports.write_report({"one": df, "two": df.drop("n")}, str(tmp_path / "csv"), "csv")
     part = next(p for p in (tmp_path / "csv" / "one").iterdir() if p.suffix == ".csv")
     assert part.read_text().splitlines()[0] == '"id","t","n"' and '"say ""hi"", you"' in part.read_text()
