@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact_dedup, packing, simhash
-from ledgerloom.llm.common import table
+from ledgerloom.llm import (
+    decontaminate, exact_dedup, kneser_ney, language, line_dedup, packing, ppm, simhash, substring, toxicity,
+)
+from ledgerloom.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Words of a shingle and bits of distance of the near-duplicate fingerprints.
 SHINGLE, RADIUS = 3, 2
+#: Words of a window that must not repeat; lines of a run that must not.
+WINDOW, MIN_LINES = 35, 2
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -21,6 +25,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 5) == 0
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -29,11 +38,38 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.linked(table(spark, sf_dir, "documents"), SHINGLE, RADIUS)
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(table(spark, sf_dir, "documents"), remainder("doc_id", 5) == 1)
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.without_repeats(table(spark, sf_dir, "documents"), WINDOW).drop("kept")
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(table(spark, sf_dir, "documents"), remainder("doc_id", 4) == 2)
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"), MIN_LINES)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 1024, 0)
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op2_exact_dedup, op3_simhash, op8_packing)}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (
+    op1_toxicity, op2_exact_dedup, op3_simhash, op4_lm_score, op5_substring_dedup, op6_language, op7_line_dedup, op8_packing,
+    op9_quality, op10_decontamination,
+)}
 
 SQL: dict[str, str] = {
     "op2_exact_dedup": r"""
@@ -42,4 +78,40 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM bodies WINDOW same AS (PARTITION BY body)""",
+    "op5_substring_dedup": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+            FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)),
+        starts AS (
+            SELECT doc_id, pos, string_agg(word, ' ') OVER ahead AS run, count(*) OVER ahead AS n
+            FROM words WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+        again AS (
+            SELECT doc_id, pos FROM starts WHERE n = 35 QUALIFY count(*) OVER (PARTITION BY run) > 1),
+        marked AS (
+            SELECT w.doc_id, w.word, w.pos,
+                   max(a.pos) OVER (PARTITION BY w.doc_id ORDER BY w.pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+            FROM words w LEFT JOIN again a ON a.doc_id = w.doc_id AND a.pos = w.pos),
+        sums AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+                   string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept
+            FROM marked GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN sums USING (doc_id)""",
+    "op7_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+        starts AS (
+            SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS line2 FROM lines),
+        later AS (
+            SELECT doc_id, pos FROM starts WHERE line2 IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, pos) > 1),
+        marked AS (
+            SELECT l.doc_id, l.line, l.pos, a.pos IS NOT NULL OR b.pos IS NOT NULL AS gone
+            FROM lines l LEFT JOIN later a ON a.doc_id = l.doc_id AND a.pos = l.pos
+            LEFT JOIN later b ON b.doc_id = l.doc_id AND b.pos = l.pos - 1)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
 }
