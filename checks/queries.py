@@ -22,10 +22,9 @@ SITE = params.AsOf(dt.date(2024, 1, 15), dt.datetime(2024, 1, 16, 6, 0))
 MAIL_DAY = dt.date(2024, 6, 30)
 LOG_TIME = dt.datetime(2024, 1, 31, 1, 0)
 
-# Search words that occur in the test texts, with a dictionary and rules that fire on them.
-SEARCHES = (("s1", "the ouen Verein and les"), ("s2", "tion hidráulico eau ouen"), ("s3", "Unter der VEREIN torre 3"))
-SEARCH_WORDS = {"ouen": "thre", "verein": "eaux", "eau": "ouen"}
-SEARCH_RULES = ((("hidráulico", "hydraulic"), ("ung", "plumbing")), (("torre 3",), ("ther", "eaux")))
+# A dictionary and rules that fire on the texts of `benchmark`, which are the queries of the search.
+SEARCH_WORDS = {"hein": "thre", "sich": "eaux", "pour": "ouen"}
+SEARCH_RULES = ((("therble", "eaux"), ("ung", "plumbing")), (("that thi",), ("ther", "eaux")))
 PRIORITY = ("src3@example.com", "user@example.com", "ghost@example.com")
 
 EXPECTED_OUTPUTS = (
@@ -502,20 +501,31 @@ def parameterised_scan(t, spark, folder):
 
 # --- message search --------------------------------------------------------------------------
 
-def search_input(spark):
-    queries = search._rows(spark, ("query_id", "query"), SEARCHES)
-    return search.search_terms(queries, 5, translations=SEARCH_WORDS, rules=SEARCH_RULES)
+def search_input(spark, folder, mode):
+    """The terms of every benchmark text, as many as the depth of the mode allows."""
+    queries = source(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return search.search_terms(queries, params.SEARCH_PRESETS[mode].max_terms, translations=SEARCH_WORDS, rules=SEARCH_RULES)
 
 
-def searched(t, spark, mode="NORMAL"):
+def searched(t, spark, folder, mode="NORMAL"):
     preset = params.SEARCH_PRESETS[mode]
     boxes = search.mailboxes(t["messages"], PRIORITY, preset.max_mailboxes)
-    return search.find_messages(t["messages"], search_input(spark), boxes, preset, MAIL_DAY)
+    return search.find_messages(t["messages"], search_input(spark, folder, mode), boxes, preset, MAIL_DAY)
 
 
 @register
-def search_terms(t, spark):
-    return search_input(spark)
+def search_terms(t, spark, folder):
+    return search_input(spark, folder, "NORMAL")
+
+
+@register
+def search_terms_fast(t, spark, folder):
+    return search_input(spark, folder, "FAST")
+
+
+@register
+def search_terms_deep(t, spark, folder):
+    return search_input(spark, folder, "DEEP")
 
 
 @register
@@ -524,23 +534,28 @@ def mailboxes(t):
 
 
 @register
-def message_search(t, spark):
-    return search.message_search(searched(t, spark))
+def message_search(t, spark, folder):
+    return search.message_search(searched(t, spark, folder))
+
+
+@register
+def message_search_fast(t, spark, folder):
+    return searched(t, spark, folder, "FAST")
 
 
 @register
-def message_search_deep(t, spark):
-    return searched(t, spark, "DEEP")
+def message_search_deep(t, spark, folder):
+    return searched(t, spark, folder, "DEEP")
 
 
 @register
-def search_digest(t, spark):
-    return search.search_digest(searched(t, spark))
+def search_digest(t, spark, folder):
+    return search.search_digest(searched(t, spark, folder))
 
 
 @register
-def recent_messages(t, spark):
-    return search.recent_messages(searched(t, spark))
+def recent_messages(t, spark, folder):
+    return search.recent_messages(searched(t, spark, folder))
 
 
 # --- text ------------------------------------------------------------------------------------

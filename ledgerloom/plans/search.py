@@ -7,11 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import reference_data as ref
 from ..functions.dates import day
 from ..functions.text import haystack
-from ..operators.groups import labelled_groups
 from ..operators.ordered import one_per_key, ranked_union, top_n_per_key
 from ..params import SearchPreset
 
@@ -74,31 +74,67 @@ def mailbox_order() -> list[Column]:
     return [F.asc_nulls_last("priority"), F.col("mailbox")]
 
 
+def term_hits(rows: DataFrame, text: Column, terms: DataFrame, block: int = 50_000) -> DataFrame:
+    """One row per row of ``rows`` and distinct ``term`` that its text contains, added as column ``term``.
+
+    Terms are a query set against all rows: they go out in blocks of about ``block``, each as one automaton that finds
+    all its terms in a single pass over a text, so the work does not grow with rows times terms. Texts are searched whole.
+    """
+    distinct = terms.select("term").filter("term <> ''").distinct()
+    blocks = max(1, -(-distinct.count() // block))
+    kept, out = rows.columns, rows.withColumn("_text", text)
+    schema = T.StructType([*rows.schema.fields, T.StructField("term", T.StringType())])
+
+    def one(number: int) -> DataFrame:
+        words = [r["term"] for r in distinct.filter(F.pmod(F.xxhash64("term"), F.lit(blocks)) == number).collect()]
+        return out.mapInArrow(_finder(sorted(words), kept), schema)
+
+    found = one(0)
+    for number in range(1, blocks):
+        found = found.unionByName(one(number))
+    return found
+
+
+def _finder(words: list[str], kept: list[str]):
+    """Rows repeated for each of the words that their text contains."""
+    def find(batches):
+        import ahocorasick
+        import pyarrow as pa
+
+        automaton = ahocorasick.Automaton()
+        for word in words:
+            automaton.add_word(word, word)
+        if words:
+            automaton.make_automaton()
+        for batch in batches:
+            at, hits = [], []
+            for row, text in enumerate(batch.column("_text").to_pylist()):
+                seen = {word for _, word in automaton.iter(text)} if words else ()
+                at += [row] * len(seen)
+                hits += sorted(seen)
+            some = batch.select(kept).take(pa.array(at, type=pa.int64()))
+            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(hits, type=pa.string())], names=[*kept, "term"])
+
+    return find
+
+
 def find_messages(messages: DataFrame, terms: DataFrame, boxes: DataFrame, preset: SearchPreset,
                   as_of: dt.date) -> DataFrame:
     """Newest messages per (query, mailbox, term) that contain the term, each message once per query.
 
-    The terms of all queries form one short array that every task holds, so that messages are
-    tested where they lie and only hits are shuffled. Texts are searched whole.
+    Messages are tested where they lie. The newest ones per mailbox and term are chosen before the queries of a term come
+    in, so a term that many queries share costs what it costs once.
     """
     if preset.has_date_floor:
         messages = messages.filter(F.col("received") >= day(as_of - dt.timedelta(days=preset.days_back)))
-    wanted = terms.agg(F.collect_list(F.struct("query_id", "term_rank", "term")))
-    kept = messages.join(boxes.select("mailbox", "priority"), "mailbox")
-    text = haystack("subject", "body")
-    tested = kept.withColumn("_terms", wanted.scalar())
-    # The outer array has one element: its lambda variable holds the lowered text, made once per row.
-    matches = F.transform(F.array(text), lambda x: F.filter("_terms", lambda t: F.contains(x, t["term"])))
-    hits = tested.select(
-        "id", "mailbox", "priority", "sender", "subject", "received", F.explode(matches[0]).alias("_hit"))
-    hits = hits.select(
-        F.col("_hit.query_id").alias("query_id"), F.col("_hit.term_rank").alias("term_rank"),
-        F.col("_hit.term").alias("matched_term"), "id", F.col("mailbox").alias("searched_mailbox"), "priority",
-        "sender", "subject", "received")
-    newest = top_n_per_key(hits, ["query_id", "searched_mailbox", "term_rank"],
-                           [F.desc("received"), F.col("id")], preset.per_term, "_n").drop("_n")
+    kept = messages.join(boxes.select("mailbox", "priority"), "mailbox").select(
+        "id", F.col("mailbox").alias("searched_mailbox"), "priority", "sender", "subject", "body", "received")
+    hits = term_hits(kept, haystack("subject", "body"), terms).drop("body")
+    newest = top_n_per_key(hits, ["searched_mailbox", "term"], [F.desc("received"), F.col("id")], preset.per_term, "_n").drop("_n")
+    asked = newest.join(terms.select("query_id", "term_rank", "term"), "term").withColumnRenamed("term", "matched_term")
     seen_first = [F.asc_nulls_last("priority"), F.col("searched_mailbox"), F.col("term_rank")]
-    return one_per_key(newest, ["query_id", "id"], seen_first).drop("priority", "term_rank")
+    found = one_per_key(asked, ["query_id", "id"], seen_first)
+    return found.select("query_id", "matched_term", "id", "searched_mailbox", "sender", "subject", "received")
 
 
 def message_order() -> list[Column]:
@@ -130,7 +166,3 @@ def recent_messages(found: DataFrame, limit: int = 10) -> DataFrame:
     top = message_search(found, limit)
     text = F.concat(F.col("rank").cast("string"), F.lit(". ["), F.date_format("received", "yyyy-MM-dd"), F.lit("] "), "subject")
     return top.select("query_id", "rank", text.alias("line"))
-
-
-def sender_groups(found: DataFrame) -> DataFrame:
-    return labelled_groups(found.withColumn("_one", F.lit(1)), "sender", "_one").drop("value")
