@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ from ledgerloom import params, session
 from ledgerloom.functions import dates, money, status, text
 from ledgerloom.operators import explore, groups, joins
 from ledgerloom.plans import attendance, cash, inventory, payables, projects, purchasing, quality, search, stock
+from ledgerloom.sinks import reports
 from ledgerloom.sources import loose
 from ledgerloom.sources.tables import query as sql_query
 
@@ -20,6 +23,7 @@ from .views import erp, source
 DAY = dt.date(1998, 6, 15)
 SITE = params.AsOf(dt.date(2024, 1, 15), dt.datetime(2024, 1, 16, 6, 0))
 MAIL_DAY = dt.date(2024, 6, 30)
+WEEK_END = params.AsOf(dt.date(2024, 1, 14), dt.datetime(2024, 1, 15, 6, 0))
 LOG_TIME = dt.datetime(2024, 1, 31, 1, 0)
 
 # A dictionary and rules that fire on the texts of `benchmark`, which are the queries of the search.
@@ -62,6 +66,11 @@ def register(build):
     return build
 
 
+def listed(parts: DataFrame, text=lambda v: v) -> DataFrame:
+    """Parts of lists with their values as one text."""
+    return parts.withColumn("values", F.array_join(F.transform("values", text), "; "))
+
+
 # --- inventory -------------------------------------------------------------------------------
 
 @register
@@ -241,8 +250,17 @@ def cash_top_projects(t):
 
 @register
 def cash_document(t):
+    """The nested document, its parts written out so that SQL can state them."""
     needs = cash.cash_requirements(t)
-    return cash.cash_document(cash.weekly_cash_flow(needs, DAY), cash.cash_top_projects(needs, DAY))
+    document = cash.cash_document(cash.weekly_cash_flow(needs, DAY), cash.cash_top_projects(needs, DAY))
+    projects_ = F.transform("top_projects", lambda p: F.concat_ws(": ", p["project"], p["amount"].cast("decimal(38,2)").cast("string")))
+    return document.select("week_start", "week_end", "label", "total_gtq", "total_usd", "count", "by_status.*",
+                           F.array_join(projects_, "; ").alias("top_projects"))
+
+
+@register
+def cash_list(t):
+    return cash.cash_detail(cash.cash_requirements(t)).select("place", "payment_date", "po_number", "po_id", "task_id")
 
 
 # --- purchasing ------------------------------------------------------------------------------
@@ -315,6 +333,11 @@ def bill_orders(t):
     return payables.bill_orders(t)
 
 
+@register
+def bill_order_parts(t):
+    return listed(payables.bill_order_parts(t))
+
+
 @register
 def bills_with_drafts(t):
     return bill_headers(t, only_posted=False, sign="abs").groupBy("bill_state", "currency").agg(
@@ -336,6 +359,12 @@ def bills_paid(t):
     return payables.bills_paid(bill_headers(t))
 
 
+@register
+def bill_list(t):
+    lines = payables.vendor_bills(t, bill_headers(t))
+    return payables.bill_list(lines).select("place", "bill_id", "line_id", "effective_due_date", "invoice_date")
+
+
 @register
 def bill_lines(t):
     return payables.bill_lines(payables.vendor_bills(t, bill_headers(t)))
@@ -358,6 +387,11 @@ def project_tasks(t):
     return projects.project_tasks(t)
 
 
+@register
+def plan_list(t):
+    return projects.plan_list(projects.plan_tasks(t)).select("place", "task_id", "parent_id", "project_name")
+
+
 @register
 def task_dependencies(t):
     return projects.task_dependencies(t)
@@ -368,6 +402,16 @@ def task_po_pending(t):
     return projects.task_po_pending(t)
 
 
+@register
+def task_reference_parts(t):
+    return listed(projects.task_reference_parts(t))
+
+
+@register
+def project_reference_parts(t):
+    return listed(projects.project_reference_parts(t))
+
+
 @register
 def project_hierarchy(t):
     return projects.project_hierarchy(t, DAY)
@@ -437,8 +481,9 @@ def daily_movements(t):
     return attendance.daily_movements(t, SITE)
 
 
-def week_period(t):
-    return attendance.period_attendance(t, SITE, *attendance.week_range(SITE))
+@register
+def week_attendance(t):
+    return attendance.period_attendance(t, WEEK_END, *attendance.week_range(WEEK_END)).drop("worked_micros")
 
 
 @register
@@ -448,8 +493,7 @@ def period_attendance(t):
 
 @register
 def week_overtime(t):
-    period = attendance.period_attendance(t, SITE, dt.date(2024, 1, 1), SITE.date)
-    return attendance.week_overtime(period)
+    return attendance.week_overtime(attendance.period_attendance(t, WEEK_END, dt.date(2024, 1, 1), WEEK_END.date))
 
 
 @register
@@ -470,7 +514,14 @@ def attendance_sessions_replaced(t):
 
 @register
 def attendance_json(t):
-    return attendance.attendance_days(t, SITE)
+    """The nested document, its records written out so that SQL can state them."""
+    records = F.transform("clock_records", lambda e: F.concat_ws(" ", e["type"], e["time"]))
+    return attendance.attendance_days(t, SITE).withColumn("clock_records", F.array_join(records, "; "))
+
+
+@register
+def clock_record_parts(t):
+    return listed(attendance.clock_record_parts(t, SITE), lambda e: F.concat_ws(" ", e["type"], e["time"]))
 
 
 @register
@@ -646,17 +697,17 @@ def explored(t):
 
 @register
 def explore_page(t):
-    df = explored(t)
-    last = explore.page_count(df, 50)
-    return explore.page(df, [F.desc("total_amount"), F.col("id")], min(3, last), 50)
+    amount = F.col("total_amount")
+    return explore.page(explored(t), [F.desc("total_amount"), F.col("id")], 3, 50, bucket=F.floor(amount / 100_000),
+                        slice_=amount, descending=True)
 
 
 @register
 def explore_deep_page(t):
-    """Row numbers as deep pages use them; a bucket holds at most one date and a slice of the ids."""
+    """Row numbers as deep pages use them: a bucket is a date, a slice of it ten thousand ids."""
     df = order_list(t).select("id", "date_order", "total_amount")
-    bucket = F.struct("date_order", F.floor(F.col("id") / 10_000).alias("slice"))
-    return explore.numbered(df, [], [F.desc("date_order"), F.desc("id")], bucket, "row_no", descending=True)
+    return explore.numbered(df, [], [F.desc("date_order"), F.desc("id")], F.col("date_order"),
+                            descending=True, slice_=F.floor(F.col("id") / 10_000))
 
 
 @register
@@ -716,6 +767,40 @@ def loose_headers(t, spark, folder):
     return loose.order_sheet(raw.withColumnRenamed("Total (Amount)", "Total Amount"))
 
 
+def written_csv(df: DataFrame, name: str) -> str:
+    """A CSV file set of a table, in the folder that driver and executors share."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    path = f"{shared or tempfile.mkdtemp(prefix='sheets-')}/{name}-{uuid.uuid4().hex}"
+    reports.write_csv(df, path)
+    return path
+
+
+@register
+def order_csv(t, spark, folder):
+    """Order sheets written as CSV and read back by their header."""
+    raw = source(spark, folder, "orders").select(
+        F.col("o_totalprice").cast("string").alias("Total"), F.col("o_orderkey").cast("string").alias("PO"),
+        F.concat(F.lit('say "'), "o_orderpriority", F.lit('", ok')).alias("Vendor"), F.col("o_orderstatus").alias("State"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("Date"), F.lit("x").alias("Unused"))
+    columns = ["PO", "Vendor", "Date", "State", "Total"]
+    return loose.order_sheet(loose.text_csv(spark, written_csv(raw, "orders"), columns, ["Total"]))
+
+
+@register
+def inventory_csv(t, spark, folder):
+    """An inventory sheet written as CSV, read back by its header and classified."""
+    raw = source(spark, folder, "part").select(
+        F.col("p_retailprice").cast("string").alias("Cost"), F.col("p_name").alias("Product Name"),
+        F.col("p_partkey").cast("string").alias("SKU"), F.col("p_type").alias("Category"),
+        (F.col("p_partkey") % 50).cast("string").alias("Qty On Hand"), (F.col("p_partkey") % 7).cast("string").alias("Reserved"),
+        F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("string")).otherwise("").alias("Reorder Min"),
+        (F.col("p_size") * 20).cast("string").alias("Reorder Max"))
+    return loose.inventory_sheet(loose.text_csv(spark, written_csv(raw, "parts")))
+
+
 @register
 def stringly_csv(t, spark, folder):
     raw = source(spark, folder, "orders").select(

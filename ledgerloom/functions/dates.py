@@ -18,8 +18,9 @@ def instant(value: dt.datetime) -> Column:
 
 
 def parse_day(c: Column) -> Column:
-    """Date of an ISO text; null when it is none."""
-    return F.try_to_timestamp(F.substring(c, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    """Date of an ISO text, with or without a time; null when the whole text is none."""
+    text = F.trim(c)
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d.*)?$"), text.try_cast("timestamp_ntz")).cast("date")
 
 
 def week_start(value: dt.date) -> dt.date:

@@ -11,9 +11,6 @@ from ..functions.dates import day
 from ..functions.text import haystack
 from .ordered import numbered
 
-# Up to this many rows a page is cut from a sorted prefix; deeper pages are numbered in parallel.
-DEEPEST_PREFIX = 10_000
-
 
 def facet(df: DataFrame, facets: dict[str | tuple[str, ...], str | None]) -> DataFrame:
     """Keep rows equal to each facet that is set; a tuple of columns matches on any of them."""
@@ -49,22 +46,18 @@ def facet_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column).alias("value")).filter(F.col("value") != "").distinct().orderBy("value")
 
 
-def page_count(df: DataFrame, size: int) -> int:
-    """Number of pages (at least one). Runs a count."""
-    return max(1, -(-df.count() // size))
+def page_count(df: DataFrame, size: int) -> Column:
+    """Number of pages (at least one), as a scalar for expressions."""
+    return df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).cast("bigint")).scalar()
 
 
-def page(df: DataFrame, order: list[Column], number: int, size: int, *,
-         bucket: Column | None = None, descending: bool = False) -> DataFrame:
-    """Rows of one page. ``order`` must be total; clamp ``number`` with ``page_count`` first.
+def page(df: DataFrame, order: list[Column], number: int, size: int, *, bucket: Column, slice_: Column | None = None,
+         descending: bool = False) -> DataFrame:
+    """Rows of one page; a number outside 1 to the last page takes the nearest. ``order`` must be total.
 
-    A page deep in a large frame needs ``bucket``, an expression that follows the first sort
-    column, so that rows are numbered without one task sorting everything before the page.
+    Every page, however deep, is found by row numbers made in parallel; ``bucket`` and ``slice_`` are those of ``numbered``.
     """
-    start = (max(1, number) - 1) * size
-    if start + size <= DEEPEST_PREFIX:
-        return df.orderBy(*order).offset(start).limit(size)
-    if bucket is None:
-        raise ValueError(f"page {number} starts beyond row {DEEPEST_PREFIX}: give a bucket expression")
-    rows = numbered(df, [], order, bucket, "_row", descending)
-    return rows.filter(F.col("_row").between(start + 1, start + size)).orderBy("_row").drop("_row")
+    at = F.least(F.lit(max(1, number)).cast("bigint"), page_count(df, size))
+    rows = numbered(df, [], order, bucket, "_row", descending, slice_).withColumn("_at", at)
+    return rows.filter((F.col("_row") > (F.col("_at") - 1) * size) & (F.col("_row") <= F.col("_at") * size)).orderBy(
+        "_row").drop("_row", "_at")

@@ -7,27 +7,34 @@ from pyspark.sql import functions as F
 
 from .. import reference_data as ref
 
-# A list of more distinct values than this is not gathered into one cell. The values stay
-# available as rows: every caller also offers the (key, value) frame the cell is made of.
-LONGEST_CELL = 10_000
+# Distinct values that a part of a list holds, about. It sets where lists are divided and leaves nothing out.
+PART_SIZE = 1_000
 
 
-def list_cell(links: DataFrame, keys: list[str], value: str, name: str, *, size: str | None = None,
-              separator: str | None = ", ", longest: int = LONGEST_CELL) -> DataFrame:
-    """Sorted distinct values per key, as one joined text (or an array when ``separator`` is None).
+def list_parts(links: DataFrame, keys: list[str], value: str, part_size: int = PART_SIZE) -> DataFrame:
+    """Distinct values per key as rows (keys, part_no, n_parts, n_values, values), each part sorted.
 
-    Duplicates are dropped before the values of a key meet. A key with more than ``longest``
-    values gets a null cell and its count; no task ever holds such a list.
+    A key with up to ``part_size`` values has one part. The values of a longer list are dealt over as many parts as it
+    needs by a hash, so however long a list is no task holds more than a part, and all parts together hold every value.
+    Duplicates are dropped before the values of a key meet.
     """
     distinct = links.select(*keys, value).filter(F.col(value).isNotNull()).distinct()
-    sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    long_keys = sizes.filter(F.col("_size") > longest)
-    cells = distinct.join(long_keys, keys, "left_anti").groupBy(*keys).agg(
-        F.array_sort(F.collect_list(value)).alias(name))
-    if separator is not None:
-        cells = cells.withColumn(name, F.array_join(name, separator))
-    out = sizes.join(cells, keys, "left")
-    return out.withColumnRenamed("_size", size) if size else out.drop("_size")
+    sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values"))
+    sizes = sizes.withColumn("n_parts", F.ceil(F.col("n_values") / part_size).cast("bigint"))
+    placed = distinct.join(sizes, keys).withColumn("part_no", F.pmod(F.xxhash64(value), F.col("n_parts")))
+    return placed.groupBy(*keys, "part_no", "n_parts", "n_values").agg(F.array_sort(F.collect_list(value)).alias("values"))
+
+
+def list_cell(links: DataFrame, keys: list[str], value: str, name: str, *, size: str | None = None,
+              separator: str | None = ", ", part_size: int = PART_SIZE) -> DataFrame:
+    """The first part of each key's list, as one joined text (or an array when ``separator`` is None).
+
+    ``size`` names a column for the number of all values of the key: where it exceeds ``part_size`` the list goes on in
+    ``list_parts`` of the same links, which has every value.
+    """
+    first = list_parts(links, keys, value, part_size).filter("part_no = 0")
+    cell = F.array_join("values", separator) if separator is not None else F.col("values")
+    return first.select(*keys, cell.alias(name), *([F.col("n_values").alias(size)] if size else []))
 
 
 def with_total(df: DataFrame, key: str, aggregates: list[Column], label: str = "TOTAL",

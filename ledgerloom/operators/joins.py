@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,10 +71,6 @@ def either_key_join(fact: DataFrame, dim: DataFrame, first: str, second: str,
     return rows.withColumns(out).drop("_m1", "_m2", "_pos", "_match")
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
-
-
 def fan_out(base: DataFrame, joined: DataFrame, key: str) -> DataFrame:
     """Keys whose row count differs between a table and the result of joining to it."""
     before = base.groupBy(key).agg(F.count(F.lit(1)).alias("base_rows"))

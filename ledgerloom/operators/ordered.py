@@ -24,34 +24,34 @@ def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
     return top_n_per_key(df, keys, order, 1, "_rank").drop("_rank")
 
 
-def _bucket_window(keys: list[str]):
-    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-
-
 def numbered(df: DataFrame, keys: list[str], order: list[Column], bucket: Column,
-             name: str = "row_no", descending: bool = False) -> DataFrame:
+             name: str = "row_no", descending: bool = False, slice_: Column | None = None) -> DataFrame:
     """Row number per key in ``order``; without keys, over the whole frame.
 
-    ``order`` must be total. Numbers inside a bucket are local; the rows of earlier buckets are
-    added from the bucket counts, of which there is one per (key, bucket).
+    ``order`` must be total. Rows are numbered inside (key, bucket, slice); the rows before come from the counts, in two
+    steps: the slices before in the same bucket, and the buckets before. ``slice_`` follows the order inside a bucket.
+    Choose buckets whose number does not grow with the rows (days, hours, ranges of an amount), and slices that keep
+    the rows of each bounded: the one window over all buckets of a key then stays small.
     """
-    cut = df.withColumn("_bucket", bucket)
-    by_bucket = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    before = _bucket_window(keys).orderBy(by_bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_b"),
-                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    local = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
-    same = F.col("_bucket").eqNullSafe(F.col("_b"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return (
-        cut.withColumn("_local", local).join(offsets, same)
-        .withColumn(name, F.col("_local") + F.col("_offset"))
-        .drop("_bucket", "_b", "_local", "_offset", *[f"_k_{k}" for k in keys])
-    )
+    cut = df.withColumns({"_bucket": bucket, "_slice": F.lit(0) if slice_ is None else slice_})
+    turn = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    slices = cut.groupBy(*keys, "_bucket", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(turn("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    among = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(turn("_bucket"))
+    before = among.rowsBetween(Window.unboundedPreceding, -1)
+    buckets = slices.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
+    sides = ((slices, "_s", ["_bucket", "_slice"], inside), (buckets, "_b", ["_bucket"], before))
+    out = cut.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_bucket", "_slice").orderBy(*order)))
+    for counts, mark, parts, window in sides:
+        on = [*keys, *parts]
+        offsets = counts.select(*[F.col(c).alias(f"{mark}{c}") for c in on],
+                                F.coalesce(F.sum("_n").over(window), F.lit(0)).alias(f"{mark}_offset"))
+        same = F.lit(True)
+        for c in on:
+            same = same & F.col(c).eqNullSafe(F.col(f"{mark}{c}"))
+        out = out.join(offsets, same).drop(*[f"{mark}{c}" for c in on])
+    return out.withColumn(name, F.col("_local") + F.col("_s_offset") + F.col("_b_offset")).drop(
+        "_bucket", "_slice", "_local", "_s_offset", "_b_offset")
 
 
 def with_next(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column,

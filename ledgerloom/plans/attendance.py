@@ -16,7 +16,7 @@ from ..functions.dates import (
     clock, day, hours, instant, local_date, local_time, micros_between, week_start, within_local_days,
 )
 from ..functions.status import dwell_alert, presence
-from ..operators.groups import list_cell
+from ..operators.groups import list_cell, list_parts
 from ..operators.joins import look_up
 from ..operators.ordered import numbered, one_per_key, with_next
 from ..params import AsOf, BreakRule
@@ -66,7 +66,8 @@ def on_site_now(t: Mapping[str, DataFrame], as_of: AsOf, departments: Department
     people = look_up(people, roster, "employee_id", "roster", {"_phone": "phone"}, key="_id")
     since = micros_between(F.col("check_in"), instant(as_of.ts))
     order = [F.col("check_in"), F.col("employee_id")]
-    listed = numbered(people, [], order, F.date_trunc("hour", F.col("check_in")), "row_no")
+    listed = numbered(people, [], order, F.date_trunc("hour", F.col("check_in")),
+                      slice_=F.date_trunc("second", F.col("check_in")))
     return listed.select(
         "row_no", "employee_id", "employee_name", "department_name",
         local_time(F.col("check_in"), as_of.tz).alias("entry_time"),
@@ -120,11 +121,12 @@ def week_range(as_of: AsOf) -> tuple[dt.date, dt.date]:
 
 
 def week_overtime(period: DataFrame, weekly_hours: int = ref.WEEKLY_REGULAR_HOURS) -> DataFrame:
-    """Per employee over the period: days, hours, overtime, days with a missing exit."""
+    """Per employee and week (its Monday): days, hours, overtime, days with a missing exit."""
     regular = weekly_hours * 3_600_000_000
     extra = F.greatest(F.col("worked") - F.lit(regular), F.lit(0))
+    monday = F.date_trunc("week", F.col("work_date")).cast("date").alias("week_start")
     return (
-        period.groupBy("employee_id", "employee_name", "department_name").agg(
+        period.groupBy("employee_id", "employee_name", "department_name", monday).agg(
             F.sum("days_present").alias("days"), F.sum("worked_micros").alias("worked"),
             F.count_if("missing_exit").alias("missing_exits"))
         .withColumns({"total_hours": hours(F.col("worked")), "overtime_hours": hours(extra)}).drop("worked")
@@ -193,13 +195,20 @@ def clock_records(t: Mapping[str, DataFrame], as_of: AsOf, days: int = 30) -> Da
                  clock(F.col("e.at"), as_of.tz).alias("time")).alias("event"))
 
 
+def clock_record_parts(t: Mapping[str, DataFrame], as_of: AsOf, days: int = 30) -> DataFrame:
+    """All clock records of every employee and day, in parts."""
+    return list_parts(clock_records(t, as_of, days), ["work_date", "employee_id"], "event")
+
+
 def attendance_days(t: Mapping[str, DataFrame], as_of: AsOf, **options) -> DataFrame:
-    """The nested attendance document: one row per employee and day with its clock records."""
+    """The nested attendance document: one row per employee and day with the person's data and clock records."""
     events = clock_records(t, as_of, options.get("days", 30))
     cells = list_cell(events, ["work_date", "employee_id"], "event", "clock_records", separator=None, size="record_count")
     cells = cells.withColumn("clock_records", F.transform(
         "clock_records", lambda e: F.struct(e["type"].alias("type"), e["time"].alias("time"))))
-    return attendance_sessions(t, as_of, **options).join(cells, ["work_date", "employee_id"], "left")
+    people = t["hr_employee"].select(F.col("id").alias("employee_id"), "job_title", F.col("mobile_phone").alias("phone"))
+    days = attendance_sessions(t, as_of, **options).join(people, "employee_id", "left")
+    return days.join(cells, ["work_date", "employee_id"], "left")
 
 
 def attendance_daily(sessions: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions.money import currency_code, header_pending, to_home, zero
 from ..functions.text import html_to_lines, label_of, localized_only
 from ..operators.groups import spread, with_total
 from ..operators.joins import look_up
-from ..operators.ordered import top_n_per_key
+from ..operators.ordered import numbered, top_n_per_key
 
 NO_PROJECT, NO_TASK = "Sin Proyecto", "Sin Tarea"
 MONEY_SUM = "decimal(38,4)"
@@ -110,8 +110,11 @@ def cash_requirements(t: Mapping[str, DataFrame], *, allocate: str = "full", per
 
 
 def cash_detail(requirements: DataFrame) -> DataFrame:
-    """The requirements in payment order, notes as plain text."""
-    return requirements.withColumn("notes", html_to_lines(F.col("notes"))).orderBy("payment_date", "po_number", "task_id")
+    """The requirements with their place in payment order, notes as plain text."""
+    order = [F.asc_nulls_first("payment_date"), F.col("po_number"), F.col("task_id")]
+    listed = numbered(requirements, [], order, F.coalesce("payment_date", F.lit("0001-01-01").cast("date")),
+                      "place", slice_=F.col("po_number"))
+    return listed.withColumn("notes", html_to_lines(F.col("notes")))
 
 
 # --- weekly calendar -------------------------------------------------------------------------

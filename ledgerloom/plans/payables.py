@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import day, days_overdue
 from ..functions.money import currency_code
 from ..functions.text import html_to_lines, localized_nonblank, squash_lines
-from ..operators.groups import list_cell
+from ..operators.groups import list_cell, list_parts
 from ..operators.joins import look_up
+from ..operators.ordered import numbered
+from ..reference_data import FAR_FUTURE
 
 HEADER_TEXT = ("bill_number", "vendor_reference", "invoice_origin", "supplier_name", "supplier_phone",
                "supplier_email", "bill_notes", "po_numbers")
@@ -45,6 +47,11 @@ def bill_orders(t: Mapping[str, DataFrame]) -> DataFrame:
     return direct.unionByName(found).distinct()
 
 
+def bill_order_parts(t: Mapping[str, DataFrame]) -> DataFrame:
+    """All order numbers of every bill, in parts."""
+    return list_parts(bill_orders(t), ["move_id"], "po_number")
+
+
 def bills(t: Mapping[str, DataFrame], as_of: dt.date, *, only_posted: bool = True, sign: str = "as_is",
           decode=None) -> DataFrame:
     """One row per vendor bill with its orders, due date and days overdue.
@@ -98,10 +105,13 @@ def vendor_bills(t: Mapping[str, DataFrame], headers: DataFrame) -> DataFrame:
     return headers.join(lines, "bill_id", "left").na.fill("", list(LINE_TEXT))
 
 
-def bill_order() -> list[Column]:
-    """Order of the bill list: due date, newest bill first inside a date, then line order."""
-    return [F.asc_nulls_last("effective_due_date"), F.desc_nulls_last("invoice_date"), F.desc("bill_id"),
-            F.asc_nulls_last("sequence")]
+def bill_list(lines: DataFrame) -> DataFrame:
+    """Bill lines with their place in the list: due date, newest bill first inside a date, then line order."""
+    order = [F.asc_nulls_last("effective_due_date"), F.desc_nulls_last("invoice_date"), F.desc("bill_id"),
+             F.asc_nulls_last("sequence"), F.asc_nulls_last("line_id")]
+    newest = F.coalesce(F.datediff(F.lit(FAR_FUTURE).cast("date"), F.col("invoice_date")), F.lit(2**31 - 1))
+    return numbered(lines, [], order, F.coalesce("effective_due_date", F.lit(FAR_FUTURE).cast("date")),
+                    "place", slice_=F.struct(newest.alias("age"), F.floor(-F.col("bill_id") / 1_000).alias("slice")))
 
 
 # --- sections --------------------------------------------------------------------------------

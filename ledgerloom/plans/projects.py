@@ -13,8 +13,9 @@ from ..functions.dates import days_until, days_until_floor, inclusive_days
 from ..functions.money import currency_code, line_pending, money_label, order_reference, to_home, zero
 from ..functions.status import is_blocked, is_completed, is_overdue, schedule_class
 from ..functions.text import erp_link, html_to_summary, localized_only, or_blank, strip_tags
-from ..operators.groups import list_cell, mean_or_zero, percent_label
+from ..operators.groups import list_cell, list_parts, mean_or_zero, percent_label
 from ..operators.joins import look_up
+from ..operators.ordered import numbered
 
 AMOUNT = "decimal(38,4)"
 ERP_URL = "https://erp.example.com/web#"
@@ -88,6 +89,11 @@ def task_po_pending(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> Data
     return sums.join(refs, "task_id", "left").join(money, "task_id", "left")
 
 
+def task_reference_parts(t: Mapping[str, DataFrame]) -> DataFrame:
+    """All order references of every task, in parts."""
+    return list_parts(task_orders(t), ["task_id"], "po_reference")
+
+
 def plan_tasks(t: Mapping[str, DataFrame]) -> DataFrame:
     """Active tasks of active projects with project and status, without dependencies or money."""
     projects = t["project_project"].filter("active").select(
@@ -139,10 +145,12 @@ def project_tasks(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFr
     })
 
 
-def plan_order() -> list[Column]:
-    """Parents before their children, by sequence."""
-    return [F.asc_nulls_last("project_name"), F.coalesce("parent_id", "task_id"), F.asc_nulls_last("sequence"),
-            F.col("task_id")]
+def plan_list(tasks: DataFrame) -> DataFrame:
+    """Tasks with their place in the plan: by project, parents with their children, by sequence."""
+    family = F.coalesce("parent_id", "task_id")
+    order = [F.asc_nulls_last("project_name"), family, F.asc_nulls_last("sequence"), F.col("task_id")]
+    project = F.struct(F.col("project_name").isNull().alias("unnamed"), F.col("project_name"))
+    return numbered(tasks, [], order, project, "place", slice_=family)
 
 
 # --- hierarchy -------------------------------------------------------------------------------
@@ -269,6 +277,11 @@ def project_order_refs(tasks: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def project_reference_parts(t: Mapping[str, DataFrame]) -> DataFrame:
+    """All order references of every project, in parts."""
+    return list_parts(project_order_refs(plan_tasks(t), task_orders(t)), ["project_id"], "po_reference")
+
+
 def explode_list(df: DataFrame, column: str, name: str, separator: str = ", ") -> DataFrame:
     """One row per element of a joined text."""
     return df.filter(F.col(column).isNotNull()).withColumn(name, F.explode(F.split(column, separator)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +41,7 @@ def write_run(df: DataFrame, path: str, run_date: dt.date) -> None:
 
 
 def latest_run(spark: SparkSession, path: str) -> DataFrame:
-    """The newest dated run. Only its partition is read."""
+    """The newest dated run. Its date comes from the listing of the folders; only its partition is read."""
     runs = spark.read.parquet(path)
-    newest = runs.agg(F.max("run_date")).scalar()
-    return runs.filter(F.col("run_date") == newest)
+    dates = {found[1] for found in (re.search(r"/run_date=(\d{4}-\d\d-\d\d)/", f) for f in runs.inputFiles()) if found}
+    return runs.filter(F.col("run_date") == F.lit(max(dates, default=None)).cast("date"))

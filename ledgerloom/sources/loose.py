@@ -6,18 +6,26 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import number_or_zero
 
 
-def text_csv(spark: SparkSession, path: str, columns: list[str], numeric: list[str] = ()) -> DataFrame:
-    """CSV with a header, every column read as text; the named ones become numbers (0 if none)."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    df = (
-        spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-        .option("multiLine", True).csv(path)
-    )
-    return coerce(df, numeric)
+def text_csv(spark: SparkSession, path: str, columns: list[str] | None = None, numeric: list[str] = (),
+             multi_line: bool = False) -> DataFrame:
+    """CSV with a header, columns found by their name in it and read as text; ``numeric`` ones become numbers (0 if none).
+
+    Without ``columns`` all are read. A missing column is an error, and so is a file whose header differs from the first
+    one's. ``multi_line`` allows line ends inside quotes; each file is then one task.
+    """
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns
+    missing = [c for c in columns or () if c not in names]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    df = reader.schema(schema).option("enforceSchema", False).csv(path)
+    return coerce(df.select(*[F.col(f"`{c}`") for c in columns or names]), numeric)
 
 
 def coerce(df: DataFrame, numeric: list[str]) -> DataFrame:

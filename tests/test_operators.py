@@ -90,11 +90,18 @@ def test_fan_out(spark):
     assert [tuple(r) for r in out] == [(2, 1, 2), (3, 1, 0)]
 
 
-def test_list_cell_and_its_bound(spark):
-    links = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, "x"), (3, None), *[(4, f"v{i}") for i in range(20)]],
-                                  "k int, v string")
-    cells = {r["k"]: (r["n"], r["names"]) for r in groups.list_cell(links, ["k"], "v", "names", size="n", longest=10).collect()}
-    assert cells == {1: (2, "a, b"), 2: (1, "x"), 4: (20, None)}
+def test_list_parts_hold_every_value(spark):
+    short = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, "x"), (3, None)], "k int, v string")
+    links = short.unionByName(spark.range(50_000).select(F.lit(4).alias("k"), F.concat(F.lit("v"), "id").alias("v")))
+    parts = groups.list_parts(links, ["k"], "v").collect()
+    assert {r["k"]: (r["part_no"], r["n_parts"], r["n_values"], r["values"]) for r in parts if r["k"] < 4} == {
+        1: (0, 1, 2, ["a", "b"]), 2: (0, 1, 1, ["x"])}
+    long = [r for r in parts if r["k"] == 4]
+    assert sorted(v for r in long for v in r["values"]) == sorted(f"v{i}" for i in range(50_000))
+    assert {(r["n_parts"], r["n_values"]) for r in long} == {(50, 50_000)} and len({r["part_no"] for r in long}) == 50
+    assert all(len(r["values"]) < 2 * groups.PART_SIZE and r["values"] == sorted(r["values"]) for r in long)
+    cells = {r["k"]: (r["n"], r["names"]) for r in groups.list_cell(links, ["k"], "v", "names", size="n").collect()}
+    assert cells[1] == (2, "a, b") and cells[4][0] == 50_000 and cells[4][1] == ", ".join(next(r["values"] for r in long if r["part_no"] == 0))
 
 
 def test_total_row_and_spread(spark):
@@ -117,17 +124,16 @@ def test_ratio_and_mean(spark):
     assert tuple(row) == (4.0, "12.5%", "0%", 0.0)
 
 
-def test_pages(spark, monkeypatch):
+def test_pages(spark):
     df = spark.range(95).withColumn("v", F.col("id") % 7)
     order = [F.desc("v"), F.col("id")]
     whole = [r["id"] for r in df.orderBy(*order).collect()]
-    assert explore.page_count(df, 10) == 10 and explore.page_count(df.limit(0), 10) == 1
-    assert [r["id"] for r in explore.page(df, order, 10, 10).collect()] == whole[90:]
-    monkeypatch.setattr(explore, "DEEPEST_PREFIX", 30)
-    deep = explore.page(df, order, 5, 10, bucket=F.col("v"), descending=True)
-    assert [r["id"] for r in deep.collect()] == whole[40:50]
-    with pytest.raises(ValueError):
-        explore.page(df, order, 5, 10)
+    for number, expected in ((1, whole[:10]), (5, whole[40:50]), (10, whole[90:]), (99, whole[90:]), (0, whole[:10])):
+        page = explore.page(df, order, number, 10, bucket=F.col("v"), slice_=-F.floor(F.col("id") / 8), descending=True)
+        assert [r["id"] for r in page.collect()] == expected
+    assert explore.page(df.limit(0), order, 3, 10, bucket=F.col("v")).collect() == []
+    one_bucket = explore.page(df, order, 5, 10, bucket=F.lit(0), slice_=F.col("v"), descending=True)
+    assert [r["id"] for r in one_bucket.collect()] == whole[40:50]
 
 
 def test_facets_and_search(spark):

@@ -85,9 +85,12 @@ def test_on_site_now(erp):
 
 def test_overtime(erp):
     week = [(1, at(d, 8), at(d, 17)) for d in (8, 9, 10, 11, 12)] + [(2, at(8, 8), None)]
-    t = erp(**PEOPLE, hr_attendance=sessions(*week))
-    period = attendance.period_attendance(t, SITE, dt.date(2024, 1, 8), dt.date(2024, 1, 14))
-    rows = {r["employee_id"]: r for r in attendance.week_overtime(period).collect()}
+    t = erp(**PEOPLE, hr_attendance=sessions(*week, (1, at(5, 8), at(5, 20))))
+    period = attendance.period_attendance(t, SITE, dt.date(2024, 1, 1), dt.date(2024, 1, 14))
+    weeks = attendance.week_overtime(period).collect()
+    before = [(r["total_hours"], r["overtime_hours"]) for r in weeks if r["week_start"] == dt.date(2024, 1, 1)]
+    assert before == [(12.0, 0.0)]  # a week of its own: its hours add no overtime to the next one
+    rows = {r["employee_id"]: r for r in weeks if r["week_start"] == dt.date(2024, 1, 8)}
     assert (rows[1]["days"], rows[1]["total_hours"], rows[1]["overtime_hours"], rows[1]["missing_exits"]) == (5, 45.0, 1.0, 0)
     assert (rows[2]["total_hours"], rows[2]["overtime_hours"], rows[2]["missing_exits"]) == (0.0, 0.0, 1)
 

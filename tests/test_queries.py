@@ -12,7 +12,7 @@ from ledgerloom.plans import cash, payables, projects, purchasing, stock
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 
-NO_SQL = {"cash_document", "attendance_json", "clean_html_all_entities"}
+NO_SQL = {"clean_html_all_entities"}
 
 
 @pytest.fixture(scope="module")
@@ -44,10 +44,11 @@ def test_all_entities_decoded(spark):
         assert got[r["page_id"]] == re.sub(" +", " ", text).strip()
 
 
-def test_nested_documents_match_flat_rows(spark):
-    flat = REGISTRY["attendance_clock_records"](spark, FOLDER).groupBy("work_date", "employee_id").count()
-    days = REGISTRY["attendance_json"](spark, FOLDER).select("work_date", "employee_id", F.size("clock_records").alias("count"))
-    assert sorted(map(tuple, flat.collect())) == sorted(map(tuple, days.collect()))
+def test_weekly_overtime_and_search_depths_show_in_the_data(spark):
+    assert REGISTRY["week_overtime"](spark, FOLDER).filter("total_hours > 0").groupBy("week_start").count().count() == 2
+    depths = [REGISTRY[f"search_terms{mode}"](spark, FOLDER).groupBy("query_id").count().agg(F.max("count")).first()[0]
+              for mode in ("_fast", "", "_deep")]
+    assert depths == [3, 5, 10]
 
 
 def test_keys_do_not_repeat(t):

@@ -14,10 +14,19 @@ from ledgerloom.sources import files, loose, tables
 def test_text_csv(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text('product,quantity,total_value\n"a ""b"", c",12.5x,\n\nz,,7\n"two\nlines",n/a,1\n')
-    rows = loose.text_csv(spark, str(path), ["product", "quantity", "total_value"], ["quantity", "total_value"]).collect()
+    rows = loose.text_csv(spark, str(path), ["product", "quantity", "total_value"], ["quantity", "total_value"], multi_line=True).collect()
     assert [tuple(r) for r in rows] == [('a "b", c', 12.5, 0.0), ("z", 0.0, 7.0), ("two\nlines", 0.0, 1.0)]
 
 
+def test_csv_columns_by_header(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("b,a\n1,x\n")
+    assert loose.text_csv(spark, str(path), ["a", "b"], ["b"]).collect() == [("x", 1.0)]
+    assert loose.text_csv(spark, str(path)).columns == ["b", "a"]
+    with pytest.raises(ValueError):
+        loose.text_csv(spark, str(path), ["a", "c"])
+
+
 def test_headers_and_aliases(spark):
     assert loose.normal_header("Qty  On/Hand (u)") == "qty_on_hand_u"
     df = spark.createDataFrame([("A", "", 0.0, 5.0, "3"), ("B", "cat", 2.0, 0.0, "")],
