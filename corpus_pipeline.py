@@ -11,9 +11,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import packing, simhash
-from ledgerloom.llm.common import shared_folder, table
-from ledgerloom.llm.queries import RADIUS, SHINGLE, tokenizer_path
+from ledgerloom.llm import decontaminate, language, line_dedup, packing, simhash
+from ledgerloom.llm.common import remainder, shared_folder, table
+from ledgerloom.llm.queries import MIN_LINES, RADIUS, SHINGLE, tokenizer_path
+
+
+def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised stay."""
+    return language.keep_recognised(docs, remainder("doc_id", 4) == 2)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of runs of lines go; a document of which nothing is left goes with them."""
+    return line_dedup.drop_repeats(docs, MIN_LINES)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,12 +31,23 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_copies(docs, SHINGLE, RADIUS)
 
 
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and offset."""
     return packing.pack(docs, tokenizer_path(), 1024, 0)
 
 
-STAGES = [("near_duplicates", near_copies), ("packing", packed)]
+STAGES = [
+    ("language", recognised),
+    ("line_dedup", without_repeated_lines),
+    ("near_duplicates", near_copies),
+    ("decontamination", uncontaminated),
+    ("packing", packed),
+]
 
 #: SQL can state neither the language model nor the fingerprints: the tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -11,8 +11,7 @@ Items are a query set against all documents, in blocks of bounded size (`items`,
 is all that the tasks receive. Documents never move.
 
 Cases: words are lower-cased and ASCII marks count as spaces; items without a word are ignored; null texts have no words;
-equal items are reported each; rows that repeat an id give a row each, unless `documents` asks for ids alone; null ids stay
-null; empty tables give no rows; other columns are ignored. Whole texts are read, of any length.
+equal items are reported each; rows that repeat an id give rows each; null ids stay null; empty tables give no rows; other columns are ignored. Whole texts are read, of any length.
 """
 
 from __future__ import annotations
@@ -159,7 +158,7 @@ def passages(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, rad
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, in which no item is found. Rows without an id are looked at by themselves."""
-    number = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)))
+    """The documents, all columns, in which no item is found. Rows that share an id are told apart by their text."""
+    number = docs.withColumn("__id", F.xxhash64(id_col, text_col))
     bad = passages(number, benchmark, id_col="__id", text_col=text_col).select(F.col("doc_id").alias("__bad")).distinct()
     return number.join(bad, F.col("__id") == F.col("__bad"), "left_anti").drop("__id")

@@ -120,9 +120,12 @@ def learn(texts: DataFrame, most: int = 512) -> tuple[list[str], np.ndarray]:
     return names, np.log((held + 0.5) / (held.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)).astype(np.float32)
 
 
-def predictions(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def predictions(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                key_col: str | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score (proportion of that language), languages (chosen set).
 
+    With `key_col`, a long that tells rows apart, also `key`.
+
     Learns from the rows with a language and without `held_out`, which is an expression over doc_id.
     """
     spark = docs.sparkSession
@@ -135,7 +138,7 @@ def predictions(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     names, model = learn(labelled.filter(F.col("lang").isNotNull() & F.col("raw").isNotNull() & ~held_out).select(body, "lang"))
     known = spark.sparkContext.broadcast(np.ascontiguousarray(model.T))  # languages x 2^17 floats
 
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("languages", pa.list_(pa.string()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("languages", pa.list_(pa.string())), ("key", pa.int64())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value
@@ -156,8 +159,19 @@ def predictions(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
                     if has[row]:
                         who[row], score[row] = names[top[k]], share[k, top[k]]
                         sets[row] = [names[j] for j in np.flatnonzero(share[k] > 0)]
-            yield batch_of(schema, batch.column("doc_id"), batch.column("held_out"), who, np.clip(score, 0, 1), sets)
+            yield batch_of(schema, batch.column("doc_id"), batch.column("held_out"), who, np.clip(score, 0, 1), sets, batch.column("key"))
 
-    rows = prepared(docs).select("doc_id", held_out.alias("held_out"), F.coalesce(body, F.lit(" ")).alias("text"),
+    key = F.lit(None) if key_col is None else F.col(key_col)
+    rows = prepared(docs, key.cast("long").alias("key")).select("doc_id", "key", held_out.alias("held_out"), F.coalesce(body, F.lit(" ")).alias("text"),
                                  F.coalesce(F.col("raw").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
-    return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, languages array<string>")
+    found = rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, languages array<string>, key long")
+    return found.drop("key") if key_col is None else found
+
+
+def keep_recognised(docs: DataFrame, held_out: Column, least: float = 0.4, id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str = "lang") -> DataFrame:
+    """The documents, all columns, whose main language makes up a share of at least `least`; `und` goes."""
+    keyed = docs.withColumn("__key", F.xxhash64(id_col, text_col))
+    found = predictions(keyed, held_out, id_col, text_col, lang_col, "__key")
+    bad = found.filter((F.col("lang_pred") == "und") | (F.col("score") < least)).select(F.col("key").alias("__bad")).distinct()
+    return keyed.join(bad, F.col("__key") == F.col("__bad"), "left_anti").drop("__key")

@@ -79,6 +79,20 @@ def without_repeats(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id",
     )
 
 
+def drop_repeats(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """The documents, all columns, without later copies of runs of lines; a document of which nothing stays goes.
+
+    The number of characters follows the text where there is such a column.
+    """
+    found = without_repeats(docs, min_lines, id_col, text_col)
+    cut_ = F.col("__n_removed") > 0
+    found = found.filter(~(cut_ & (F.trim("__kept") == ""))).withColumn(text_col, F.when(cut_, F.col("__kept")).otherwise(F.col(text_col)))
+    if size_col in docs.columns:
+        size = F.length(text_col).cast(docs.schema[size_col].dataType)
+        found = found.withColumn(size_col, F.when(cut_, size).otherwise(F.col(size_col)))
+    return found.select(*docs.columns)
+
+
 def report(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, kept_sha256."""
     only = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
