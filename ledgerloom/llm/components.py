@@ -24,7 +24,7 @@ def _to_least(edges: DataFrame) -> DataFrame:
 
 
 def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root): for each node of an edge the smallest node it can reach."""
+    """(node, root): for each node of an edge the smallest node it can reach; the smallest ones have no row of their own."""
     edges = cut(
         pairs.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("other"))
         .filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("node") != F.col("other"))).distinct()
