@@ -286,11 +286,6 @@ def with_views(body: str) -> str:
     return f"WITH {', '.join(ctes)}\n{body}" if ctes else body
 
 
-# Each test table is one file with one row group, which a single task would read and process
-# alone. The larger ones are dealt out to all cores first; real tables have many files.
-SPREAD = ("customer", "documents", "events", "lineitem", "orders", "pages", "conversations")
-
-
 _tables: dict[tuple[str, str], Tables] = {}
 _sources: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -299,8 +294,7 @@ def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A test table. Its plan is kept per application, so that its footer is read only once."""
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _sources:
-        df = spark.read.parquet(f"{folder}/{name}.parquet")
-        _sources[key] = df.repartition(spark.sparkContext.defaultParallelism) if name in SPREAD else df
+        _sources[key] = spark.read.parquet(f"{folder}/{name}.parquet")
     return _sources[key]
 
 

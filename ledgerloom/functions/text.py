@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import reference_data as ref
 
@@ -97,19 +97,61 @@ def squash_lines(c: Column) -> Column:
 
 # --- HTML ------------------------------------------------------------------------------------
 
-# The entities decoded without a Python worker.
+# The five entities of the plain mode.
 COMMON_ENTITIES = (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'))
 
 
-def decode_entities(c: Column) -> Column:
-    """Decode every HTML entity. Only texts holding an ampersand travel to a Python worker."""
-    def unescape(texts: pd.Series) -> pd.Series:  # local, so that workers need no copy of this module
-        from html import unescape as decode
+# A reference behind its ampersand: decimal, hexadecimal or named, with or without a semicolon.
+_REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_BAD_CHARACTER = "\ufffd"
+
 
-        return texts.map(decode, na_action="ignore")
+def _letter(code: Column) -> Column:
+    """The character of a code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
-    decoded = F.pandas_udf(unescape, T.StringType())(F.when(c.contains("&"), c))
-    return F.coalesce(decoded, c)
+
+def _numbered_reference(ref: Column) -> Column:
+    """Text of a decimal or hexadecimal reference by the rules of HTML: some codes have a fixed text, some have none."""
+    digits = F.regexp_extract(ref, r"^#[xX]?0*([0-9a-fA-F]*);?$", 1)
+    base = F.when(F.lower(F.substring(ref, 2, 1)) == "x", 16).otherwise(10)
+    # More than seven digits lie beyond every character; longer ones would not fit a number.
+    code = F.when(F.length(digits) > 7, 0x7FFFFFFF).otherwise(
+        F.coalesce(F.conv(F.nullif(digits, F.lit("")), 16, 10).cast("bigint"), F.lit(0)))
+    decimal = F.when(F.length(digits) > 7, 0x7FFFFFFF).otherwise(F.coalesce(digits.try_cast("bigint"), F.lit(0)))
+    code = F.when(base == 16, code).otherwise(decimal)
+    # Codes 128 to 159 mean the characters of the Windows code page; zero has no character.
+    fixed = {0: _BAD_CHARACTER, 13: "\r"}
+    fixed |= {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    table = F.create_map(*[F.lit(x) for pair in fixed.items() for x in pair])
+    silent = (code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
+              | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+    return (
+        F.when(F.map_contains_key(table, code.cast("int")), F.element_at(table, code.cast("int")))
+        .when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), _BAD_CHARACTER)
+        .when(silent, "").otherwise(_letter(code))
+    )
+
+
+def _named_reference(ref: Column) -> Column:
+    """Text of a named reference: the whole name, else the longest name it begins with, else itself."""
+    names = F.create_map(*[F.lit(x) for pair in html5.items() for x in pair])
+    starts = F.filter(F.transform(F.sequence(F.length(ref), F.lit(1), F.lit(-1)), lambda n: F.substr(ref, F.lit(1), n)),
+                      lambda s: F.map_contains_key(names, s))
+    known = F.try_element_at(starts, F.lit(1))
+    return F.coalesce(F.concat(F.element_at(names, known), F.substr(ref, F.length(known) + 1)), F.concat(F.lit("&"), ref))
+
+
+def decode_entities(c: Column) -> Column:
+    """Decode every HTML reference, numeric ones included. Texts without an ampersand are left alone."""
+    def piece(text: Column) -> Column:
+        ref = F.regexp_extract(text, _REFERENCE, 1)
+        said = F.when(ref == "", "&").when(F.startswith(ref, F.lit("#")), _numbered_reference(ref)).otherwise(_named_reference(ref))
+        return F.concat(said, F.substr(text, F.length(ref) + 1))
+
+    pieces = F.split(c, "&")
+    rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), piece)
+    return F.when(F.contains(c, F.lit("&")), F.concat(F.element_at(pieces, 1), F.array_join(rest, ""))).otherwise(c)
 
 
 def decode_common_entities(c: Column) -> Column:

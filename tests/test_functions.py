@@ -23,6 +23,24 @@ def test_localized(column):
     assert column(values, text.localized_nonblank(V)) == ["uno", "one", '{"fr":"un"}', "plain", '{"es_GT":""}', ""]
 
 
+def test_html_references_equal_python(column):
+    import random
+    from html.entities import html5
+
+    rng = random.Random(1)
+    codes = [*range(300), 0xD800, 0xFFFE, 0xFDD0, 0x1FFFF, 0x110000, 99_999_999_999, 128512]
+    texts = [f"&{n}" for n in html5] + [f"&#{n};" for n in codes] + [f"&#x{n:x} " for n in codes]
+    texts += ["", "&", "&&", "a & b", "&#;", "&#xg;", "&notit;", "&amp;lt;", "&nosuch;", "&ltgt;", "&#0065;&#X41;"]
+    texts += ["".join(rng.choices(["&", "#", "x", "amp", "lt", ";", "a", " ", "6", "notin", "é", "\n"], k=rng.randrange(14))) for _ in range(1000)]
+    assert column([*texts, None], text.decode_entities(V)) == [*map(html.unescape, texts), None]
+
+
+def test_days_are_whole_texts(column):
+    values = ["2024-01-02", "2024-01-02T10:00:00", "2024-01-02 10:00", "2024-01-02garbage", "2024-13-01", "x2024-01-02", "", None, "20240102"]
+    day = dt.date(2024, 1, 2)
+    assert column(values, dates.parse_day(V)) == [day, day, day, None, None, None, None, None, None]
+
+
 CONTROLS = "a\x00b\tc\nd\re\x1ff\x7fg h"
 
 

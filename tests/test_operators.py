@@ -150,8 +150,9 @@ def test_broadcast_depends_on_size(spark, tmp_path):
     path = str(tmp_path / "dim")
     spark.range(5000).selectExpr("id", "uuid() AS name").write.parquet(path)
     dim, fact = spark.read.parquet(path), spark.range(10).withColumnRenamed("id", "fk")
-    size = joins.table_bytes(dim)
-    assert size > 5000
+    size = joins.frame_bytes(joins.prefixed(dim, "d", {"name": "name"}))
+    assert size == 5000 * (8 * 2 + 16 + 36)  # two columns and a text of 36 letters
+    assert [joins.byte_size(x) for x in ("10485760b", "10MB", "-1", "256k")] == [10485760, 10485760, -1, 262144]
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         for limit, expected in ((size, True), (size - 1, False)):

@@ -12,7 +12,7 @@ from ledgerloom.plans import cash, payables, projects, purchasing, stock
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 
-NO_SQL = {"clean_html_all_entities"}
+NO_SQL = set()
 
 
 @pytest.fixture(scope="module")
