@@ -82,11 +82,11 @@ def task_orders(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFram
 def task_po_pending(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFrame:
     """Per task: number of orders, open amount, order references, currencies."""
     rows = task_orders(t, rates)
+    # Currencies are few, whatever the number of orders; references are not and come in parts.
+    used = F.nullif(F.array_join(F.array_sort(F.collect_set("currency")), ","), F.lit(""))
     sums = rows.groupBy("task_id").agg(
-        F.count(F.lit(1)).alias("po_count"), F.sum("pending_gtq").alias("total_po_amount"))
-    refs = list_cell(rows, ["task_id"], "po_reference", "po_references")
-    money = list_cell(rows, ["task_id"], "currency", "currencies_used", separator=",")
-    return sums.join(refs, "task_id", "left").join(money, "task_id", "left")
+        F.count(F.lit(1)).alias("po_count"), F.sum("pending_gtq").alias("total_po_amount"), used.alias("currencies_used"))
+    return sums.join(list_cell(rows, ["task_id"], "po_reference", "po_references"), "task_id", "left")
 
 
 def task_reference_parts(t: Mapping[str, DataFrame]) -> DataFrame:
