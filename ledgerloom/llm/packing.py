@@ -34,6 +34,7 @@ PACKED = pa.schema([*PIECES, ("sequence_id", pa.int64()), ("offset", pa.int64())
 REMEMBERED = 300_000
 #: Marks that the tokenizer parts from the letters before them.
 MARKS = ".,!?#$%&*|;:"
+PLAIN_WORD = r"^(?P<stem>\p{L}+)(?P<tail>[.,!?#$%&*|;:]*)$"
 _BOOKS: dict[str, "WordIds"] = {}
 
 
@@ -60,8 +61,8 @@ class WordIds:
         for at in range(0, len(words), 256):
             some = words[at:at + 256]
             ids = self.whole("\n".join(some))
-            for word, part in zip(some, np.split(ids, np.flatnonzero(ids == self.line))):
-                self.known[word] = (part[1:] if len(part) and part[0] == self.line else part).tobytes()
+            raw, ends = ids.tobytes(), (4 * np.append(np.flatnonzero(ids == self.line), len(ids))).tolist()
+            self.known.update(zip(some, [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]))
 
     @staticmethod
     def parts(word: str) -> list[str] | None:
@@ -79,11 +80,14 @@ class WordIds:
                 return None
         return found
 
-    def of(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, little-endian."""
+    def of(self, words: list[str], plain: bool = False) -> list[bytes]:
+        """Ids of each word, little-endian; `plain`: the words are without line ends and inner space."""
         if len(self.known) > REMEMBERED:
             self.known = {}
         self.known["\n"] = np.array([self.line], dtype="<u4").tobytes()
+        if plain:
+            self.learn([w for w in words if w not in self.known])
+            return list(map(self.known.__getitem__, words))
         found = list(map(self.known.get, words))
         missing = {k: self.parts(words[k]) for k, ids in enumerate(found) if ids is None}
         self.learn([w for w in dict.fromkeys(p for parts in missing.values() for p in parts or ()) if w not in self.known])
@@ -100,38 +104,51 @@ def book(path: str) -> WordIds:
     return _BOOKS[path]
 
 
+def _gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `pool` that `order` names (each with a start and a size), one after the other, and where each begins."""
+    size = sizes[order]
+    at = np.concatenate([[0], np.cumsum(size)])
+    return pool[np.repeat(starts[order] - at[:-1], size) + np.arange(at[-1])], at
+
+
 def token_ids(texts: pa.Array, words: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, one after the other, and where each text's ids begin (one more entry than texts)."""
     split = pc.split_pattern(texts, " ")
-    firsts = split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
     coded = split.flatten().dictionary_encode()
-    index, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-    odd = np.fromiter((not w or w[0].isspace() for w in names), dtype=bool, count=len(names))
-    starts = [names[k] for k in index[firsts]]
-    index[firsts] = np.arange(len(names), len(names) + len(firsts))
-    ids = words.of([" " + w for w in names]) + words.of(starts)
-    lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-    ends = np.concatenate([firsts[1:], [len(index)]])
-    bad = np.logical_or.reduceat(np.append(np.append(odd, np.zeros(len(firsts), bool))[index], False), firsts) if len(firsts) else odd
-    for row in np.flatnonzero(bad):  # white space in runs: the whole text at once
-        ids.append(words.whole(texts[int(row)].as_py()).tobytes())
-    if bad.any():
-        lengths = np.concatenate([lengths, np.fromiter(map(len, ids[len(lengths):]), dtype=np.int64) // 4])
+    index, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    firsts = split.offsets.to_numpy()[:-1].astype(np.int64) - split.offsets[0].as_py()
+    # Distinct words: letters and the marks behind them are two pieces; anything else is looked at one by one.
+    parted = pc.extract_regex(names, PLAIN_WORD)
+    plain = parted.is_valid().to_numpy(zero_copy_only=False)
+    stems, tails = (pc.struct_field(parted.filter(pa.array(plain)), f).dictionary_encode() for f in ("stem", "tail"))
+    others = names.filter(pa.array(~plain)).to_pylist()
+    starts = pc.take(names, pa.array(index[firsts])).to_pylist()
+    ids = [b"", *words.of([" " + w for w in stems.dictionary.to_pylist()], plain=True), *words.of(tails.dictionary.to_pylist()),
+           *words.of([" " + w for w in others]), *words.of(starts)]
+    odd = np.zeros(len(names) + len(starts), bool)
+    odd[np.flatnonzero(~plain)] = [not w or w[0].isspace() for w in others]
+    at_tails, at_others = 1 + len(stems.dictionary), 1 + len(stems.dictionary) + len(tails.dictionary)
+    halves = np.zeros((len(names) + len(starts), 2), np.int64)
+    halves[:len(names)][plain, 0] = 1 + stems.indices.to_numpy()
+    halves[:len(names)][plain, 1] = at_tails + tails.indices.to_numpy()
+    halves[:len(names)][~plain, 0] = at_others + np.arange(len(others))
+    halves[len(names):, 0] = at_others + len(others) + np.arange(len(starts))
+    index[firsts] = np.arange(len(names), len(halves))  # no space before the first word of a text
+    counts = np.diff(np.append(firsts, len(index)))
+    whole = np.flatnonzero(np.logical_or.reduceat(odd[index], firsts)) if odd.any() else np.zeros(0, np.int64)
+    if len(whole):  # white space in runs: the whole text at once
         stay = np.ones(len(index), bool)
-        for extra, row in enumerate(np.flatnonzero(bad)):
-            stay[firsts[row] + 1:ends[row]] = False
-            index[firsts[row]] = len(ids) - int(bad.sum()) + extra
-        owner = np.repeat(np.arange(len(firsts)), ends - firsts)[stay]
-        index = index[stay]
-    else:
-        owner = np.repeat(np.arange(len(firsts)), ends - firsts)
-    flat = np.frombuffer(b"".join(ids), dtype="<u4")
-    at = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-    sizes = lengths[index]
-    total = np.concatenate([[0], np.cumsum(sizes)])
-    taken = flat[np.repeat(at[index] - total[:-1], sizes) + np.arange(total[-1])]
-    per_text = np.bincount(owner, weights=sizes, minlength=len(firsts)).astype(np.int64)
-    return taken, np.concatenate([[0], np.cumsum(per_text)])
+        for extra, row in enumerate(whole):
+            stay[firsts[row] + 1:firsts[row] + counts[row]] = False
+            index[firsts[row]] = len(halves) + extra
+            ids.append(words.whole(texts[int(row)].as_py()).tobytes())
+        more = np.zeros((len(whole), 2), np.int64)
+        more[:, 0] = len(ids) - len(whole) + np.arange(len(whole))
+        halves, index, counts[whole] = np.concatenate([halves, more]), index[stay], 1
+    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+    distinct, at = _gathered(np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(sizes) - sizes, sizes, halves.ravel())
+    taken, at = _gathered(distinct, at[:-1:2], np.diff(at[::2]), index)
+    return taken, at[np.concatenate([[0], np.cumsum(counts)])]
 
 
 def cut_texts(batches: Iterator[pa.RecordBatch], path: str, capacity: int, closing: int) -> Iterator[pa.RecordBatch]:
@@ -202,7 +219,7 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:
 
 def ranked(pieces: DataFrame) -> DataFrame:
     """`pieces` with `rank`, 0 upwards among the pieces of a length."""
-    buckets = 4 * shuffle_width(pieces.sparkSession)
+    buckets = shuffle_width(pieces.sparkSession)
     dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)))
     inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32")
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
