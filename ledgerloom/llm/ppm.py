@@ -23,6 +23,7 @@ gives no rows; other columns are ignored. Long texts are read in overlapping par
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,6 +108,18 @@ def _word_keys(words: list[bytes], hashes: WordHashes) -> np.ndarray:
     return np.fromiter(map(hashes.__getitem__, [*words, END]), dtype=np.uint64, count=len(words) + 1)
 
 
+def packed(values: np.ndarray, ordered: bool = False) -> bytes:
+    """Numbers as compressed bytes, the first byte of all, then the second; `ordered` ones as differences."""
+    values = np.diff(values, prepend=values.dtype.type(0)) if ordered else values
+    return zlib.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def unpacked(raw: bytes, kind: type, ordered: bool = False) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    values = np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(size, -1).T).view(kind)[:, 0]
+    return np.cumsum(values, dtype=kind) if ordered else values
+
+
 def name_keys(order: int, shards: int):
     """The distinct words and strings of a block, by shard of the key, with how often learnt documents hold them."""
     def of(block: pa.Table) -> pa.Table:
@@ -119,37 +132,41 @@ def name_keys(order: int, shards: int):
         number, rows = block.column("block")[0].as_py(), []
         for kind, tally in enumerate(tallies):
             keys, counts = tally.settle()
-            shard = shard_of(keys, shards)
+            shard = shard_of(keys, shards, 50 if kind == WORDS else 4 * (order + 1))
             for k in np.unique(shard):
                 mine = shard == k
-                rows.append((kind, int(k), number, keys[mine].tobytes(), counts[mine].astype(np.uint32).tobytes()))
+                rows.append((kind, int(k), number, packed(keys[mine], True), packed(counts[mine])))
         return pa.table([pa.array(c, type=f.type) for c, f in zip(zip(*rows), _NAMED)], schema=_NAMED)
 
     return of
 
 
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    mixed = (keys ^ keys >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+def shard_of(keys: np.ndarray, shards: int, low: int) -> np.ndarray:
+    """Shards by a hash of the bits above the `low` ones: keys that begin alike stay together and compress well."""
+    top = keys >> np.uint64(low)
+    mixed = (top ^ top >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
     return ((mixed >> np.uint64(40)) % np.uint64(shards)).astype(np.int32)
 
 
 def _blobs(named: pa.Table, column: str, kind: type) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_py(), kind) for x in named.column(column)]
+    return [unpacked(x.as_py(), kind, column == "keys") for x in named.column(column)]
 
 
 def count_keys(named: pa.Table) -> pa.Table:
     """The distinct keys of a shard and their counts over all blocks."""
-    keys, counts = merged([(k, n.astype(np.int64)) for k, n in zip(_blobs(named, "keys", np.uint64), _blobs(named, "counts", np.uint32))])
+    keys, counts = merged(list(zip(_blobs(named, "keys", np.uint64), _blobs(named, "counts", np.int64))))
     same = [np.full(len(keys), named.column(c)[0].as_py(), np.int32) for c in ("kind", "shard")]
     return pa.table([pa.array(c) for c in (*same, keys.view(np.int64), counts)], schema=_COUNTED)
 
 
 def give_values(named: pa.Table, valued: pa.Table) -> pa.Table:
-    """The values of a shard's keys, for each block that named them."""
-    keys, values = valued.column("key").to_numpy().view(np.uint64), valued.column("value").to_numpy()
+    """The values of a shard's keys, for each block that named them; code lengths in single precision."""
+    keys, values = valued.column("key").to_numpy().view(np.uint64), valued.column("value").to_numpy().astype(np.float64)
     order = np.argsort(keys)
     keys, values = keys[order], values[order]
-    found = [values[np.searchsorted(keys, k)].astype(np.float64).tobytes() for k in _blobs(named, "keys", np.uint64)]
+    if named.column("kind")[0].as_py() == STRINGS:
+        values = values.astype(np.float32).astype(np.float64)
+    found = [packed(values[np.searchsorted(keys, k)]) for k in _blobs(named, "keys", np.uint64)]
     return pa.table([named.column("kind"), named.column("block"), named.column("keys"), pa.array(found, type=pa.binary())], schema=_VALUED)
 
 
@@ -222,7 +239,7 @@ def code_lengths(strings: DataFrame, order: int) -> DataFrame:
     return level.select("key", "value")
 
 
-def scores(docs: DataFrame, held_out: Column, order: int = 5, block_bytes: int = 24 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scores(docs: DataFrame, held_out: Column, order: int = 5, block_bytes: int = 48 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
     The model learns from the documents without `held_out`, an expression over doc_id.
@@ -232,7 +249,7 @@ def scores(docs: DataFrame, held_out: Column, order: int = 5, block_bytes: int =
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     width = shuffle_width(docs.sparkSession)
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
-    blocks, shards = max(width, math.ceil(size / block_bytes)), 4 * width
+    blocks, shards = max(12, math.ceil(size / block_bytes)), width
     dealt = texts.select("doc_id", held_out.alias("held_out"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
     named = cut(dealt.groupBy("block").applyInArrow(name_keys(order, shards), _ddl(_NAMED)))
     counted = cut(named.groupBy("kind", "shard").applyInArrow(count_keys, _ddl(_COUNTED)))
