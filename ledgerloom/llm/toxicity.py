@@ -5,8 +5,9 @@ log-count ratio of a bucket compares the shares of toxic and other labelled docu
 on the features scaled by these ratios gives the weights. Scoring reads each whole text once; the model is 2^20 floats.
 
 Bounds, as parameters: the ratios are learnt from at most `labelled` labelled documents (in order of a hash of their id),
-the weights from at most `fitted` of those. The list of labelled ids is thus at most `labelled` rows, which is what is
-broadcast; texts never move.
+the weights from at most `fitted` of those, up to a third of them toxic, so that the few toxic ones weigh enough. Buckets that
+fewer than `SEEN` of them hold, or whose log-count ratio stays under `LEAST` either way, have no weight. The list of
+labelled ids is thus at most `labelled` rows, which is what is broadcast; texts never move.
 
 Cases: a null text is an empty one and gets the score of no features; conflicting labels of an id count as toxic; null
 labels and ids without text are ignored; without labels of both kinds every score is the share of toxic labels (0 without
@@ -27,6 +28,8 @@ from ledgerloom.llm.common import batch_of, cut, text_slices
 
 BITS = 20
 BUCKETS = 1 << BITS
+#: Labelled documents that must hold a bucket, and the log-count ratio it must reach, to be a feature of the fit.
+SEEN, LEAST = 3, 0.7
 _PART = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
@@ -84,12 +87,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch_of(_COUNTS, seen.astype(np.int32), held[0, seen], held[1, seen])
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    present = Present()
-    for batch in batches:
-        toxic = batch.column("toxic").to_pylist()
-        for row, text in _texts(batch):
-            yield batch_of(_FEATURES, [toxic[row]], pa.array([present(text).astype(np.int32)], type=pa.list_(pa.int32())))
+def _features(telling: np.ndarray):
+    """The buckets of each text that are marked in `telling`."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present = Present()
+        for batch in batches:
+            found = [present(text).astype(np.int32) for _, text in _texts(batch)]
+            yield batch_of(_FEATURES, batch.column("toxic"), pa.array([f[telling[f]] for f in found], type=pa.list_(pa.int32())))
+
+    return of
 
 
 def fit_weights(buckets: np.ndarray, starts: np.ndarray, toxic: np.ndarray, ratios: np.ndarray, rounds: int = 120, ridge: float = 0.01) -> tuple[np.ndarray, float]:
@@ -97,18 +103,23 @@ def fit_weights(buckets: np.ndarray, starts: np.ndarray, toxic: np.ndarray, rati
 
     `buckets` holds the features of all documents one after the other, `starts` where each document's begin.
     """
-    used, at = np.unique(buckets, return_inverse=True)
-    scale, sizes = ratios[used], np.diff(np.append(starts, len(buckets)))
-    scaled, doc = scale[at], np.repeat(np.arange(len(starts)), sizes)
-    spread = np.sqrt(np.bincount(doc, weights=scaled**2, minlength=len(starts)).mean()) or 1.0
-    scaled = scaled / spread
+    marked = np.zeros(BUCKETS, bool)
+    marked[buckets] = True
+    used = np.flatnonzero(marked)
+    places = np.zeros(BUCKETS, np.int32)
+    places[used] = np.arange(len(used), dtype=np.int32)
+    at, scale = places[buckets], ratios[used]
+    doc = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(buckets))))
+    scaled = scale[at].astype(np.float32)
+    spread = float(np.sqrt((scaled.astype(np.float64) ** 2).sum() / len(starts))) or 1.0
+    scaled /= np.float32(spread)
     weights, share = np.zeros(len(used)), toxic.mean()
     bias = float(np.log(share / (1 - share)))
     first, second, bias_first, bias_second = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for step in range(1, rounds + 1):
-        guess = 1 / (1 + np.exp(-np.clip(np.bincount(doc, weights=scaled * weights[at], minlength=len(starts)) + bias, -30, 30)))
+        guess = 1 / (1 + np.exp(-np.clip(np.bincount(doc, weights=scaled * weights.astype(np.float32)[at], minlength=len(starts)) + bias, -30, 30)))
         error = (guess - toxic) / len(toxic)
-        slope = np.bincount(at, weights=scaled * error[doc], minlength=len(used)) + ridge * weights / len(toxic)
+        slope = np.bincount(at, weights=scaled * error.astype(np.float32)[doc], minlength=len(used)) + ridge * weights / len(toxic)
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         bias_first, bias_second = 0.9 * bias_first + 0.1 * error.sum(), 0.999 * bias_second + 0.001 * error.sum() ** 2
         rate = 0.1 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
@@ -119,7 +130,7 @@ def fit_weights(buckets: np.ndarray, starts: np.ndarray, toxic: np.ndarray, rati
     return out, bias
 
 
-def scores(docs: DataFrame, labels: DataFrame, held_out: Column, labelled: int = 20_000, fitted: int = 5_000,
+def scores(docs: DataFrame, labels: DataFrame, held_out: Column, labelled: int = 20_000, fitted: int = 6_000,
            id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted. Labels of documents with `held_out` (over doc_id) are not read."""
     spark = docs.sparkSession
@@ -133,7 +144,8 @@ def scores(docs: DataFrame, labels: DataFrame, held_out: Column, labelled: int =
     known = cut(known)  # at most `labelled` rows
     learnt = texts.join(F.broadcast(known), "doc_id")
     rows = learnt.select("toxic", "text").mapInArrow(_count, "bucket int, clean long, toxic long")
-    counts = rows.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()  # <= 2^20 rows
+    counts = rows.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = counts.filter(F.col("clean") + F.col("toxic") >= SEEN).toPandas()  # <= 2^20 rows
     sizes = {r["toxic"]: r["count"] for r in learnt.groupBy("toxic").count().collect()}
     weights, bias = np.zeros(BUCKETS), None
     if len(sizes) == 2:
@@ -141,17 +153,16 @@ def scores(docs: DataFrame, labels: DataFrame, held_out: Column, labelled: int =
         held[0, counts["bucket"]], held[1, counts["bucket"]] = counts["clean"], counts["toxic"]
         shares = [(held[k] + 1) / (sizes[k] + 2) for k in (0, 1)]
         ratios = np.log(shares[1] / shares[0])
-        few = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted)
+        telling = (held.sum(axis=0) >= SEEN) & (np.abs(ratios) >= LEAST)
+        few = cut(known.filter("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted // 3).unionByName(
+            known.filter("toxic = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted - fitted // 3)))
         sample = texts.join(F.broadcast(few), "doc_id").select("toxic", "text")
-        got = sample.mapInArrow(_features, "toxic int, buckets array<int>").toArrow()  # at most about `fitted` rows
+        got = sample.mapInArrow(_features(telling), "toxic int, buckets array<int>").toArrow()  # about `fitted` rows
         lists = got.column("buckets").combine_chunks()
         flat, starts = lists.flatten().to_numpy(), lists.offsets.to_numpy()[:-1].astype(np.int64) - lists.offsets[0].as_py()
         toxic = got.column("toxic").to_numpy().astype(float)
-        often = held.sum(axis=0)[flat] >= 3
-        ends = np.append(starts, len(flat))
-        kept = np.concatenate([[0], np.cumsum(often)])[ends]
         if 0 < toxic.mean() < 1:
-            weights, bias = fit_weights(flat[often], kept[:-1], toxic, ratios)
+            weights, bias = fit_weights(flat, starts, toxic, ratios)
     if bias is None:
         share = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.0
         bias = 30.0 if share == 1 else float(np.log(share / (1 - share))) if share else None
