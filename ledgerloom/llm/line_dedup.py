@@ -32,17 +32,18 @@ _LAST = (1 << 63) - 1
 
 
 def _ranked(keys: DataFrame, names: list[str]) -> DataFrame:
-    """Distinct keys with `place`, in their order: the range partition, then the place inside it."""
+    """Distinct keys and `first`, with `place` in their order: the range partition, then the place inside it."""
     parts = keys.repartitionByRange(shuffle_width(keys.sparkSession), *names).withColumn("part", F.spark_partition_id())
     inside = Window.partitionBy("part").orderBy(*names)
     place = F.shiftleft(F.col("part").cast("long"), 40) + F.row_number().over(inside)
-    return cut(parts.select(*names, place.alias("place")))
+    return cut(parts.select(*names, "first", place.alias("place")))
 
 
 def _repeated(suffixes: DataFrame, names: list[str]) -> DataFrame:
-    """The suffixes whose keys are shared by others, with the place of their keys: `rank`."""
-    shared = suffixes.groupBy(*names).count().filter(F.col("count") > 1).select(*names)
-    return cut(suffixes.join(_ranked(shared, names), names).select(*_PLACE, F.col("place").alias("rank")))
+    """The suffixes whose keys are shared by others, with the place of their keys (`rank`) and the smallest suffix of them."""
+    shared = suffixes.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_PLACE)).alias("first"))
+    ranked = _ranked(shared.filter("n > 1").select(*names, "first"), names)
+    return cut(suffixes.join(ranked, names).select(*_PLACE, F.col("place").alias("rank"), "first"))
 
 
 def later_copies(lines: DataFrame, min_lines: int) -> DataFrame:
@@ -51,9 +52,8 @@ def later_copies(lines: DataFrame, min_lines: int) -> DataFrame:
     while depth < min_lines:
         step = min(depth, min_lines - depth)
         ahead = suffixes.select("__doc", "__copy", (F.col("__pos") - step).alias("__pos"), F.col("rank").alias("rank2"))
-        suffixes, depth = _repeated(suffixes.join(ahead, _PLACE), ["rank", "rank2"]), depth + step
-    first = suffixes.groupBy("rank").agg(F.min(F.struct(*_PLACE)).alias("first"))
-    return suffixes.join(first, "rank").filter(F.struct(*_PLACE) != F.col("first")).select(*_PLACE)
+        suffixes, depth = _repeated(suffixes.drop("first").join(ahead, _PLACE), ["rank", "rank2"]), depth + step
+    return suffixes.filter(F.struct(*_PLACE) != F.col("first")).select(*_PLACE)
 
 
 def without_repeats(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
