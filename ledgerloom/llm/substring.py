@@ -7,9 +7,10 @@ five residues that is 15 words for a window of 35, and under a quarter of all po
 
 1. Anchors are sorted by hash; those equal to a neighbour are repeated (an anchor at the edge of a partition counts as
    repeated too, which only costs a comparison later).
-2. Repeated anchors are extended: each window that holds one is hashed whole (128 bits over 64-bit word hashes). The
+2. Repeated anchors are extended: each window that holds one is hashed whole (96 bits over 64-bit word hashes). The
    windows are sorted the same way, and equal neighbours are repeated windows. A group that meets the edge of a partition
-   is settled with the edges of all partitions, two groups each.
+   is settled with the edges of all partitions, two groups each. Of texts that are equal as a whole (128 bits) all windows
+   are repeated, and the first of them alone stands for them here.
 3. Words covered by a repeated window are removed; the others are joined by one space.
 
 Both sorts are range partitions with sampled splitters over (hash, document, position), so that a passage held by a third
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batch_of, shuffle_width
+from ledgerloom.llm.common import batch_of, cut, shuffle_width
 
 #: A period and a difference cover of it: every residue is a difference of two of these.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
@@ -40,8 +41,10 @@ _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _KEY = "doc_id long, copy int"
 _ANCHORS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("copy", pa.int32()), ("pos", pa.int32())])
 _PLACES = pa.schema([("doc_id", pa.int64()), ("copy", pa.int32()), ("pos", pa.int32())])
-_WINDOWS = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), *_PLACES])
-_EDGES = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("n", pa.int64())])
+_WINDOWS = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), *_PLACES])
+_EDGES = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("n", pa.int64())])
+#: In place of a position: the whole text.
+ALL = -1
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
@@ -91,7 +94,7 @@ def _columns(batch: pa.RecordBatch) -> tuple[list, list, list]:
 def _joined(schema: pa.Schema, parts: list[tuple]) -> pa.RecordBatch:
     """Rows of (arrays..., doc_id, copy, positions) of several documents as one batch."""
     sizes = np.array([len(p[-1]) for p in parts], dtype=np.int64)
-    hashes = [np.concatenate([p[k] for p in parts]).view(np.int64) for k in range(len(schema) - 3)]
+    hashes = [np.concatenate([p[k] for p in parts]).astype(np.int64).astype(schema.field(k).type.to_pandas_dtype()) for k in range(len(schema) - 3)]
     ids = pa.array([p[-3] for p in parts], type=pa.int64()).take(pa.array(np.repeat(np.arange(len(parts)), sizes)))
     copies = np.repeat(np.array([p[-2] for p in parts], dtype=np.int32), sizes)
     return batch_of(schema, *hashes, ids, copies, np.concatenate([p[-1] for p in parts]).astype(np.int32))
@@ -222,8 +225,10 @@ def strip(size: int) -> Callable:
             for doc, text, places in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("places")):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 stay = words
-                if places.is_valid:
-                    at = np.unique(places.values.to_numpy())
+                at = np.unique(places.values.to_numpy()) if places.is_valid else ()
+                if len(at) and at[0] == ALL:
+                    stay, at = words if len(words) < size else [], ()
+                if len(at):
                     step = np.zeros(len(words) + 1, np.int64)
                     step[at] += 1
                     step[at + size] -= 1
@@ -246,6 +251,11 @@ def without_repeats(docs: DataFrame, size: int = 35, period: int = PERIOD, cover
     unique = ids.groupBy("doc_id").count().filter("count > 1").isEmpty()
     texts = ids.withColumn("copy", F.lit(0) if unique else F.hash("text"))
 
+    whole = texts.select("doc_id", "copy", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    groups = whole.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "copy")).alias("first"))
+    copied = cut(whole.join(groups.filter("n > 1"), ["a", "b"]).select(
+        F.col("doc_id").alias("c_doc"), F.col("copy").alias("c_copy"), (F.struct("doc_id", "copy") != F.col("first")).alias("later")))
+
     def places(found: DataFrame) -> DataFrame:
         return found.groupBy(F.col("doc_id").alias("of"), F.col("copy").alias("of_copy")).agg(F.collect_list("pos").alias("places"))
 
@@ -256,14 +266,17 @@ def without_repeats(docs: DataFrame, size: int = 35, period: int = PERIOD, cover
     hashed = texts.mapInArrow(anchors(size, period, cover), "h long, " + _KEY + ", pos int")
     ordered = hashed.repartitionByRange(parts, "h", "doc_id", "pos").sortWithinPartitions("h")
     matched = ordered.mapInArrow(repeated_anchors, _KEY + ", pos int")
-    candidates = beside(matched, "inner").mapInArrow(windows(size, period), "h1 long, h2 long, " + _KEY + ", pos int")
+    is_later = F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.col("copy") == F.col("c_copy")) & F.col("later")
+    matched = matched.join(copied, is_later, "left_anti")
+    candidates = beside(matched, "inner").mapInArrow(windows(size, period), "h1 long, h2 int, " + _KEY + ", pos int")
     sorted_ = candidates.repartitionByRange(parts, "h1", "h2", "doc_id", "pos").sortWithinPartitions("h1", "h2")
-    found = sorted_.mapInArrow(repeated_windows, "h1 long, h2 long, " + _KEY + ", pos int")
-    edges = sorted_.mapInArrow(_edge_groups, "h1 long, h2 long, n long").groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+    found = sorted_.mapInArrow(repeated_windows, "h1 long, h2 int, " + _KEY + ", pos int")
+    edges = sorted_.mapInArrow(_edge_groups, "h1 long, h2 int, n long").groupBy("h1", "h2").agg(F.sum("n").alias("n"))
     across = edges.filter("n > 1").select(F.col("h1").alias("e1"), F.col("h2").alias("e2"))  # two rows a partition at most
     settled = (
         found.join(F.broadcast(across), (F.col("h1") == F.col("e1")) & (F.col("h2") == F.col("e2")), "left")
         .filter(F.col("h1").isNull() | F.col("e1").isNotNull()).select("doc_id", "copy", "pos")
     )
+    settled = settled.unionByName(copied.select(F.col("c_doc").alias("doc_id"), F.col("c_copy").alias("copy"), F.lit(ALL).alias("pos")).distinct())
     return beside(settled, "left").mapInArrow(
         strip(size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
