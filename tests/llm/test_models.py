@@ -109,6 +109,15 @@ def test_quality_thresholds(spark):
         assert r["threshold"] == own[math.ceil(0.99 * len(own)) - 1]
 
 
+def test_quality_thresholds_come_from_all_trusted_documents(spark):
+    docs, labels = (spark.read.parquet(f"{LARGER}/{name}.parquet") for name in ("documents", "labels"))
+    found = kneser_ney.quality(docs, labels, trusted=5)  # the model learns from five of them
+    good = found.join(labels.filter("quality = 1"), "doc_id")
+    exact = {r["lang"]: r["ppl"] for r in good.groupBy("lang").agg(F.sort_array(F.collect_list("perplexity")).alias("ppl")).collect()}
+    rows = found.select("lang", "threshold").distinct().collect()
+    assert len(exact) > 1 and all(r["threshold"] == exact[r["lang"]][math.ceil(0.99 * len(exact[r["lang"]])) - 1] for r in rows)
+
+
 def test_quality_of_odd_documents(spark):
     df = odd_documents(spark)
     labels = spark.createDataFrame([(1, 1, 0), (10, 1, 0), (99, 1, 1), (None, 1, 0), (7, None, None)], "doc_id long, quality int, toxic int")
