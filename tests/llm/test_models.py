@@ -96,6 +96,45 @@ def test_kneser_ney_probabilities_add_up(spark):
     assert kneser_ney.train(texts_of(spark, [None, ""])) is None
 
 
+def test_quality_tells_all_bytes_apart(spark):
+    frequent = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"  # 52 bytes, more than the others below
+    learnt = [frequent * 9, "call 5551 or 5552", "naïve café", "日本語の文"]
+    odd = ["call 5551", "call 7397", "日本語", "語本日", "Ж", None, ""]
+    df = texts_of(spark, learnt + odd).withColumn("lang", F.lit("x"))
+    labels = spark.createDataFrame([(k, 1) for k in range(len(learnt))], "doc_id long, quality int")
+    found = {r["doc_id"]: r["perplexity"] for r in kneser_ney.quality(df, labels).collect()}
+
+    rows, base, model = [t.encode() for t in learnt], 257, []  # the same model, plainly
+    grams = Counter(tuple([0] * 4 + [b + 1 for b in t])[p - 3:p + 1] for t in rows for p in range(4, len(t) + 4))
+    for order in range(4, 0, -1):
+        seen = Counter(grams.values())
+        y = seen[1] / (seen[1] + 2 * seen[2]) if seen[1] else 0.5
+        raw = [k - (k + 1) * y * seen[k + 1] / seen[k] if seen[k] else 0.5 * k for k in (1, 2, 3)]
+        d = [0.0, *(min(max(x, 0.1), 0.9 * k) for k, x in enumerate(raw, 1))]
+        total, spare = Counter(), Counter()
+        for g, n in grams.items():
+            total[g[:-1]] += n
+            spare[g[:-1]] += d[min(n, 3)]
+        model.append((grams, d, total, spare))
+        grams = Counter(g[1:] for g in grams)
+
+    def p(gram):
+        if not gram:
+            return 1 / base
+        n, d, total, spare = model[4 - len(gram)]
+        below, t = p(gram[1:]), total[gram[:-1]]
+        return below if not t else (n[gram] - d[min(n[gram], 3)]) / t + spare[gram[:-1]] / t * below
+
+    for k, text in enumerate(learnt + odd):
+        if not text:
+            assert found[k] is None
+            continue
+        symbols = [0] * 3 + [b + 1 for b in text.encode()]
+        logs = [math.log10(p(tuple(symbols[i - 3:i + 1]))) for i in range(3, len(symbols))]
+        assert found[k] == pytest.approx(10 ** (-sum(logs) / len(logs)))
+    assert found[len(learnt) + 1] > found[len(learnt)] and found[len(learnt) + 3] > found[len(learnt) + 2]
+
+
 def test_quality_thresholds(spark):
     found = REGISTRY["op9_quality"](spark, LARGER)
     labels = spark.read.parquet(f"{LARGER}/labels.parquet")
