@@ -1,7 +1,8 @@
 """Benchmark passages in documents, by SimHash of item-sized windows.
 
 An item of n words is looked for in every window of n words: both are weighted sets of five-word shingles (shorter items:
-one shingle of all their words) and match at a weighted Jaccard similarity of `similarity`. A window that shares no
+one shingle of all their words) and match at a weighted Jaccard similarity of `similarity`. A document shorter than the
+item is one window, whole. A window that shares no
 shingle with any item has similarity zero to all of them and is passed over; the others get a 64-bit SimHash. The items'
 fingerprints are indexed in eight blocks of eight bits: of two fingerprints within `radius` bits one block differs in at
 most radius // 8 bits, so the items found through the blocks are all that lie within the radius. Those within it are
@@ -100,8 +101,10 @@ class Items:
             if not len(hits):
                 continue
             for (k, width), (ids, prints, index, sets) in self.classes.items():
-                if k != size or len(shingles) < width:
+                whole = len(shingles)
+                if k != size or whole / width < self.similarity:  # too few shingles to be as similar as that
                     continue
+                width = min(width, whole)  # a document shorter than the items is one window
                 step = np.zeros(len(shingles) + 2, np.int32)  # windows that hold a shared shingle
                 np.add.at(step, np.maximum(hits - width + 1, 0), 1)
                 np.add.at(step, hits + 1, -1)

@@ -264,6 +264,37 @@ def test_decontamination_equals_all_windows(spark):
         assert got == want and len(want) > 20  # enough of them, changed ones included
 
 
+def test_decontamination_finds_documents_shorter_than_the_item(spark):
+    rng = random.Random(7)
+    items = [(k, " ".join(rng.sample([f"v{j}" for j in range(2_000)], n))) for k, n in enumerate((45, 45, 60, 30, 12, 9, 5, 3))]
+    docs = []
+    for k, text in items:
+        words = text.split()
+        for first, last in ((0, 1), (1, 0), (1, 1), (3, 0), (0, len(words) // 2), (0, len(words) - 1)):
+            docs.append((len(docs), " ".join(words[first:len(words) - last])))
+    docs += [(100 + k, " ".join(text.split()[:-1] + ["other"])) for k, text in items]
+    shingles = lambda words, k: Counter(tuple(words[p:p + k]) for p in range(len(words) - k + 1))
+    want = {}
+    for i, text in docs:
+        words = decontaminate.plain_words(text)
+        for item, passage in items:
+            own = decontaminate.plain_words(passage)
+            k, best = min(5, len(own)), 0.0
+            target = shingles(own, k)
+            for start in range(max(1, len(words) - len(own) + 1)):
+                have = shingles(words[start:start + len(own)], k)
+                value = (have & target).total() / (have | target).total()
+                if value >= 0.8 and value > best:
+                    best = value
+                    want[i, item] = (pytest.approx(value), start, min(len(words), len(own)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"], r["n_words"]) for r in decontaminate.passages(df, bench).collect()}
+    assert got == want and (0, 0) in got and len(want) > 15
+    kept = {r["doc_id"] for r in decontaminate.drop_contaminated(df, bench).collect()}
+    assert kept == {i for i, _ in docs} - {i for i, _ in want}
+
+
 def test_decontamination_of_odd_documents(spark):
     df = odd_documents(spark)
     bench = spark.createDataFrame([(5, "same words again and again second line"), (6, "no id"), (7, None)], "item_id long, text string")
