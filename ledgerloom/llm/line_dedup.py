@@ -1,4 +1,4 @@
-"""Repeated runs of lines by a distributed suffix array over line-ID sequences.
+"""Repeated runs of lines by prefix doubling over line-ID sequences up to `min_lines`; no suffix array is built.
 
 Lines are named by 128 bits of hash; the sequence of names of all documents, in order of document and line, is sorted by
 prefix doubling: rank 0 orders suffixes by their first line, and each round ranks them by twice as many lines, from the
