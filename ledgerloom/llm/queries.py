@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
-    decontaminate, exact_dedup, kneser_ney, language, line_dedup, packing, ppm, simhash, substring, toxicity,
+    decontaminate, exact_dedup, filter_audit, kneser_ney, language, line_dedup, packing, ppm, secret_scan, simhash, substring,
+    toxicity, vector_codes,
 )
 from ledgerloom.llm.common import remainder, table
 
@@ -16,6 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHINGLE, RADIUS = 3, 2
 #: Words of a window that must not repeat; lines of a run that must not.
 WINDOW, MIN_LINES = 35, 2
+#: Part positions, entries of a codebook and rounds of the vector codes; units of a vector component.
+PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -66,11 +69,58 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.found_secrets(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"), PARTS, ENTRIES, ROUNDS, SCALE)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 REGISTRY: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_exact_dedup, op3_simhash, op4_lm_score, op5_substring_dedup, op6_language, op7_line_dedup, op8_packing,
-    op9_quality, op10_decontamination,
+    op9_quality, op10_decontamination, op11_secret_scan, op12_vector_codes, op13_filter_audit,
 )}
 
+
+def vector_codes_sql() -> str:
+    """The rounds of the vector codes one after the other; the key of a distance is distance x entries + index."""
+    nearest = f"""SELECT x.r, x.p, min(CAST(list_inner_product(list_transform(list_zip(x.sub, c.sub), lambda z: CAST(z[1] - z[2] AS DOUBLE)),
+                list_transform(list_zip(x.sub, c.sub), lambda z: CAST(z[1] - z[2] AS DOUBLE))) AS BIGINT) * {ENTRIES} + c.k) AS v
+            FROM parts x JOIN books{{0}} c ON c.p = x.p GROUP BY x.r, x.p"""
+    rounds = "".join(f""",
+        near{n} AS MATERIALIZED ({nearest.format(n)}),
+        books{n + 1} AS MATERIALIZED (
+            SELECT c.p, c.k, coalesce(m.sub, c.sub) AS sub FROM books{n} c LEFT JOIN (
+                SELECT p, k, list(mean ORDER BY pos) AS sub FROM (
+                    SELECT p, k, pos, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS mean FROM (
+                        SELECT n.p, n.v % {ENTRIES} AS k, unnest(s.sub) AS x, generate_subscripts(s.sub, 1) AS pos
+                        FROM near{n} n JOIN parts s ON s.r = n.r AND s.p = n.p) GROUP BY p, k, pos) GROUP BY p, k) m
+            ON m.p = c.p AND m.k = c.k)""" for n in range(ROUNDS))
+    return f"""
+        WITH whole AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        numbered AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id) AS r FROM whole),
+        parts AS MATERIALIZED (
+            SELECT r, p, v[CAST(p * len(v) // {PARTS} + 1 AS BIGINT):CAST((p + 1) * len(v) // {PARTS} AS BIGINT)] AS sub
+            FROM numbered, range({PARTS}) AS position(p)),
+        books0 AS MATERIALIZED (SELECT p, r - 1 AS k, sub FROM parts WHERE r <= {ENTRIES}){rounds},
+        near AS MATERIALIZED ({nearest.format(ROUNDS)}),
+        codes AS (
+            SELECT r, string_agg(printf('%02x', v % {ENTRIES}), '' ORDER BY p) AS code, CAST(sum(v // {ENTRIES}) AS BIGINT) AS error
+            FROM near GROUP BY r),
+        digest AS (
+            SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, k, pos)) AS codebooks_sha256
+            FROM (SELECT p, k, unnest(sub) AS x, generate_subscripts(sub, 1) AS pos FROM books{ROUNDS}))
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM numbered JOIN codes USING (r), digest"""
+
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": r"""
         WITH bodies AS (
@@ -114,4 +164,42 @@ SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op12_vector_codes": vector_codes_sql(),
+    "op13_filter_audit": r"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        marks AS (
+            SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic
+            FROM labels GROUP BY doc_id),
+        facts AS (
+            SELECT part, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+                          100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+                          regexp_matches(text, '[#$%&*|]'),
+                          coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails,
+                   coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+            FROM texts LEFT JOIN marks USING (doc_id)),
+        cells AS MATERIALIZED (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS t FROM facts GROUP BY part, fails),
+        letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS k),
+        orders AS (
+            SELECT [a.k, b.k, c.k, d.k, e.k] AS o FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+        steps AS (SELECT o, s.k AS step FROM orders, letters s),
+        judged AS (
+            SELECT part, o, step, n, g, t, fails[o[step]] AS own,
+                   len(list_filter(o[1:step - 1], lambda k: fails[k])) > 0 AS gone,
+                   len(list_filter(fails, lambda f: f)) AS failed
+            FROM cells, steps),
+        sums AS (
+            SELECT part, o, step, o[step] AS filter,
+                   coalesce(sum(n) FILTER (NOT gone AND NOT own), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND own), 0) AS removed,
+                   coalesce(sum(n) FILTER (gone AND own), 0) AS redundant, coalesce(sum(n) FILTER (own AND failed = 1), 0) AS unique_fails,
+                   coalesce(sum(g) FILTER (NOT gone AND own), 0) AS good_lost, coalesce(sum(t) FILTER (NOT gone AND own), 0) AS toxic_lost
+            FROM judged GROUP BY part, o, step)
+        SELECT part, array_to_string(list_transform(o, lambda k: chr(64 + k)), '') AS filter_order, CAST(step AS INTEGER) AS step,
+               CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+               CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+        FROM sums""",
 }

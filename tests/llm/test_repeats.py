@@ -14,7 +14,8 @@ from ledgerloom.llm import line_dedup, queries, substring
 
 def by_sql(name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    for name_ in ("documents", "labels", "embeddings"):
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{FOLDER}/{name_}.parquet'")
     found = con.sql(queries.SQL[name])
     return Counter(map(str, found.project(", ".join(sorted(found.columns))).fetchall()))
 
