@@ -16,6 +16,7 @@ from ledgerloom.operators import explore, groups, joins
 from ledgerloom.plans import attendance, cash, inventory, payables, projects, purchasing, quality, search, stock
 from ledgerloom.sinks import reports
 from ledgerloom.sources import loose
+from ledgerloom.sources.sizes import fits
 from ledgerloom.sources.tables import query as sql_query
 
 from .views import erp, source
@@ -148,7 +149,7 @@ def stock_movements_all_locations(t):
 def stock_or_join(t):
     moves = t["stock_move"].select("id", "location_id", "location_dest_id")
     for fk, name in (("location_id", "src_warehouse"), ("location_dest_id", "dst_warehouse")):
-        moves = joins.look_up(moves, t["stock_location"], fk, name, {"warehouse_id": name})
+        moves = joins.look_up(moves, t["stock_location"], fk, name, {"warehouse_id": name}, small=fits(t, "stock_location"))
     return joins.either_key_join(moves, t["stock_warehouse"], "src_warehouse", "dst_warehouse",
                                  {"id": "warehouse_id", "name": "warehouse"})
 

@@ -11,6 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.sources.sizes import TableSize, row_bytes, table_size
 from ledgerloom.sources.tables import Tables
 
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -309,9 +310,20 @@ def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.sql(text)
 
 
+def view_size(spark: SparkSession, folder: str, name: str) -> TableSize | None:
+    """Size of a view: its rows are at most those of the tables it names, each time it names them; lists are short."""
+    names = re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", VIEWS[name])
+    sizes = [view_size(spark, folder, n) if n in VIEWS else table_size(source(spark, folder, n)) for n in names]
+    if any(s is None for s in sizes):
+        return None
+    listed = VIEWS[name].count("), (") + 1 if "VALUES" in VIEWS[name] else 0
+    return TableSize(listed + sum(s.rows for s in sizes), row_bytes(erp(spark, folder)[name].schema))
+
+
 def erp(spark: SparkSession, folder: str) -> Tables:
     """All ERP tables over the test tables of a folder (their plans, kept per application)."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _tables:
-        _tables[key] = Tables(lambda name: view(spark, folder, name), VIEWS)
+        _tables[key] = Tables(
+            lambda name: view(spark, folder, name), VIEWS, lambda name: view_size(spark, folder, name))
     return _tables[key]

@@ -2,67 +2,29 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-_FIXED_SIZE = {"byte", "short", "integer", "long", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz", "decimal"}
-
-
 def prefixed(df: DataFrame, prefix: str, columns: dict[str, str] | list[str], key: str = "id") -> DataFrame:
     """Columns of a dimension under a role: ``{prefix}_key`` plus the renamed attributes."""
     names = columns if isinstance(columns, dict) else {c: f"{prefix}_{c}" for c in columns}
     return df.select(F.col(key).alias(f"{prefix}_key"), *[F.col(c).alias(n) for c, n in names.items()])
 
 
-_measured: dict[tuple[str, int], int] = {}
-_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
-
-
-def byte_size(text: str) -> int:
-    """A size setting such as ``10485760b`` or ``10MB`` in bytes."""
-    found = re.fullmatch(r"(-?\d+)([a-z]*)", text.strip().lower())
-    return int(found[1]) * _UNITS[found[2]]
-
-
-def row_bytes(df: DataFrame) -> Column:
-    """Bytes a row takes in memory: eight for each column, and the length of its texts."""
-    size = F.lit(8 * len(df.columns) + 16)
-    for f in df.schema.fields:
-        if f.dataType.typeName() not in _FIXED_SIZE:
-            size = size + F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
-    return size
-
-
-def frame_bytes(df: DataFrame) -> int:
-    """Rows times their width in memory, counted by one job and remembered for the rest of the application."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
-    if key not in _measured:
-        _measured[key] = df.agg(F.sum(row_bytes(df).cast("bigint"))).first()[0] or 0
-    return _measured[key]
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Mark a frame for broadcast when its rows, as counted, fit the session's broadcast limit.
-
-    Spark's own estimate of a joined frame multiplies the sizes of its tables, and a JDBC table has none; both would
-    shuffle the fact instead. A frame over the limit stays as it is: Spark then joins by shuffle, with skewed partitions
-    split.
-    """
-    limit = byte_size(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return F.broadcast(df) if frame_bytes(df) <= limit else df
-
-
 def look_up(fact: DataFrame, dim: DataFrame, fk: str | Column, prefix: str,
-            columns: dict[str, str] | list[str], key: str = "id", spread_nulls_by: str | None = None) -> DataFrame:
-    """Left join one role of a dimension and drop its key; a small dimension is broadcast.
+            columns: dict[str, str] | list[str], key: str = "id", spread_nulls_by: str | None = None,
+            small: bool = False) -> DataFrame:
+    """Left join one role of a dimension and drop its key.
+
+    ``small`` says that the dimension is known to fit the session's broadcast limit (``sizes.fits``): Spark's own estimate
+    of a joined frame multiplies the sizes of its tables and would shuffle the fact instead. Other sides are left to Spark.
 
     Rows without a foreign key would all meet in one shuffle partition. With ``spread_nulls_by``
     they get stand-in keys, made from that column, that no dimension row has.
     """
-    side = broadcast_if_small(prefixed(dim, prefix, columns, key))
+    side = prefixed(dim, prefix, columns, key)
+    side = F.broadcast(side) if small else side
     fk = F.col(fk) if isinstance(fk, str) else fk
     if spread_nulls_by:
         number = F.pmod(F.xxhash64(spread_nulls_by), F.lit(2**20))

@@ -20,6 +20,7 @@ from ..operators.groups import list_cell, list_parts
 from ..operators.joins import look_up
 from ..operators.ordered import numbered, one_per_key, with_next
 from ..params import AsOf, BreakRule
+from ..sources.sizes import fits
 
 NO_DEPARTMENT = "Sin Departamento"
 Departments = tuple[str, ...] | None
@@ -63,7 +64,8 @@ def on_site_now(t: Mapping[str, DataFrame], as_of: AsOf, departments: Department
     people = _who(inside, t, departments)
     roster = staff(t, departments).filter("active").select(
         F.col("employee_id").alias("_id"), F.coalesce(F.nullif("phone", F.lit("")), F.lit("N/A")).alias("_phone"))
-    people = look_up(people, roster, "employee_id", "roster", {"_phone": "phone"}, key="_id")
+    people = look_up(people, roster, "employee_id", "roster", {"_phone": "phone"}, key="_id",
+                     small=fits(t, "hr_employee"))
     since = micros_between(F.col("check_in"), instant(as_of.ts))
     order = [F.col("check_in"), F.col("employee_id")]
     listed = numbered(people, [], order, F.date_trunc("hour", F.col("check_in")),

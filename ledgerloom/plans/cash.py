@@ -15,6 +15,7 @@ from ..functions.text import html_to_lines, label_of, localized_only
 from ..operators.groups import spread, with_total
 from ..operators.joins import look_up
 from ..operators.ordered import numbered, top_n_per_key
+from ..sources.sizes import fits
 
 NO_PROJECT, NO_TASK = "Sin Proyecto", "Sin Tarea"
 MONEY_SUM = "decimal(38,4)"
@@ -67,12 +68,14 @@ def cash_requirements(t: Mapping[str, DataFrame], *, allocate: str = "full", per
     df = orders.join(
         t["res_partner"].select(F.col("id").alias("partner_id"), F.col("name").alias("supplier_name"),
                                 F.col("vat").alias("supplier_nit")), "partner_id")
-    df = look_up(df, t["res_currency"], "currency_id", "currency", {"name": "_currency"})
-    df = look_up(df, unpaid_per_order(t, per_line), "id", "unpaid", {"unpaid": "_unpaid"}, key="order_id")
+    df = look_up(df, t["res_currency"], "currency_id", "currency", {"name": "_currency"}, small=fits(t, "res_currency"))
+    df = look_up(df, unpaid_per_order(t, per_line), "id", "unpaid", {"unpaid": "_unpaid"}, key="order_id",
+                 small=fits(t, "purchase_order"))
     links = order_tasks(t)
     if allocate == "even":
         shares = links.groupBy("_order").agg(F.count(F.lit(1)).alias("_shares"))
-        df = look_up(df, shares, "id", "shares", {"_shares": "_shares"}, key="_order")
+        df = look_up(df, shares, "id", "shares", {"_shares": "_shares"}, key="_order",
+                     small=fits(t, "project_task_purchase_order_rel"))
     else:
         df = df.withColumn("_shares", F.lit(1))
     df = df.join(links, F.col("id") == F.col("_order"), "left")

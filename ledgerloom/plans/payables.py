@@ -15,6 +15,7 @@ from ..operators.groups import list_cell, list_parts
 from ..operators.joins import look_up
 from ..operators.ordered import numbered
 from ..reference_data import FAR_FUTURE
+from ..sources.sizes import fits
 
 HEADER_TEXT = ("bill_number", "vendor_reference", "invoice_origin", "supplier_name", "supplier_phone",
                "supplier_email", "bill_notes", "po_numbers")
@@ -63,7 +64,7 @@ def bills(t: Mapping[str, DataFrame], as_of: dt.date, *, only_posted: bool = Tru
     df = moves.join(t["res_partner"].select(
         F.col("id").alias("partner_id"), F.col("name").alias("supplier_name"), F.col("phone").alias("supplier_phone"),
         F.col("email").alias("supplier_email")), "partner_id")
-    df = look_up(df, t["res_currency"], "currency_id", "currency", {"name": "_currency"})
+    df = look_up(df, t["res_currency"], "currency_id", "currency", {"name": "_currency"}, small=fits(t, "res_currency"))
     orders = list_cell(bill_orders(t), ["move_id"], "po_number", "po_numbers", size="po_count")
     df = look_up(df, orders, "id", "orders", {"po_numbers": "po_numbers", "po_count": "po_count"}, key="move_id")
 
@@ -101,7 +102,8 @@ def vendor_bills(t: Mapping[str, DataFrame], headers: DataFrame) -> DataFrame:
         "display_type", "quantity", "price_unit", "price_subtotal", "price_total",
         squash_lines(F.col("ref")).alias("line_ref"), "sequence", "product_id")
     lines = look_up(lines, products, "product_id", "product",
-                    {"product_name": "product_name", "product_code": "product_code"}).drop("product_id")
+                    {"product_name": "product_name", "product_code": "product_code"},
+                    small=fits(t, "product_product", "product_template")).drop("product_id")
     return headers.join(lines, "bill_id", "left").na.fill("", list(LINE_TEXT))
 
 

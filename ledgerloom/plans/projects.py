@@ -16,6 +16,7 @@ from ..functions.text import erp_link, html_to_summary, localized_only, or_blank
 from ..operators.groups import list_cell, list_parts, mean_or_zero, percent_label
 from ..operators.joins import look_up
 from ..operators.ordered import numbered
+from ..sources.sizes import fits
 
 AMOUNT = "decimal(38,4)"
 ERP_URL = "https://erp.example.com/web#"
@@ -67,7 +68,8 @@ def order_pending(t: Mapping[str, DataFrame]) -> DataFrame:
 def task_orders(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFrame:
     """(task, order) rows with reference text, currency and open amount in the home currency."""
     orders = t["purchase_order"].filter("state <> 'cancel'")
-    orders = look_up(orders, t["res_currency"], "currency_id", "currency", {"name": "_currency"})
+    orders = look_up(orders, t["res_currency"], "currency_id", "currency", {"name": "_currency"},
+                     small=fits(t, "res_currency"))
     currency = currency_code(F.col("currency_id"), F.col("_currency"))
     orders = orders.select(F.col("id").alias("order_id"), "name", "state", "amount_total", currency.alias("currency"))
     orders = orders.join(order_pending(t), "order_id")
@@ -107,7 +109,8 @@ def plan_tasks(t: Mapping[str, DataFrame]) -> DataFrame:
         F.col("date_end").alias("actual_end_date"), "stage_id", "is_closed",
         F.col("progress").alias("progress_percentage"), "planned_hours", "effective_hours", "remaining_hours")
     stages = t["project_task_type"].select("id", localized_only("name").alias("status"))
-    df = look_up(tasks.join(projects, "project_id"), stages, "stage_id", "stage", {"status": "status"})
+    df = look_up(tasks.join(projects, "project_id"), stages, "stage_id", "stage", {"status": "status"},
+                 small=fits(t, "project_task_type"))
     return df.withColumns({
         "status": or_blank(F.col("status")),
         "task_level": F.when(F.col("parent_id").isNull(), 0).otherwise(1),

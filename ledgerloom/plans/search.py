@@ -7,15 +7,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import reference_data as ref
 from ..functions.dates import day
 from ..functions.text import haystack
 from ..operators.ordered import one_per_key, ranked_union, top_n_per_key
 from ..params import SearchPreset
+from ..shared import settled
 
 UNKNOWN_SENDER = "Desconocido"
+#: White space between words; characters of a gram.
+GAP, GRAM = r"[\x20\x09-\x0D]+", 3
+#: Parts over which the index rows of a word are dealt.
+SLICES = 16
 
 
 def _rows(spark: SparkSession, names: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
@@ -74,67 +78,89 @@ def mailbox_order() -> list[Column]:
     return [F.asc_nulls_last("priority"), F.col("mailbox")]
 
 
-def term_hits(rows: DataFrame, text: Column, terms: DataFrame, block: int = 50_000) -> DataFrame:
-    """One row per row of ``rows`` and distinct ``term`` that its text contains, added as column ``term``.
+def _grams(c: Column, size: int) -> Column:
+    """All runs of ``size`` characters of a text."""
+    return F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
-    Terms are a query set against all rows: they go out in blocks of about ``block``, each as one automaton that finds
-    all its terms in a single pass over a text, so the work does not grow with rows times terms. Texts are searched whole.
+
+def word_index(rows: DataFrame, text: Column, key: str = "id") -> DataFrame:
+    """The inverted index of words: one row (``key``, ``word``) per text and distinct word.
+
+    A word is what white space separates; texts are indexed whole. ``key`` is unique in ``rows``. The rows of a word lie in
+    a few parts, by a slice of the key, so that a word of all texts is no single part.
+    """
+    words = rows.select(key, F.explode(F.array_distinct(F.split(text, GAP))).alias("word")).filter("word <> ''")
+    return words.repartition("word", F.pmod(F.xxhash64(key), F.lit(SLICES)))
+
+
+def gram_index(words: DataFrame, sizes: Sequence[int] = (GRAM,)) -> DataFrame:
+    """The inverted index of character grams over the vocabulary: one row (``gram``, ``word``) per distinct word and gram.
+
+    The vocabulary grows far slower than the texts, so grams are made of distinct words and never of texts.
+    """
+    grams = F.concat(*[_grams(F.col("word"), n) for n in sizes])
+    return words.select("word").distinct().select(F.explode(F.array_distinct(grams)).alias("gram"), "word")
+
+
+def term_pieces(terms: DataFrame) -> DataFrame:
+    """(term, piece): the longest word of each distinct term. A term of white space alone has none."""
+    pieces = F.filter(F.split("term", GAP), lambda w: w != "")
+    longest = F.array_max(F.transform(pieces, lambda w: F.struct(F.length(w).alias("n"), w.alias("piece"))))["piece"]
+    return terms.select("term").distinct().select("term", longest.alias("piece")).filter("piece IS NOT NULL")
+
+
+def word_hits(grams: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(term, whole, word): the words that contain the piece of a term; ``whole`` tells that the piece is all of it.
+
+    Each term goes by the rarest gram of its piece: it meets the words that have this gram, and those are compared.
+    """
+    own = F.when(F.length("piece") < GRAM, F.array("piece")).otherwise(_grams(F.col("piece"), GRAM))
+    asked = pieces.select("term", "piece", F.explode(F.array_distinct(own)).alias("gram"))
+    # The same frame, word and all, goes into both joins on the gram, so that Spark makes and shuffles it once.
+    counts = grams.join(asked.select("gram").distinct(), "gram").groupBy("gram").agg(F.count("word").alias("_words"))
+    rarest = asked.join(counts, "gram").groupBy("term", "piece").agg(F.min(F.struct("_words", "gram"))["gram"].alias("gram"))
+    found = grams.join(rarest, "gram").filter(F.contains("word", "piece"))
+    return found.select("term", (F.col("piece") == F.col("term")).alias("whole"), "word")
+
+
+def term_hits(rows: DataFrame, text: Column, terms: DataFrame, key: str = "id") -> DataFrame:
+    """One row (``key``, ``term``) per row of ``rows`` and distinct term that its text contains.
+
+    A term without white space lies in a text just where it lies in one of its words, so the indexes answer it. Of a term of
+    several words the longest finds the candidates, and their texts are compared. A term of white space alone finds nothing.
+    A word of all texts is a skewed key of the last join, which Spark splits.
     """
-    distinct = terms.select("term").filter("term <> ''").distinct()
-    blocks = max(1, -(-distinct.count() // block))
-    kept, out = rows.columns, rows.withColumn("_text", text)
-    schema = T.StructType([*rows.schema.fields, T.StructField("term", T.StringType())])
-
-    def one(number: int) -> DataFrame:
-        words = [r["term"] for r in distinct.filter(F.pmod(F.xxhash64("term"), F.lit(blocks)) == number).collect()]
-        return out.mapInArrow(_finder(sorted(words), kept), schema)
-
-    found = one(0)
-    for number in range(1, blocks):
-        found = found.unionByName(one(number))
-    return found
-
-
-def _finder(words: list[str], kept: list[str]):
-    """Rows repeated for each of the words that their text contains."""
-    def find(batches):
-        import ahocorasick
-        import pyarrow as pa
-
-        automaton = ahocorasick.Automaton()
-        for word in words:
-            automaton.add_word(word, word)
-        if words:
-            automaton.make_automaton()
-        for batch in batches:
-            at, hits = [], []
-            for row, text in enumerate(batch.column("_text").to_pylist()):
-                seen = {word for _, word in automaton.iter(text)} if words else ()
-                at += [row] * len(seen)
-                hits += sorted(seen)
-            some = batch.select(kept).take(pa.array(at, type=pa.int64()))
-            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(hits, type=pa.string())], names=[*kept, "term"])
-
-    return find
+    words, pieces = word_index(rows, text, key), term_pieces(terms)
+    # Pieces shorter than a gram need grams of their own length; most searches have none, and no terms of several words.
+    kinds = pieces.select(F.length("piece").alias("n"), (F.col("term") == F.col("piece")).alias("whole")).distinct().collect()
+    sizes = (GRAM, *sorted({r["n"] for r in kinds if r["n"] < GRAM}))
+    matches = word_hits(gram_index(words, sizes), pieces)
+    hits = words.join(matches, "word").select(key, "term", "whole").distinct()
+    if all(r["whole"] for r in kinds):
+        return hits.select(key, "term")
+    compared = hits.filter("NOT whole").join(rows.select(key, text.alias("_text")), key).filter(F.contains("_text", "term"))
+    return hits.filter("whole").select(key, "term").unionByName(compared.select(key, "term"))
 
 
 def find_messages(messages: DataFrame, terms: DataFrame, boxes: DataFrame, preset: SearchPreset,
                   as_of: dt.date) -> DataFrame:
     """Newest messages per (query, mailbox, term) that contain the term, each message once per query.
 
-    Messages are tested where they lie. The newest ones per mailbox and term are chosen before the queries of a term come
-    in, so a term that many queries share costs what it costs once.
+    The newest ones per mailbox and term are chosen before the queries of a term come in, so a term that many queries share
+    costs what it costs once. Hits carry no texts; senders and subjects join the chosen messages.
     """
     if preset.has_date_floor:
         messages = messages.filter(F.col("received") >= day(as_of - dt.timedelta(days=preset.days_back)))
-    kept = messages.join(boxes.select("mailbox", "priority"), "mailbox").select(
-        "id", F.col("mailbox").alias("searched_mailbox"), "priority", "sender", "subject", "body", "received")
-    hits = term_hits(kept, haystack("subject", "body"), terms).drop("body")
-    newest = top_n_per_key(hits, ["searched_mailbox", "term"], [F.desc("received"), F.col("id")], preset.per_term, "_n").drop("_n")
+    kept = messages.join(F.broadcast(boxes.select("mailbox", "priority")), "mailbox")  # as many as the preset allows
+    terms = settled(terms)
+    hits = term_hits(kept.select("id", "subject", "body"), haystack("subject", "body"), terms)
+    placed = hits.join(kept.select("id", F.col("mailbox").alias("searched_mailbox"), "priority", "received"), "id")
+    newest = top_n_per_key(placed, ["searched_mailbox", "term"], [F.desc("received"), F.col("id")], preset.per_term, "_n").drop("_n")
     asked = newest.join(terms.select("query_id", "term_rank", "term"), "term").withColumnRenamed("term", "matched_term")
     seen_first = [F.asc_nulls_last("priority"), F.col("searched_mailbox"), F.col("term_rank")]
     found = one_per_key(asked, ["query_id", "id"], seen_first)
-    return found.select("query_id", "matched_term", "id", "searched_mailbox", "sender", "subject", "received")
+    return found.join(kept.select("id", "sender", "subject"), "id").select(
+        "query_id", "matched_term", "id", "searched_mailbox", "sender", "subject", "received")
 
 
 def message_order() -> list[Column]:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import TABLES
+from .sizes import TableSize, row_bytes, table_size
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -24,10 +25,12 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 class Tables(Mapping):
-    """ERP tables by name, read when first asked for."""
+    """ERP tables by name, read when first asked for; ``size`` tells how large one is, without running anything."""
 
-    def __init__(self, load: Callable[[str], DataFrame], names=tuple(TABLES)):
-        self._load, self._names, self._seen = load, tuple(names), {}
+    def __init__(self, load: Callable[[str], DataFrame], names=tuple(TABLES), size: Callable[[str], TableSize | None] | None = None):
+        self._load, self._names, self._size = load, tuple(names), size
+        self._seen: dict[str, DataFrame] = {}
+        self._sizes: dict[str, TableSize | None] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:
@@ -42,10 +45,26 @@ class Tables(Mapping):
     def __len__(self):
         return len(self._names)
 
+    def size(self, name: str) -> TableSize | None:
+        """Rows and row width of a table as it was read here; None where unknown."""
+        if name not in self._sizes:
+            self._sizes[name] = self._size(name) if self._size else None
+        return self._sizes[name]
+
 
 def parquet_tables(spark: SparkSession, folder: str) -> Tables:
     """One parquet dataset per table: ``{folder}/{table}``."""
-    return Tables(lambda name: spark.read.parquet(f"{folder}/{name}"))
+    seen: dict[str, DataFrame] = {}
+
+    def load(name: str) -> DataFrame:
+        return seen.setdefault(name, spark.read.parquet(f"{folder}/{name}"))
+
+    return Tables(load, size=lambda name: table_size(load(name)))
+
+
+def catalog_tables(spark: SparkSession, database: str) -> Tables:
+    """Tables of the session's catalog; those that have been analysed (``ANALYZE TABLE``) have known sizes."""
+    return Tables(lambda name: spark.table(f"{database}.{name}"), size=lambda name: table_size(spark.table(f"{database}.{name}")))
 
 
 @dataclass(frozen=True)
@@ -67,6 +86,7 @@ class Jdbc:
     password_variable: str = "ERP_DB_PASSWORD"
     fetch_size: int = 10_000
     splits: dict[str, JdbcSplit] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)  # declared, of tables that are to be sent to all tasks
 
     def options(self, table: str) -> dict[str, str]:
         out = {
@@ -86,7 +106,13 @@ class Jdbc:
 
 def jdbc_tables(spark: SparkSession, source: Jdbc) -> Tables:
     """Base tables of a database; projections and simple filters are pushed down to it."""
-    return Tables(lambda name: spark.read.format("jdbc").options(**source.options(name)).load())
+    def load(name: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**source.options(name)).load()
+
+    def size(name: str) -> TableSize | None:
+        return TableSize(source.rows[name], row_bytes(load(name).schema)) if name in source.rows else None
+
+    return Tables(load, size=size)
 
 
 def query(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame] | None = None, **params) -> DataFrame:
