@@ -36,6 +36,23 @@ def look_up(fact: DataFrame, dim: DataFrame, fk: str | Column, prefix: str,
     return fact.join(side, fk == F.col(f"{prefix}_key"), "left").drop(f"{prefix}_key")
 
 
+def attach(fact: DataFrame, keys: DataFrame, dim: DataFrame, fk: str, prefix: str, columns: dict[str, str],
+           key: str = "id", by: str = "id", small: bool = False) -> DataFrame:
+    """Left join one role of a large dimension to a wide fact that is keyed by ``by``.
+
+    ``keys`` are the narrow rows (``by``, ``fk``) of the same fact. They meet the dimension first, only those that have a
+    foreign key; what they found then joins the fact on ``by``. However many roles are attached, the wide rows are shuffled
+    once, by their own key, which no value crowds. A dimension known to fit the broadcast limit (``small``) is looked up
+    directly.
+    """
+    if small:
+        return look_up(fact, dim, fk, prefix, columns, key, small=True)
+    pairs = keys.select(F.col(by).alias(f"{prefix}_by"), F.col(fk).alias(f"{prefix}_fk")).filter(F.col(f"{prefix}_fk").isNotNull())
+    found = pairs.join(prefixed(dim, prefix, columns, key), F.col(f"{prefix}_fk") == F.col(f"{prefix}_key"))
+    found = found.select(f"{prefix}_by", *columns.values())
+    return fact.join(found, F.col(by) == F.col(f"{prefix}_by"), "left").drop(f"{prefix}_by")
+
+
 def either_key_join(fact: DataFrame, dim: DataFrame, first: str, second: str,
                     columns: dict[str, str], key: str = "id", position: str | None = None) -> DataFrame:
     """Left join ``dim`` on ``key = first OR key = second`` where ``key`` is unique in ``dim``.
