@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom import params, session
 from ledgerloom.functions import dates, money, status, text
-from ledgerloom.operators import explore, groups, joins
+from ledgerloom.operators import explore, groups, joins, ordered
 from ledgerloom.plans import attendance, cash, inventory, payables, projects, purchasing, quality, search, stock
+from ledgerloom.shared import shared_folder
 from ledgerloom.sinks import reports
 from ledgerloom.sources import loose
 from ledgerloom.sources.sizes import fits
@@ -261,7 +261,8 @@ def cash_document(t):
 
 @register
 def cash_list(t):
-    return cash.cash_detail(cash.cash_requirements(t)).select("place", "payment_date", "po_number", "po_id", "task_id")
+    needs = cash.cash_requirements(t).select("payment_date", "po_number", "po_id", "task_id", F.lit("").alias("notes"))
+    return cash.cash_detail(needs).drop("notes")
 
 
 # --- purchasing ------------------------------------------------------------------------------
@@ -363,7 +364,7 @@ def bills_paid(t):
 @register
 def bill_list(t):
     lines = payables.vendor_bills(t, bill_headers(t))
-    return payables.bill_list(lines).select("place", "bill_id", "line_id", "effective_due_date", "invoice_date")
+    return payables.bill_list(lines.select("bill_id", "line_id", "effective_due_date", "invoice_date", "sequence")).drop("sequence")
 
 
 @register
@@ -390,7 +391,8 @@ def project_tasks(t):
 
 @register
 def plan_list(t):
-    return projects.plan_list(projects.plan_tasks(t)).select("place", "task_id", "parent_id", "project_name")
+    tasks = projects.plan_tasks(t).select("task_id", "parent_id", "project_name", "sequence")
+    return projects.plan_list(tasks).drop("sequence")
 
 
 @register
@@ -698,17 +700,25 @@ def explored(t):
 
 @register
 def explore_page(t):
-    amount = F.col("total_amount")
-    return explore.page(explored(t), [F.desc("total_amount"), F.col("id")], 3, 50, bucket=F.floor(amount / 100_000),
-                        slice_=amount, descending=True)
+    return explore.page(explored(t), ["-total_amount", "id"], 3, 50)
+
+
+@register
+def explore_page_by_vendor(t):
+    return explore.page(explored(t), ["vendor", "-date_order", "id"], 2, 50)
+
+
+@register
+def explore_page_by_partner(t):
+    """A deep page of all orders by a column with gaps."""
+    return explore.page(order_list(t), ["-partner", "status", "id"], 20, 50)
 
 
 @register
 def explore_deep_page(t):
-    """Row numbers as deep pages use them: a bucket is a date, a slice of it ten thousand ids."""
+    """Row numbers of all orders, newest first."""
     df = order_list(t).select("id", "date_order", "total_amount")
-    return explore.numbered(df, [], [F.desc("date_order"), F.desc("id")], F.col("date_order"),
-                            descending=True, slice_=F.floor(F.col("id") / 10_000))
+    return ordered.numbered(df, [F.desc("date_order"), F.desc("id")])
 
 
 @register
@@ -770,11 +780,7 @@ def loose_headers(t, spark, folder):
 
 def written_csv(df: DataFrame, name: str) -> str:
     """A CSV file set of a table, in the folder that driver and executors share."""
-    spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    path = f"{shared or tempfile.mkdtemp(prefix='sheets-')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     reports.write_csv(df, path)
     return path
 

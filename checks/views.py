@@ -289,6 +289,7 @@ def with_views(body: str) -> str:
 
 _tables: dict[tuple[str, str], Tables] = {}
 _sources: dict[tuple[str, str, str], DataFrame] = {}
+_sizes: dict[tuple[str, str, str], TableSize | None] = {}
 
 
 def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -310,10 +311,18 @@ def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.sql(text)
 
 
+def source_size(spark: SparkSession, folder: str, name: str) -> TableSize | None:
+    """Size of a test table, kept as long as its plan."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _sizes:
+        _sizes[key] = table_size(source(spark, folder, name))
+    return _sizes[key]
+
+
 def view_size(spark: SparkSession, folder: str, name: str) -> TableSize | None:
     """Size of a view: its rows are at most those of the tables it names, each time it names them; lists are short."""
     names = re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", VIEWS[name])
-    sizes = [view_size(spark, folder, n) if n in VIEWS else table_size(source(spark, folder, n)) for n in names]
+    sizes = [view_size(spark, folder, n) if n in VIEWS else source_size(spark, folder, n) for n in names]
     if any(s is None for s in sizes):
         return None
     listed = VIEWS[name].count("), (") + 1 if "VALUES" in VIEWS[name] else 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day
 from ..functions.text import haystack
-from .ordered import numbered
+from .ordered import range_sorted
 
 
 def facet(df: DataFrame, facets: dict[str | tuple[str, ...], str | None]) -> DataFrame:
@@ -46,18 +46,27 @@ def facet_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column).alias("value")).filter(F.col("value") != "").distinct().orderBy("value")
 
 
-def page_count(df: DataFrame, size: int) -> Column:
-    """Number of pages (at least one), as a scalar for expressions."""
-    return df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).cast("bigint")).scalar()
+def sort_keys(order: list[str]) -> list[Column]:
+    """Sort expressions of column names; a leading minus sorts downwards."""
+    return [F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in order]
 
 
-def page(df: DataFrame, order: list[Column], number: int, size: int, *, bucket: Column, slice_: Column | None = None,
-         descending: bool = False) -> DataFrame:
-    """Rows of one page; a number outside 1 to the last page takes the nearest. ``order`` must be total.
+def page(df: DataFrame, order: list[str], number: int, size: int) -> DataFrame:
+    """Rows of one page; a number outside 1 to the last page takes the nearest.
 
-    Every page, however deep, is found by row numbers made in parallel; ``bucket`` and ``slice_`` are those of ``numbered``.
+    ``order`` names any columns, a leading minus sorts downwards; together they must tell rows apart. Every page, however
+    deep, is found the same way: the sort columns alone are sorted, the page's places are read off, and these (at most
+    ``size`` rows) pick their rows from the frame.
     """
-    at = F.least(F.lit(max(1, number)).cast("bigint"), page_count(df, size))
-    rows = numbered(df, [], order, bucket, "_row", descending, slice_).withColumn("_at", at)
-    return rows.filter((F.col("_row") > (F.col("_at") - 1) * size) & (F.col("_row") <= F.col("_at") * size)).orderBy(
-        "_row").drop("_row", "_at")
+    names = [c.removeprefix("-") for c in order]
+    keys, parts = range_sorted(df.select(*names), sort_keys(order))
+    last = parts.agg(F.greatest(F.ceil(F.coalesce(F.sum("_rows"), F.lit(0)) / size), F.lit(1)).cast("bigint")).scalar()
+    at = F.least(F.lit(max(1, number)).cast("bigint"), last)
+    row = F.col("_before") + F.col("_local")
+    # A part without rows of the page is left out before any of its rows is looked at.
+    held = parts.withColumn("_first", (at - 1) * size).filter(
+        (F.col("_before") < F.col("_first") + size) & (F.col("_before") + F.col("_rows") > F.col("_first")))
+    chosen = keys.join(F.broadcast(held), "_part").filter((row > F.col("_first")) & (row <= F.col("_first") + size))
+    chosen = chosen.select(*[F.col(c).alias(f"_page_{c}") for c in names])
+    same = [F.col(c).eqNullSafe(F.col(f"_page_{c}")) for c in names]
+    return df.join(F.broadcast(chosen), same).select(*df.columns).orderBy(*sort_keys(order))

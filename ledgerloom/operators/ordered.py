@@ -1,10 +1,9 @@
 """Order-dependent operators that keep a hot key spread over tasks.
 
-A window partitioned by a key pulls every row of that key into one task. Where a key can be hot,
-the operators here cut each key by a *bucket* — any expression that never decreases along the
-order, such as the hour of a timestamp. Windows then run per (key, bucket), and one summary row
-per bucket carries what crosses a bucket border. Where many rows can share the leading sort value,
-a struct of that value and a slice of the unique tie-break keeps every bucket bounded.
+A window partitioned by a key pulls every row of that key into one task. Row numbers therefore come from a range partition
+by sampled splitters and the counts of its parts. Look-ahead cuts each key by a *bucket* — any expression that never decreases
+along the order, such as the hour of a timestamp: windows run per (key, bucket), and one summary row per bucket carries what
+crosses a bucket border.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import settled
+
 
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows per key. Each task keeps its own first ``n`` before the shuffle."""
@@ -24,34 +25,39 @@ def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
     return top_n_per_key(df, keys, order, 1, "_rank").drop("_rank")
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[Column], bucket: Column,
-             name: str = "row_no", descending: bool = False, slice_: Column | None = None) -> DataFrame:
-    """Row number per key in ``order``; without keys, over the whole frame.
+def range_sorted(df: DataFrame, order: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """The rows range-partitioned and sorted by ``order``, with ``_part`` and ``_local`` (place in the part, from 1), and for
+    each part the number of rows before it (``_part``, ``_before``, ``_rows``).
+
+    Splitters are sampled from the whole order, tie-breaks included, so rows that share a date or an amount are spread like
+    any others. The sorted rows are written to the shared folder once: counts and rows come from the same splitters. There
+    are as many parts as the session has shuffle partitions.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    in_order = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    # The id is the number of the part and, in its lower 33 bits, the place in it.
+    rows = settled(in_order).withColumns({
+        "_part": F.shiftright("_at", 33), "_local": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1}).drop("_at")
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    return rows, counts.select("_part", "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "row_no", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Row number in ``order`` over the whole frame, or per key.
 
-    ``order`` must be total. Rows are numbered inside (key, bucket, slice); the rows before come from the counts, in two
-    steps: the slices before in the same bucket, and the buckets before. ``slice_`` follows the order inside a bucket.
-    Choose buckets whose number does not grow with the rows (days, hours, ranges of an amount), and slices that keep
-    the rows of each bounded: the one window over all buckets of a key then stays small.
+    No window holds more than a row for each part: a row's number is its place in its part and the rows of the parts before.
+    With ``keys`` the frame is sorted by them first, and a number counts from the first row of its key. Select the columns
+    that are needed before: the sorted rows are written with all that they carry.
     """
-    cut = df.withColumns({"_bucket": bucket, "_slice": F.lit(0) if slice_ is None else slice_})
-    turn = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    slices = cut.groupBy(*keys, "_bucket", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(turn("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    among = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(turn("_bucket"))
-    before = among.rowsBetween(Window.unboundedPreceding, -1)
-    buckets = slices.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
-    sides = ((slices, "_s", ["_bucket", "_slice"], inside), (buckets, "_b", ["_bucket"], before))
-    out = cut.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_bucket", "_slice").orderBy(*order)))
-    for counts, mark, parts, window in sides:
-        on = [*keys, *parts]
-        offsets = counts.select(*[F.col(c).alias(f"{mark}{c}") for c in on],
-                                F.coalesce(F.sum("_n").over(window), F.lit(0)).alias(f"{mark}_offset"))
-        same = F.lit(True)
-        for c in on:
-            same = same & F.col(c).eqNullSafe(F.col(f"{mark}{c}"))
-        out = out.join(offsets, same).drop(*[f"{mark}{c}" for c in on])
-    return out.withColumn(name, F.col("_local") + F.col("_s_offset") + F.col("_b_offset")).drop(
-        "_bucket", "_slice", "_local", "_s_offset", "_b_offset")
+    rows, parts = range_sorted(df, [*[F.col(k) for k in keys], *order])
+    out = rows.join(F.broadcast(parts), "_part").withColumn(name, F.col("_before") + F.col("_local"))
+    out = out.select(*df.columns, name)
+    if keys:
+        first = out.groupBy(*keys).agg(F.min(name).alias("_first")).withColumnsRenamed({k: f"_key_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+        out = out.join(first, same).withColumn(name, F.col(name) - F.col("_first") + 1).select(*df.columns, name)
+    return out
 
 
 def with_next(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column,

@@ -68,9 +68,7 @@ def on_site_now(t: Mapping[str, DataFrame], as_of: AsOf, departments: Department
                      small=fits(t, "hr_employee"))
     since = micros_between(F.col("check_in"), instant(as_of.ts))
     order = [F.col("check_in"), F.col("employee_id")]
-    listed = numbered(people, [], order, F.date_trunc("hour", F.col("check_in")),
-                      slice_=F.date_trunc("second", F.col("check_in")))
-    return listed.select(
+    return numbered(people, order).select(
         "row_no", "employee_id", "employee_name", "department_name",
         local_time(F.col("check_in"), as_of.tz).alias("entry_time"),
         clock(F.col("check_in"), as_of.tz, "HH:mm").alias("entry_clock"),

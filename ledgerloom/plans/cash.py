@@ -115,9 +115,7 @@ def cash_requirements(t: Mapping[str, DataFrame], *, allocate: str = "full", per
 def cash_detail(requirements: DataFrame) -> DataFrame:
     """The requirements with their place in payment order, notes as plain text."""
     order = [F.asc_nulls_first("payment_date"), F.col("po_number"), F.col("task_id")]
-    listed = numbered(requirements, [], order, F.coalesce("payment_date", F.lit("0001-01-01").cast("date")),
-                      "place", slice_=F.col("po_number"))
-    return listed.withColumn("notes", html_to_lines(F.col("notes")))
+    return numbered(requirements, order, "place").withColumn("notes", html_to_lines(F.col("notes")))
 
 
 # --- weekly calendar -------------------------------------------------------------------------

@@ -14,7 +14,6 @@ from ..functions.text import html_to_lines, localized_nonblank, squash_lines
 from ..operators.groups import list_cell, list_parts
 from ..operators.joins import look_up
 from ..operators.ordered import numbered
-from ..reference_data import FAR_FUTURE
 from ..sources.sizes import fits
 
 HEADER_TEXT = ("bill_number", "vendor_reference", "invoice_origin", "supplier_name", "supplier_phone",
@@ -111,9 +110,7 @@ def bill_list(lines: DataFrame) -> DataFrame:
     """Bill lines with their place in the list: due date, newest bill first inside a date, then line order."""
     order = [F.asc_nulls_last("effective_due_date"), F.desc_nulls_last("invoice_date"), F.desc("bill_id"),
              F.asc_nulls_last("sequence"), F.asc_nulls_last("line_id")]
-    newest = F.coalesce(F.datediff(F.lit(FAR_FUTURE).cast("date"), F.col("invoice_date")), F.lit(2**31 - 1))
-    return numbered(lines, [], order, F.coalesce("effective_due_date", F.lit(FAR_FUTURE).cast("date")),
-                    "place", slice_=F.struct(newest.alias("age"), F.floor(-F.col("bill_id") / 1_000).alias("slice")))
+    return numbered(lines, order, "place")
 
 
 # --- sections --------------------------------------------------------------------------------

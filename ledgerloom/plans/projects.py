@@ -152,8 +152,7 @@ def plan_list(tasks: DataFrame) -> DataFrame:
     """Tasks with their place in the plan: by project, parents with their children, by sequence."""
     family = F.coalesce("parent_id", "task_id")
     order = [F.asc_nulls_last("project_name"), family, F.asc_nulls_last("sequence"), F.col("task_id")]
-    project = F.struct(F.col("project_name").isNull().alias("unnamed"), F.col("project_name"))
-    return numbered(tasks, [], order, project, "place", slice_=family)
+    return numbered(tasks, order, "place")
 
 
 # --- hierarchy -------------------------------------------------------------------------------

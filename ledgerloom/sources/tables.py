@@ -57,7 +57,9 @@ def parquet_tables(spark: SparkSession, folder: str) -> Tables:
     seen: dict[str, DataFrame] = {}
 
     def load(name: str) -> DataFrame:
-        return seen.setdefault(name, spark.read.parquet(f"{folder}/{name}"))
+        if name not in seen:
+            seen[name] = spark.read.parquet(f"{folder}/{name}")
+        return seen[name]
 
     return Tables(load, size=lambda name: table_size(load(name)))
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import explore, groups, joins, ordered
+from ledgerloom.sources import sizes, tables
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def events(spark):
 def test_numbered(events, keys, descending):
     rows, df = events
     order = [F.desc("at"), F.desc("id")] if descending else [F.col("at"), F.col("id")]
-    out = ordered.numbered(df, keys, order, F.floor(F.col("at") / 50), "n", descending).collect()
+    out = ordered.numbered(df, order, "n", tuple(keys)).collect()
     want = {}
     for group in ({r[1] for r in rows} if keys else {None}):
         members = sorted((r for r in rows if group is None or r[1] == group), key=lambda r: (r[2], r[0]), reverse=descending)
@@ -29,7 +30,7 @@ def test_numbered(events, keys, descending):
 
 def test_numbered_keeps_null_keys(spark):
     df = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id int, k string")
-    out = ordered.numbered(df, ["k"], [F.col("id")], F.col("id") % 1, "n")
+    out = ordered.numbered(df, [F.col("id")], "n", ("k",))
     assert {r["id"]: r["n"] for r in out.collect()} == {1: 1, 2: 2, 3: 1}
 
 
@@ -125,15 +126,23 @@ def test_ratio_and_mean(spark):
 
 
 def test_pages(spark):
-    df = spark.range(95).withColumn("v", F.col("id") % 7)
-    order = [F.desc("v"), F.col("id")]
-    whole = [r["id"] for r in df.orderBy(*order).collect()]
-    for number, expected in ((1, whole[:10]), (5, whole[40:50]), (10, whole[90:]), (99, whole[90:]), (0, whole[:10])):
-        page = explore.page(df, order, number, 10, bucket=F.col("v"), slice_=-F.floor(F.col("id") / 8), descending=True)
-        assert [r["id"] for r in page.collect()] == expected
-    assert explore.page(df.limit(0), order, 3, 10, bucket=F.col("v")).collect() == []
-    one_bucket = explore.page(df, order, 5, 10, bucket=F.lit(0), slice_=F.col("v"), descending=True)
-    assert [r["id"] for r in one_bucket.collect()] == whole[40:50]
+    df = spark.range(95).select("id", (F.col("id") % 7).alias("v"), F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("gap"))
+    for order, by in ((["-v", "id"], [F.desc("v"), F.col("id")]), (["gap", "-id"], [F.col("gap"), F.desc("id")])):
+        whole = [r["id"] for r in df.orderBy(*by).collect()]
+        for number, expected in ((1, whole[:10]), (5, whole[40:50]), (10, whole[90:]), (99, whole[90:]), (0, whole[:10])):
+            page = explore.page(df, order, number, 10)
+            assert [r["id"] for r in page.collect()] == expected and page.columns == df.columns
+    assert explore.page(df.limit(0), ["-v", "id"], 3, 10).collect() == []
+
+
+def test_one_hot_date_is_spread(spark):
+    """All rows share the leading sort value: the parts are cut within it."""
+    df = spark.range(40_000).select(F.lit("2024-01-01").cast("date").alias("day"), F.xxhash64("id").alias("h"), "id")
+    rows, parts = ordered.range_sorted(df, [F.desc("day"), F.col("h"), F.col("id")])
+    sizes = [r["_rows"] for r in parts.collect()]
+    assert sum(sizes) == 40_000 and len(sizes) == 4 and max(sizes) < 2 * 10_000
+    got = [r["id"] for r in ordered.numbered(df, [F.desc("day"), F.col("h"), F.col("id")], "n").orderBy("n").collect()]
+    assert got == [r["id"] for r in df.orderBy("h", "id").collect()]
 
 
 def test_facets_and_search(spark):
@@ -147,17 +156,60 @@ def test_facets_and_search(spark):
 
 
 def test_broadcast_depends_on_size(spark, tmp_path):
-    path = str(tmp_path / "dim")
-    spark.range(5000).selectExpr("id", "uuid() AS name").write.parquet(path)
-    dim, fact = spark.read.parquet(path), spark.range(10).withColumnRenamed("id", "fk")
-    size = joins.frame_bytes(joins.prefixed(dim, "d", {"name": "name"}))
-    assert size == 5000 * (8 * 2 + 16 + 36)  # two columns and a text of 36 letters
-    assert [joins.byte_size(x) for x in ("10485760b", "10MB", "-1", "256k")] == [10485760, 10485760, -1, 262144]
+    """A side is sent to all tasks only where the catalogue says that it fits; it is read off files, without a job."""
+    path = str(tmp_path)
+    fact = spark.range(10).withColumnRenamed("id", "fk")
+    columns = {"id": "bigint", "name": "string", "phone": "string", "email": "string", "vat": "string"}
+
+    def dim(rows):
+        return spark.range(rows).selectExpr("id", "uuid() AS name", *[f"'x' AS {c}" for c in list(columns)[2:]])
+
+    def planned(t):
+        joined = joins.look_up(fact, t["res_partner"], "fk", "d", {"name": "name"}, small=sizes.fits(t, "res_partner"))
+        return "strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()
+
+    dim(5000).write.parquet(f"{path}/res_partner")
+    t = tables.parquet_tables(spark, path)
+    t["res_partner"]
+    spark.sparkContext.setJobGroup("sizes", "no job may run")
+    size = t.size("res_partner")
+    assert size.rows == 5000 and size.row_bytes >= 8 * len(columns)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        for limit, expected in ((size, True), (size - 1, False)):
+        whole = size.rows * size.row_bytes
+        for limit, expected in ((whole, True), (whole - 1, False), (-1, False), (0, False)):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit))
-            plan = joins.look_up(fact, dim, "fk", "d", {"name": "name"})._jdf.queryExecution().analyzed().toString()
-            assert ("strategy=broadcast" in plan) == expected
+            assert planned(t) == expected
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(whole))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("sizes")
+        dim(10).write.mode("append").parquet(f"{path}/res_partner")  # the table grows: read anew it has its new size
+        grown = tables.parquet_tables(spark, path)
+        assert grown.size("res_partner").rows == 5010 and not planned(grown)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not sizes.fits({"res_partner": t["res_partner"]}, "res_partner")  # of a plain frame nothing is known
+    declared = tables.Jdbc("jdbc:x", rows={"res_partner": 7})
+    assert declared.rows["res_partner"] == 7
+
+
+def test_size_settings():
+    assert [sizes.byte_size(x) for x in ("10485760b", "10MB", "-1", "256k", "1g")] == [10485760, 10485760, -1, 262144, 1 << 30]
+
+
+def test_analysed_tables_have_sizes(spark):
+    spark.sql("CREATE TABLE sized_partners USING parquet AS SELECT id, uuid() AS name FROM range(300)")
+    try:
+        spark.sql("ANALYZE TABLE sized_partners COMPUTE STATISTICS")
+        assert sizes.table_size(spark.table("sized_partners")).rows == 300
+    finally:
+        spark.sql("DROP TABLE sized_partners")
+
+
+def test_attached_roles(spark):
+    """Documents found by narrow keys equal a plain left join; rows without a key stay."""
+    fact = spark.createDataFrame([(i, None if i % 3 == 0 else i % 5) for i in range(60)], "id int, fk int")
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (4, None)], "id int, name string")
+    want = sorted(joins.look_up(fact, dim, "fk", "d", {"name": "who"}).collect(), key=str)
+    for small in (False, True):
+        got = joins.attach(fact, fact, dim, "fk", "d", {"name": "who"}, small=small)
+        assert got.columns == ["id", "fk", "who"] and sorted(got.collect(), key=str) == want
