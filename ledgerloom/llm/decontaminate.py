@@ -2,10 +2,10 @@
 
 An item of n words is looked for in every window of n words: both are weighted sets of five-word shingles (shorter items:
 one shingle of all their words) and match at a weighted Jaccard similarity of `similarity`. A document shorter than the
-item is one window, whole. A window that shares no
-shingle with any item has similarity zero to all of them and is passed over; the others get a 64-bit SimHash. The items'
-fingerprints are indexed in eight blocks of eight bits: of two fingerprints within `radius` bits one block differs in at
-most radius // 8 bits, so the items found through the blocks are all that lie within the radius. Those within it are
+item is one window, whole. Two sets with m and n shingles reach a similarity s only if they share at least
+s / (1 + s) x (m + n) of them: a window in which fewer shingles occur in items at all cannot match and is passed over; the
+others get a 64-bit SimHash. The items' fingerprints are indexed in four blocks of sixteen bits: of two fingerprints within `radius` bits one block differs in at
+most radius // 4 bits, so the items found through the blocks are all that lie within the radius. Those within it are
 verified by their exact similarity.
 
 Items are a query set against all documents, in blocks of bounded size (`items`, `item_bytes`); each block is one pass and
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import batch_of
 from ledgerloom.llm.substring import Rolling, WordHashes
 
-SHINGLE, BLOCKS = 5, 8
+SHINGLE = 5
+#: Blocks of a fingerprint and the type that holds one: larger blocks are fewer and tell more pairs apart.
+BLOCKS, _BLOCK = 4, np.uint16
 _FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()), ("similarity", pa.float64())])
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 _BASE = 0x9E3779B97F4A7C15
@@ -61,6 +63,8 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], radius: int, similarity: float):
         self.radius, self.similarity = radius, similarity
+        # What each step has passed: windows of texts, windows hashed, pairs found by the index, pairs verified.
+        self.windows = self.hashed = self.indexed = self.verified = 0
         hashes, roll = WordHashes(), Rolling(_BASE)
         classes: dict[tuple[int, int], list] = {}
         for item, text in rows:
@@ -71,15 +75,12 @@ class Items:
                 classes.setdefault((size, len(found)), []).append((item, simhashes(found, len(found))[0], Counter(found.tolist())))
         self.shingles: dict[int, np.ndarray] = {}
         self.seen: dict[int, np.ndarray] = {}
-        near = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= radius // BLOCKS
         self.classes = {}
         for key, members in sorted(classes.items()):
             prints = np.array([m[1] for m in members], dtype=np.uint64)
-            blocks = prints.view(np.uint8).reshape(-1, BLOCKS)
-            index = np.stack([near[:, blocks[:, b]] for b in range(BLOCKS)])  # block, value, item
-            self.classes[key] = ([m[0] for m in members], prints, index, [m[2] for m in members])
+            self.classes[key] = ([m[0] for m in members], prints, [m[2] for m in members])
         for size in {k[0] for k in self.classes}:
-            own = np.array(sorted({h for k, c in self.classes.items() if k[0] == size for m in c[3] for h in m}), dtype=np.uint64)
+            own = np.array(sorted({h for k, c in self.classes.items() if k[0] == size for m in c[2] for h in m}), dtype=np.uint64)
             marks = np.zeros(1 << _MAP_BITS, bool)
             marks[own & np.uint64((1 << _MAP_BITS) - 1)] = True
             self.shingles[size], self.seen[size] = own, marks
@@ -91,6 +92,17 @@ class Items:
         at = np.minimum(np.searchsorted(own, shingles[some]), len(own) - 1)
         return some[own[at] == shingles[some]]
 
+    def indexed_pairs(self, prints: np.ndarray, items: np.ndarray, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
+        """(window, item) whose fingerprints differ in at most radius // BLOCKS bits of some block."""
+        own, blocks = items.view(_BLOCK).reshape(-1, BLOCKS), prints.view(_BLOCK).reshape(-1, BLOCKS)
+        rows = max(1, most // max(1, len(items)))
+        for at in range(0, len(prints), rows):
+            found = np.zeros((len(prints[at:at + rows]), len(items)), bool)
+            for b in range(BLOCKS):
+                found |= np.bitwise_count(blocks[at:at + rows, b, None] ^ own[None, :, b]) <= self.radius // BLOCKS
+            for w, i in zip(*np.nonzero(found)):
+                yield at + int(w), int(i)
+
     def matches(self, words: np.ndarray, roll: Rolling) -> Iterator[tuple[int, int, int, float]]:
         """(item, first word, words, similarity) of the best window of each item found in a text."""
         for size in self.shingles:
@@ -100,26 +112,26 @@ class Items:
             hits = self.shared(shingles, size)
             if not len(hits):
                 continue
-            for (k, width), (ids, prints, index, sets) in self.classes.items():
+            for (k, width), (ids, prints, sets) in self.classes.items():
                 whole = len(shingles)
                 if k != size or whole / width < self.similarity:  # too few shingles to be as similar as that
                     continue
-                width = min(width, whole)  # a document shorter than the items is one window
-                step = np.zeros(len(shingles) + 2, np.int32)  # windows that hold a shared shingle
-                np.add.at(step, np.maximum(hits - width + 1, 0), 1)
-                np.add.at(step, hits + 1, -1)
-                starts = np.flatnonzero(np.cumsum(step)[:len(shingles) - width + 1] > 0)
+                own, width = width, min(width, whole)  # a document shorter than the items is one window
+                least = math.ceil(self.similarity / (1 + self.similarity) * (own + width) - 1e-9)
+                # Shared shingles of each window: those up to its end less those before it.
+                shared = np.searchsorted(hits, np.arange(width, whole + 1)) - np.searchsorted(hits, np.arange(whole - width + 1))
+                starts = np.flatnonzero(shared >= least)
+                self.windows += whole - width + 1
+                self.hashed += len(starts)
                 best: dict[int, tuple[float, int]] = {}
                 for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                     for at in range(0, len(run), 1 << 14):
                         some = run[at:at + (1 << 14)]
                         got = simhashes(shingles[some[0]:some[-1] + width], width)
-                        blocks = got.view(np.uint8).reshape(-1, BLOCKS)
-                        found = index[0][blocks[:, 0]]
-                        for b in range(1, BLOCKS):
-                            found |= index[b][blocks[:, b]]
-                        for w, i in zip(*np.nonzero(found)):
+                        for w, i in self.indexed_pairs(got, prints):
+                            self.indexed += 1
                             if (int(got[w]) ^ int(prints[i])).bit_count() <= self.radius:
+                                self.verified += 1
                                 start = int(some[w])
                                 value = similarity_of(shingles[start:start + width], sets[i])
                                 if value >= self.similarity and value > best.get(i, (0.0, 0))[0]:

@@ -12,7 +12,7 @@ from llm_fixtures import FOLDER, no_documents, odd_documents, texts_of
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, kneser_ney, language, ppm, toxicity
-from ledgerloom.llm.common import remainder
+from ledgerloom.llm.common import remainder, table
 from ledgerloom.llm.queries import REGISTRY
 
 LARGER = "/root/testdata/sf0.01"
@@ -304,3 +304,23 @@ def test_decontamination_of_odd_documents(spark):
     assert kept.columns == df.columns and kept.count() == df.count() - 4
     assert decontaminate.passages(no_documents(spark), bench).collect() == []
     assert decontaminate.passages(df, bench.limit(0)).collect() == []
+
+
+def test_decontamination_steps_select(spark):
+    """Each step passes a part of what it gets, and none passes over a match."""
+    items = [tuple(r) for r in table(spark, FOLDER, "benchmark").select("item_id", "text").collect()]
+    docs = [r[0] for r in table(spark, FOLDER, "documents").select("text").collect()]
+    radius = 23
+    block = decontaminate.Items(items, radius, 0.8)
+    hashes, roll = decontaminate.WordHashes(), decontaminate.Rolling(decontaminate._BASE)
+    matches = 0
+    for text in docs:
+        plain = decontaminate.plain_words(text)
+        matches += len(list(block.matches(np.fromiter(map(hashes.__getitem__, plain), dtype=np.uint64, count=len(plain)), roll)))
+    assert 0 < matches <= block.verified <= block.indexed and block.hashed < 0.1 * block.windows
+    rng = np.random.default_rng(3)  # among unlike fingerprints the blocks pass under half, and all within the radius
+    a, b = (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, n, dtype=np.uint64) for n in (300, 400))
+    b[:100] = a[:100] ^ np.array([sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 24), replace=False)) for _ in range(100)], np.uint64)
+    found = set(block.indexed_pairs(a, b))
+    close = set(zip(*(x.tolist() for x in np.nonzero(np.bitwise_count(a[:, None] ^ b) <= radius))))
+    assert close <= found and len(found) < 0.5 * len(a) * len(b)
