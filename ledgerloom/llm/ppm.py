@@ -170,6 +170,13 @@ def give_values(named: pa.Table, valued: pa.Table) -> pa.Table:
     return pa.table([named.column("kind"), named.column("block"), named.column("keys"), pa.array(found, type=pa.binary())], schema=_VALUED)
 
 
+def looked_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> float:
+    """The sum of the values of keys. They are sorted first, so that the look-up goes through the table once, in its order."""
+    some = np.sort(keys)
+    first = np.flatnonzero(np.append(True, some[1:] != some[:-1])) if len(some) else np.zeros(0, np.int64)
+    return float((table[1][np.searchsorted(table[0], some[first])] * np.diff(first, append=len(some))).sum())
+
+
 def score_block(order: int, total: int, distinct: int):
     """Scores of a block's documents with the values of its keys."""
     floor = math.log10(total + 0.5 * (distinct + 1))
@@ -188,7 +195,7 @@ def score_block(order: int, total: int, distinct: int):
             out[0].append(len(own))
             out[1].append(int((counts > 0).sum()))
             out[2].append(float(np.log10(counts + 0.5).sum() - floor * len(own)))
-            out[3].append(sum(float(tables[STRINGS][1][np.searchsorted(tables[STRINGS][0], part)].sum()) for part in strings_of(body, order)))
+            out[3].append(sum(looked_up(tables[STRINGS], part) for part in strings_of(body, order)))
         n = block.num_rows
         columns = [block.column("doc_id"), block.column("held_out"), out[0], out[1], np.full(n, total), out[2], out[3]]
         return pa.table([c if isinstance(c, pa.ChunkedArray) else pa.array(c, type=f.type) for c, f in zip(columns, _SCORED)], schema=_SCORED)
@@ -239,17 +246,18 @@ def code_lengths(strings: DataFrame, order: int) -> DataFrame:
     return level.select("key", "value")
 
 
-def scores(docs: DataFrame, held_out: Column, order: int = 5, block_bytes: int = 48 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scores(docs: DataFrame, held_out: Column, order: int = 5, block_bytes: int = 48 << 20, shard_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
-    The model learns from the documents without `held_out`, an expression over doc_id.
+    The model learns from the documents without `held_out`, an expression over doc_id. A block has about `block_bytes` of
+    text; there is a shard of keys for each `shard_bytes` of all text at least, so that a shard's keys stay bounded.
     """
     if not 1 <= order <= 7:
         raise ValueError("an order of 1 to 7 bytes fits a key")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     width = shuffle_width(docs.sparkSession)
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
-    blocks, shards = max(12, math.ceil(size / block_bytes)), width
+    blocks, shards = max(12, math.ceil(size / block_bytes)), max(width, math.ceil(size / shard_bytes))
     dealt = texts.select("doc_id", held_out.alias("held_out"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
     named = cut(dealt.groupBy("block").applyInArrow(name_keys(order, shards), _ddl(_NAMED)))
     counted = cut(named.groupBy("kind", "shard").applyInArrow(count_keys, _ddl(_COUNTED)))
