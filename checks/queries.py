@@ -342,7 +342,7 @@ def bill_order_parts(t):
 
 @register
 def bills_with_drafts(t):
-    return bill_headers(t, only_posted=False, sign="abs").groupBy("bill_state", "currency").agg(
+    return bill_headers(t, only_posted=False, sign="abs", orders=False).groupBy("bill_state", "currency").agg(
         F.count(F.lit(1)).alias("bills"), F.sum("bill_residual_signed").alias("residual"))
 
 
@@ -374,12 +374,12 @@ def bill_lines(t):
 
 @register
 def bill_stats(t):
-    return payables.bill_stats(bill_headers(t))
+    return payables.bill_stats(bill_headers(t, orders=False))
 
 
 @register
 def bills_pending_by_currency(t):
-    return payables.bills_pending_by_currency(bill_headers(t))
+    return payables.bills_pending_by_currency(bill_headers(t, orders=False))
 
 
 # --- projects --------------------------------------------------------------------------------
@@ -402,7 +402,12 @@ def task_dependencies(t):
 
 @register
 def task_po_pending(t):
-    return projects.task_po_pending(t)
+    return projects.task_po_pending(projects.task_orders(t))
+
+
+@register
+def task_people_parts(t):
+    return listed(projects.task_people_parts(t))
 
 
 @register
@@ -453,7 +458,7 @@ def project_order_refs(t):
 
 @register
 def task_reference_list(t):
-    rows = projects.explode_list(projects.task_po_pending(t), "po_references", "po_reference")
+    rows = projects.explode_list(projects.task_po_pending(projects.task_orders(t)), "po_references", "po_reference")
     return rows.groupBy("po_reference").agg(F.count(F.lit(1)).alias("tasks"))
 
 

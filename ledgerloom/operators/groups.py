@@ -6,35 +6,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import reference_data as ref
+from .ordered import range_sorted, top_n_per_key
 
-# Distinct values that a part of a list holds, about. It sets where lists are divided and leaves nothing out.
+# Distinct values that a part of a list holds. It sets where lists are divided and leaves nothing out.
 PART_SIZE = 1_000
 
 
+def _values(links: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return links.select(*keys, value).filter(F.col(value).isNotNull()).distinct()
+
+
 def list_parts(links: DataFrame, keys: list[str], value: str, part_size: int = PART_SIZE) -> DataFrame:
-    """Distinct values per key as rows (keys, part_no, n_parts, n_values, values), each part sorted.
+    """Distinct values per key as rows (keys, part_no, n_parts, n_values, values), in sort order.
 
-    A key with up to ``part_size`` values has one part. The values of a longer list are dealt over as many parts as it
-    needs by a hash, so however long a list is no task holds more than a part, and all parts together hold every value.
-    Duplicates are dropped before the values of a key meet.
+    Part 0 has the first ``part_size`` values of a key, part 1 the next ones, and so on: all parts together are the whole
+    list in order, however long, and no task holds more than a part. Duplicates are dropped before the values of a key meet.
     """
-    distinct = links.select(*keys, value).filter(F.col(value).isNotNull()).distinct()
-    sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values"))
-    sizes = sizes.withColumn("n_parts", F.ceil(F.col("n_values") / part_size).cast("bigint"))
-    placed = distinct.join(sizes, keys).withColumn("part_no", F.pmod(F.xxhash64(value), F.col("n_parts")))
-    return placed.groupBy(*keys, "part_no", "n_parts", "n_values").agg(F.array_sort(F.collect_list(value)).alias("values"))
+    rows, before = range_sorted(_values(links, keys, value), [F.col(c) for c in (*keys, value)])
+    placed = rows.join(F.broadcast(before), "_part").withColumn("_at", F.col("_before") + F.col("_local"))
+    spans = placed.groupBy(*keys).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("n_values"))
+    number = F.floor((F.col("_at") - F.col("_first")) / part_size).cast("bigint")
+    parts = placed.join(spans, keys).select(
+        *keys, number.alias("part_no"), F.ceil(F.col("n_values") / part_size).cast("bigint").alias("n_parts"), "n_values", value)
+    return parts.groupBy(*keys, "part_no", "n_parts", "n_values").agg(F.array_sort(F.collect_list(value)).alias("values"))
 
 
-def list_cell(links: DataFrame, keys: list[str], value: str, name: str, *, size: str | None = None,
-              separator: str | None = ", ", part_size: int = PART_SIZE) -> DataFrame:
-    """The first part of each key's list, as one joined text (or an array when ``separator`` is None).
+def list_cell(links: DataFrame, keys: list[str], value: str, name: str, size: str, *, separator: str | None = ", ",
+              part_size: int = PART_SIZE) -> DataFrame:
+    """The list of each key as one joined text (or an array when ``separator`` is None), and the number of its values.
 
-    ``size`` names a column for the number of all values of the key: where it exceeds ``part_size`` the list goes on in
-    ``list_parts`` of the same links, which has every value.
+    A cell holds up to ``part_size`` values, the first in sort order. Where ``size`` is larger a joined text ends with the
+    number of those left out, and ``list_parts`` of the same links has every value. A task sends no more than that of a key.
     """
-    first = list_parts(links, keys, value, part_size).filter("part_no = 0")
-    cell = F.array_join("values", separator) if separator is not None else F.col("values")
-    return first.select(*keys, cell.alias(name), *([F.col("n_values").alias(size)] if size else []))
+    distinct = _values(links, keys, value)
+    counts = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias(size))
+    first = top_n_per_key(distinct, keys, [F.col(value)], part_size, "_n")
+    cells = first.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("_values")).join(counts, keys)
+    left = F.col(size) - F.size("_values")
+    text = F.array_join("_values", separator) if separator is not None else None
+    cell = F.col("_values") if text is None else F.when(left > 0, F.concat(text, F.lit(f"{separator}… +"), left)).otherwise(text)
+    return cells.select(*keys, cell.alias(name), size)
 
 
 def with_total(df: DataFrame, key: str, aggregates: list[Column], label: str = "TOTAL",

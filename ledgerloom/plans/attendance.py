@@ -203,7 +203,7 @@ def clock_record_parts(t: Mapping[str, DataFrame], as_of: AsOf, days: int = 30)
 def attendance_days(t: Mapping[str, DataFrame], as_of: AsOf, **options) -> DataFrame:
     """The nested attendance document: one row per employee and day with the person's data and clock records."""
     events = clock_records(t, as_of, options.get("days", 30))
-    cells = list_cell(events, ["work_date", "employee_id"], "event", "clock_records", separator=None, size="record_count")
+    cells = list_cell(events, ["work_date", "employee_id"], "event", "clock_records", "record_count", separator=None)
     cells = cells.withColumn("clock_records", F.transform(
         "clock_records", lambda e: F.struct(e["type"].alias("type"), e["time"].alias("time"))))
     people = t["hr_employee"].select(F.col("id").alias("employee_id"), "job_title", F.col("mobile_phone").alias("phone"))

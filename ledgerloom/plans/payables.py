@@ -53,10 +53,11 @@ def bill_order_parts(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def bills(t: Mapping[str, DataFrame], as_of: dt.date, *, only_posted: bool = True, sign: str = "as_is",
-          decode=None) -> DataFrame:
+          decode=None, orders: bool = True) -> DataFrame:
     """One row per vendor bill with its orders, due date and days overdue.
 
-    ``sign='abs'`` takes the amount of the residual whatever its sign.
+    ``sign='abs'`` takes the amount of the residual whatever its sign. Sums and counts of bills need no ``orders``; without
+    them the columns of the orders are null and no line is read.
     """
     states = ("posted",) if only_posted else ("draft", "posted")
     moves = t["account_move"].filter("move_type = 'in_invoice'").filter(F.col("state").isin(*states))
@@ -64,8 +65,11 @@ def bills(t: Mapping[str, DataFrame], as_of: dt.date, *, only_posted: bool = Tru
         F.col("id").alias("partner_id"), F.col("name").alias("supplier_name"), F.col("phone").alias("supplier_phone"),
         F.col("email").alias("supplier_email")), "partner_id")
     df = look_up(df, t["res_currency"], "currency_id", "currency", {"name": "_currency"}, small=fits(t, "res_currency"))
-    orders = list_cell(bill_orders(t), ["move_id"], "po_number", "po_numbers", size="po_count")
-    df = look_up(df, orders, "id", "orders", {"po_numbers": "po_numbers", "po_count": "po_count"}, key="move_id")
+    if orders:
+        found = list_cell(bill_orders(t), ["move_id"], "po_number", "po_numbers", "po_count")
+        df = look_up(df, found, "id", "orders", {"po_numbers": "po_numbers", "po_count": "po_count"}, key="move_id")
+    else:
+        df = df.withColumns({"po_numbers": F.lit(None).cast("string"), "po_count": F.lit(None).cast("bigint")})
 
     residual = F.col("amount_residual_signed")
     residual = F.abs(residual) if sign == "abs" else residual
@@ -79,7 +83,7 @@ def bills(t: Mapping[str, DataFrame], as_of: dt.date, *, only_posted: bool = Tru
         "supplier_name", "supplier_phone", "supplier_email",
         html_to_lines(F.col("narration"), squeeze_spaces=False, **({"decode": decode} if decode else {}))
         .alias("bill_notes"),
-        "po_numbers", F.coalesce("po_count", F.lit(0)).alias("po_count"),
+        "po_numbers", (F.coalesce("po_count", F.lit(0)) if orders else F.col("po_count")).alias("po_count"),
         (F.col("amount_total_signed") - residual).alias("amount_paid_signed"),
         due.alias("effective_due_date"),
         F.when(residual > 0, days_overdue(due, as_of)).otherwise(0).alias("days_overdue"),

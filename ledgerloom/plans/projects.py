@@ -16,6 +16,7 @@ from ..functions.text import erp_link, html_to_summary, localized_only, or_blank
 from ..operators.groups import list_cell, list_parts, mean_or_zero, percent_label
 from ..operators.joins import look_up
 from ..operators.ordered import numbered
+from ..shared import settled
 from ..sources.sizes import fits
 
 AMOUNT = "decimal(38,4)"
@@ -81,14 +82,19 @@ def task_orders(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFram
         to_home(F.col("pending"), F.col("currency"), rates).cast(AMOUNT).alias("pending_gtq"))
 
 
-def task_po_pending(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFrame:
-    """Per task: number of orders, open amount, order references, currencies."""
-    rows = task_orders(t, rates)
+def task_people_parts(t: Mapping[str, DataFrame]) -> DataFrame:
+    """All people of every task, in parts."""
+    return list_parts(task_people(t), ["task_id"], "person")
+
+
+def task_po_pending(orders: DataFrame) -> DataFrame:
+    """Per task: number of orders, open amount, order references, currencies; ``orders`` is ``task_orders``."""
+    rows = settled(orders)  # read for the sums, the references and their number
     # Currencies are few, whatever the number of orders; references are not and come in parts.
     used = F.nullif(F.array_join(F.array_sort(F.collect_set("currency")), ","), F.lit(""))
     sums = rows.groupBy("task_id").agg(
         F.count(F.lit(1)).alias("po_count"), F.sum("pending_gtq").alias("total_po_amount"), used.alias("currencies_used"))
-    return sums.join(list_cell(rows, ["task_id"], "po_reference", "po_references"), "task_id", "left")
+    return sums.join(list_cell(rows, ["task_id"], "po_reference", "po_references", "po_reference_count"), "task_id", "left")
 
 
 def task_reference_parts(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -129,20 +135,26 @@ def with_order_money(tasks: DataFrame, orders: DataFrame) -> DataFrame:
     })
 
 
-def project_tasks(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME) -> DataFrame:
-    """One row per active task of an active project, with everything the plan shows."""
-    edges = task_dependencies(t)
+def project_tasks(t: Mapping[str, DataFrame], rates=ref.RATES_TO_HOME, *, tasks: DataFrame | None = None,
+                  orders: DataFrame | None = None) -> DataFrame:
+    """One row per active task of an active project, with everything the plan shows.
+
+    ``tasks`` and ``orders`` take the place of ``plan_tasks`` and ``task_orders`` where a caller has them settled already.
+    Lists are read for their values and for their number, so their links are settled.
+    """
+    people, edges = settled(task_people(t)), settled(task_dependencies(t))
     details = (
-        list_cell(task_people(t), ["task_id"], "person", "assigned_to"),
-        list_cell(edges, ["task_id"], "dependency", "dependencies", size="dependency_count"),
-        list_cell(edges, ["task_id"], "depends_on", "dependency_ids", separator=","),
-        task_po_pending(t, rates),
+        list_cell(people, ["task_id"], "person", "assigned_to", "assigned_count"),
+        list_cell(edges, ["task_id"], "dependency", "dependencies", "dependency_count"),
+        list_cell(edges, ["task_id"], "depends_on", "dependency_ids", "_ids", separator=",").drop("_ids"),
+        task_po_pending(task_orders(t, rates) if orders is None else orders),
     )
-    df = plan_tasks(t)
+    df = plan_tasks(t) if tasks is None else tasks
     for side in details:
         df = df.join(side, "task_id", "left")
+    counts = ("assigned_count", "dependency_count", "po_reference_count")
     return df.withColumns({
-        "dependency_count": F.coalesce("dependency_count", F.lit(0)),
+        **{c: F.coalesce(c, F.lit(0)) for c in counts},
         "po_count": F.coalesce("po_count", F.lit(0)),
         "total_po_amount": zero(F.col("total_po_amount")).cast(AMOUNT),
     })
@@ -225,20 +237,21 @@ def project_hierarchy(t: Mapping[str, DataFrame], as_of: dt.date, *, only_open:
     another project, has no row (``hierarchy_orphans`` counts them). With ``now`` the days left
     are counted from that instant and rounded down; otherwise dates are compared.
 
-    The full task rows are made once; parents, project order and project sums come from narrow
-    frames, and no window gathers the tasks of a project.
+    The tasks and their orders are settled: parents, project order, project sums and the full rows read them. No window
+    gathers the tasks of a project.
     """
     keep = open_tasks if only_open else (lambda df: df)
-    narrow = keep(plan_tasks(t))
+    every, orders = settled(plan_tasks(t)), settled(task_orders(t))
+    narrow = keep(every)
     parents = narrow.filter("parent_id is null").select(
         F.col("project_id").alias("_project"), F.col("task_id").alias("_parent"), _due("task_end_date").alias("_parent_end"))
     order = narrow.groupBy("project_id").agg(_due_of(F.min("task_end_date")).alias("project_order"))
-    tasks = keep(project_tasks(t)).join(
+    tasks = keep(project_tasks(t, tasks=every, orders=orders)).join(
         parents, (F.col("project_id") == F.col("_project")) & (F.col("parent_id") == F.col("_parent")), "left")
     shown = tasks.filter("parent_id is null or _parent is not null").join(order, "project_id").withColumns({
         "root_id": F.coalesce("parent_id", "task_id"),
         "parent_order": F.coalesce("_parent_end", _due("task_end_date"))})
-    headers = _headers(with_order_money(narrow, task_orders(t)), base_url)
+    headers = _headers(with_order_money(narrow, orders), base_url)
     return headers.unionByName(_task_rows(shown, as_of, now, base_url))
 
 
@@ -291,7 +304,7 @@ def explode_list(df: DataFrame, column: str, name: str, separator: str = ", ") -
 
 def project_summary(t: Mapping[str, DataFrame], base_url: str = ERP_URL) -> DataFrame:
     """Progress, hours, open money and orders per project."""
-    narrow, orders = plan_tasks(t), task_orders(t)
+    narrow, orders = settled(plan_tasks(t)), settled(task_orders(t))
     tasks = with_order_money(narrow, orders)
     keys = ("project_id", "project_name", "project_start_date", "project_end_date")
     done = F.count_if(is_completed(F.col("status")))
@@ -305,7 +318,7 @@ def project_summary(t: Mapping[str, DataFrame], base_url: str = ERP_URL) -> Data
         mean_or_zero(F.col("progress_percentage")).alias("avg_progress"),
         money_label(F.sum("total_po_amount")).alias("pending"),
     )
-    refs = list_cell(project_order_refs(narrow, orders), ["project_id"], "po_reference", "po_references", size="po_ref_count")
+    refs = list_cell(project_order_refs(narrow, orders), ["project_id"], "po_reference", "po_references", "po_ref_count")
     return sums.join(refs, "project_id", "left").select(
         "project_id",
         F.coalesce("project_name", F.concat(F.lit("Project "), F.col("project_id").cast("string"))).alias("project_name"),
@@ -328,7 +341,7 @@ def project_summary_total(summary: DataFrame) -> DataFrame:
 
 def plan_stats(t: Mapping[str, DataFrame], as_of: dt.date, now: dt.datetime | None = None) -> DataFrame:
     """Counts over the whole plan, in one row: orders, completion, missing dates, due and overdue."""
-    narrow, orders = plan_tasks(t), task_orders(t)
+    narrow, orders = settled(plan_tasks(t)), settled(task_orders(t))
     waiting = task_dependencies(t).select("task_id").distinct().withColumn("_waits", F.lit(True))
     tasks = with_order_money(narrow, orders).join(waiting, "task_id", "left")
     left = _remaining(as_of, now)
