@@ -14,8 +14,8 @@ from ledgerloom.functions import dates, money, status, text
 from ledgerloom.operators import explore, groups, joins, ordered
 from ledgerloom.plans import attendance, cash, inventory, payables, projects, purchasing, quality, search, stock
 from ledgerloom.shared import shared_folder
-from ledgerloom.sinks import reports
-from ledgerloom.sources import loose
+from ledgerloom.sinks import reports, runs
+from ledgerloom.sources import files, loose
 from ledgerloom.sources.sizes import fits
 from ledgerloom.sources.tables import query as sql_query
 
@@ -197,9 +197,11 @@ def fan_out_check(t):
 
 
 @register
-def row_expectation(t):
-    moves = stock.main_location_moves(t["stock_move"])
-    return quality.row_expectation(moves, stock.stock_movements(t))
+def row_expectation(t, spark, folder):
+    """The extract is written once; what goes in and what comes out is counted in that pass."""
+    moves, expected = quality.counted(stock.main_location_moves(t["stock_move"]))
+    run = runs.write_run(stock.stock_movements(t, moves=moves), new_folder(spark, "extract"), DAY)
+    return quality.row_expectation(spark, expected.get["rows"], run.rows)
 
 
 # --- cash flow -------------------------------------------------------------------------------
@@ -783,13 +785,66 @@ def loose_headers(t, spark, folder):
     return loose.order_sheet(raw.withColumnRenamed("Total (Amount)", "Total Amount"))
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the one that driver and executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written_csv(df: DataFrame, name: str) -> str:
-    """A CSV file set of a table, in the folder that driver and executors share."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """A CSV file set of a table."""
+    path = new_folder(df.sparkSession, name)
     reports.write_csv(df, path)
     return path
 
 
+@register
+def latest_report(t, spark, folder):
+    """Two dated runs and one of an earlier date written after them; the latest date is read by its record."""
+    path = new_folder(spark, "orders-report")
+    for day in (dt.date(1996, 6, 30), dt.date(1998, 6, 30), dt.date(1994, 6, 30)):
+        orders = t["purchase_order"].filter(F.col("date_order") <= F.lit(day))
+        runs.write_run(orders.groupBy("state").agg(F.count(F.lit(1)).alias("orders"), F.sum("amount_total").alias("amount")), path, day)
+    return runs.read_run(spark, path).withColumn("run_rows", F.lit(runs.published(spark, path).rows).cast("bigint"))
+
+
+@register
+def report_sections(t, spark, folder):
+    """A report of two sections written as JSON documents and read back."""
+    path, orders = new_folder(spark, "sections"), t["purchase_order"]
+    sections = {
+        "by_state": orders.groupBy(F.col("state").alias("label")).agg(F.count(F.lit(1)).alias("n")),
+        "by_year": orders.groupBy(F.year("date_order").cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n")),
+    }
+    reports.write_report(sections, path, "json")
+    read = [spark.read.schema("label string, n bigint").json(f"{path}/{s}").select(F.lit(s).alias("section"), "label", "n") for s in sections]
+    return read[0].unionByName(read[1])
+
+
+def written_logs(t, spark):
+    """Log files of a folder, one for each job."""
+    path = new_folder(spark, "logs")
+    (t["log_lines"].select(F.regexp_replace("file_name", r"\.log$", "").alias("job"), "value").repartition("job")
+     .write.partitionBy("job").text(path))
+    return path
+
+
+@register
+def written_files(t, spark, folder):
+    """Number and size of the files of a folder, their contents not read."""
+    found = files.report_files(spark, written_logs(t, spark), (".txt",))
+    return found.agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("size_bytes"), F.count("mtime").alias("dated"))
+
+
+@register
+def log_levels(t, spark, folder):
+    """Lines of real log files by level, with the number of files that have them."""
+    lines = files.log_lines(spark, f"{written_logs(t, spark)}/*/*.txt")
+    level = F.regexp_extract(F.trim("value"), r"^(\w+) - ", 1)
+    return lines.groupBy(F.upper(level).alias("level")).agg(
+        F.count(F.lit(1)).alias("lines"), F.countDistinct("file_path").alias("files"),
+        F.countDistinct("file_path", "line_no").alias("places"))
+
+
 @register
 def order_csv(t, spark, folder):
     """Order sheets written as CSV and read back by their header."""

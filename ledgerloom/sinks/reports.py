@@ -1,13 +1,10 @@
-"""Report output: sections, nested documents, dated runs, the latest version."""
+"""Report output: sections and nested documents; dated runs are in ``runs``."""
 
 from __future__ import annotations
 
-import datetime as dt
-import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -32,16 +29,3 @@ def write_report(sections: Mapping[str, DataFrame], folder: str, fmt: str = "par
     """A report of several sections, one dataset per section."""
     for name, df in sections.items():
         _WRITERS[fmt](df, f"{folder}/{name}")
-
-
-def write_run(df: DataFrame, path: str, run_date: dt.date) -> None:
-    """Write one dated run; an earlier run of the same date is replaced, others stay."""
-    (df.withColumn("run_date", F.lit(run_date).cast("date")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path))
-
-
-def latest_run(spark: SparkSession, path: str) -> DataFrame:
-    """The newest dated run. Its date comes from the listing of the folders; only its partition is read."""
-    runs = spark.read.parquet(path)
-    dates = {found[1] for found in (re.search(r"/run_date=(\d{4}-\d\d-\d\d)/", f) for f in runs.inputFiles()) if found}
-    return runs.filter(F.col("run_date") == F.lit(max(dates, default=None)).cast("date"))

@@ -25,8 +25,10 @@ def report_files(spark: SparkSession, folder: str, endings=REPORT_ENDINGS) -> Da
 
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of log files with the file they come from and a position that follows the file."""
+    """Lines of log files with the file they come from (files of several folders may share a name) and a position that
+    follows the file."""
     lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("mtime"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -35,4 +37,4 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     # Lines of one block are read in order by one task, and blocks follow their start offset.
     position = F.col("_block") * F.lit(2**20) + F.col("_seen") % F.lit(2**33)
-    return lines.select("file_name", "mtime", position.alias("line_no"), "value")
+    return lines.select("file_path", "file_name", "mtime", position.alias("line_no"), "value")

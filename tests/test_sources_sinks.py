@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.sinks import reports
+from ledgerloom.sinks import reports, runs
 from ledgerloom.sources import files, loose, tables
 
 
@@ -85,10 +85,25 @@ def test_report_sections(spark, tmp_path):
 def test_dated_runs(spark, tmp_path):
     path = str(tmp_path / "mart")
     first, second = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    reports.write_run(spark.range(2), path, first)
-    reports.write_run(spark.range(3), path, second)
-    reports.write_run(spark.range(5), path, first)
-    counts = {r["run_date"]: r["count"] for r in spark.read.parquet(path).groupBy("run_date").count().collect()}
-    assert counts == {first: 5, second: 3}
-    assert reports.latest_run(spark, path).agg(F.count("*"), F.max("run_date")).first() == (3, second)
-    assert sorted(n for n in os.listdir(path) if n.startswith("run_date")) == ["run_date=2024-01-01", "run_date=2024-01-02"]
+    with pytest.raises(FileNotFoundError):
+        runs.read_run(spark, path)
+    assert runs.write_run(spark.range(2), path, first).rows == 2
+    runs.write_run(spark.range(3), path, second)
+    runs.write_run(spark.range(5), path, first)  # a date done again: replaced, and not the latest
+    assert runs.read_run(spark, path).agg(F.count("*"), F.max("run_date")).first() == (3, second)
+    assert runs.read_run(spark, path, first).agg(F.count("*"), F.max("run_date")).first() == (5, first)
+    assert runs.published(spark, path).rows == 3
+
+
+def test_half_written_runs_are_not_seen(spark, tmp_path):
+    path, day, later = str(tmp_path / "mart"), dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    runs.write_run(spark.range(2), path, day)
+    run = runs.write_data(spark.range(9), path, later)  # ends before it is published
+    with pytest.raises(Exception, match="stop"):
+        runs.write_run(spark.range(4).select(F.expr("if(id = 3, raise_error('stop'), id)").alias("id")), path, later)
+    assert runs.read_run(spark, path).count() == 2 and runs.published(spark, path).run_date == "2024-01-01"
+    with pytest.raises(FileNotFoundError):
+        runs.read_run(spark, path, later)
+    runs.publish(spark, path, run)
+    assert runs.read_run(spark, path).count() == 9
+    assert sorted(n for n in os.listdir(f"{path}/runs") if not n.startswith(".")) == ["2024-01-01.json", "2024-01-02.json", "latest.json"]
