@@ -743,12 +743,15 @@ def explore_kpis(t):
     df = explored(t)
     confirmed = F.col("status").isin("purchase", "done")
     text_date = F.nullif(F.col("date_order").cast("string"), F.lit(""))
-    return df.agg(
+    grouped = df.groupBy("vendor").agg(  # vendors are counted over groups
         F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("total_amount"),
         F.count_if(confirmed).alias("confirmed"), F.sum(F.when(confirmed, F.col("total_amount"))).alias("confirmed_amount"),
         F.count_if(F.col("status").isin("draft", "sent")).alias("pending"),
-        F.avg(F.coalesce("received_pct", F.lit(0.0))).alias("avg_received"),
-        F.countDistinct("vendor").alias("vendors"), F.min(text_date).alias("first_date"), F.max(text_date).alias("last_date"))
+        F.sum(F.coalesce("received_pct", F.lit(0.0))).alias("received"),
+        F.min(text_date).alias("first_date"), F.max(text_date).alias("last_date"))
+    sums = ("orders", "total_amount", "confirmed", "confirmed_amount", "pending")
+    return grouped.agg(*[F.sum(c).alias(c) for c in sums], (F.sum("received") / F.sum("orders")).alias("avg_received"),
+                       F.count("vendor").alias("vendors"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
 
 
 @register
@@ -763,14 +766,22 @@ def group_counts(t):
 
 @register
 def viewer_kpis(t):
-    fact = stock.move_values(t)
-    by = F.col("movement_type")
-    return fact.agg(
-        F.count(F.lit(1)).alias("movements"), F.sum("total_value").alias("total_value"),
-        F.count_if(by == "Stock In").alias("stock_in"), F.sum(F.when(by == "Stock In", F.col("total_value"))).alias("in_value"),
-        F.count_if(by == "Stock Out").alias("stock_out"), F.sum(F.when(by == "Stock Out", F.col("total_value"))).alias("out_value"),
-        F.countDistinct("product_name").alias("products"), F.min("movement_date").alias("first_date"),
-        F.max("movement_date").alias("last_date"))
+    """Moves are summed per product first, so names are counted over groups."""
+    by, value = F.col("movement_type"), F.col("total_value")
+    grouped = stock.move_values(t).groupBy("product_name").agg(
+        F.count(F.lit(1)).alias("movements"), F.sum(value).alias("total_value"),
+        F.count_if(by == "Stock In").alias("stock_in"), F.sum(F.when(by == "Stock In", value)).alias("in_value"),
+        F.count_if(by == "Stock Out").alias("stock_out"), F.sum(F.when(by == "Stock Out", value)).alias("out_value"),
+        F.min("movement_date").alias("first_date"), F.max("movement_date").alias("last_date"))
+    sums = ("movements", "total_value", "stock_in", "in_value", "stock_out", "out_value")
+    return grouped.agg(*[F.sum(c).alias(c) for c in sums], F.count("product_name").alias("products"),
+                       F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+
+
+@register
+def products_by_period(t):
+    names = t["product_template"].select(text.localized("name").alias("product_name"))
+    return stock.products_by_period(stock.move_values(t), names)
 
 
 @register

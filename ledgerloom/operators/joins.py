@@ -53,6 +53,37 @@ def attach(fact: DataFrame, keys: DataFrame, dim: DataFrame, fk: str, prefix: st
     return fact.join(found, F.col(by) == F.col(f"{prefix}_by"), "left").drop(f"{prefix}_by")
 
 
+def busy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """The keys that hold more than an eighth of an average part's rows: at most 8 x ``parts`` of them."""
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") * 8 * parts > total).select(key)
+
+
+def many_to_many(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str) -> DataFrame:
+    """Inner join on ``key`` where a key may have many rows on both sides; its pairs are spread over all tasks.
+
+    The rows of a busy key are dealt over slices by their id, on the side or sides where they are many, and the rows of the
+    other side are repeated for each slice. So the pairs of one key make a grid of cells, and a cell is one join key. Busy
+    keys are found by counts; there are at most 8 x shuffle partitions of them on a side, which bounds what is broadcast.
+    Rows without a key match nothing.
+    """
+    slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = left.filter(F.col(key).isNotNull()), right.filter(F.col(key).isNotNull())
+    marks = {"_many_left": busy_keys(left, key, slices), "_many_right": busy_keys(right, key, slices)}
+
+    def dealt(df: DataFrame, own: str, own_id: str, other: str) -> DataFrame:
+        for mark, keys in marks.items():
+            df = df.join(F.broadcast(keys.withColumn(mark, F.lit(True))), key, "left")
+        number = F.pmod(F.xxhash64(own_id), F.lit(slices)).cast("int")
+        repeats = F.when(F.col(other).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(slices - 1)))
+        cells = df.withColumn(f"{own}_slice", F.when(F.col(own).isNull(), F.lit(0)).otherwise(number))
+        return cells.withColumn(f"{other}_slice", F.explode(repeats)).drop(*marks)
+
+    cell = [key, "_many_left_slice", "_many_right_slice"]
+    both = dealt(left, "_many_left", left_id, "_many_right").join(dealt(right, "_many_right", right_id, "_many_left"), cell)
+    return both.drop(*cell[1:])
+
+
 def either_key_join(fact: DataFrame, dim: DataFrame, first: str, second: str,
                     columns: dict[str, str], key: str = "id", position: str | None = None) -> DataFrame:
     """Left join ``dim`` on ``key = first OR key = second`` where ``key`` is unique in ``dim``.

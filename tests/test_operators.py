@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import explore, groups, joins, ordered
+from ledgerloom.operators import distinct, explore, groups, joins, ordered
 from ledgerloom.sources import sizes, tables
 
 
@@ -219,3 +219,34 @@ def test_attached_roles(spark):
     for small in (False, True):
         got = joins.attach(fact, fact, dim, "fk", "d", {"name": "who"}, small=small)
         assert got.columns == ["id", "fk", "who"] and sorted(got.collect(), key=str) == want
+
+
+def test_many_to_many_spreads_a_busy_key(spark):
+    """A key with a third of the moves and many tasks: all pairs, and no task with over twice the median."""
+    moves = spark.range(6_000).select(F.col("id").alias("move"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 400 + 10).alias("k"))
+    tasks = spark.range(900).select(F.col("id").alias("task"), F.when(F.col("id") < 300, 7).when(F.col("id") < 880, F.col("id") % 400 + 10).alias("k"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+            spark.conf.set(c, v)
+        pairs = joins.many_to_many(moves, tasks, "k", "move", "task")
+        sizes_ = sorted(r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert pairs.select("move", "task").distinct().count() == moves.join(tasks, "k").count() == sum(sizes_)
+        assert len(sizes_) == 4 and sizes_[-1] < 2 * (sizes_[1] + sizes_[2]) / 2
+        assert sorted(map(tuple, pairs.filter("k <> 7").collect())) == sorted(
+            map(tuple, moves.join(tasks, "k").filter("k <> 7").select(*pairs.columns).collect()))
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+def test_bitmaps_count_distinct_values(spark):
+    df = spark.range(5_000).select((F.col("id") % 7).alias("k"), F.when(F.col("id") % 11 > 0, F.concat(F.lit("v"), (F.col("id") * 31 % 977))).otherwise("").alias("v"))
+    numbers = distinct.numbers_of(df, "v")
+    assert sorted(r["_no"] for r in numbers.collect()) == list(range(numbers.count()))
+    bits = distinct.bitmaps(df, ["k"], "v", numbers)
+    want = {r["k"]: r["n"] for r in df.filter("v <> ''").groupBy("k").agg(F.countDistinct("v").alias("n")).collect()}
+    assert {r["k"]: r["n"] for r in distinct.bit_counts(bits, ["k"], "n").collect()} == want
+    odd = distinct.bit_counts(distinct.merged(bits, [(F.col("k") % 2).alias("odd")]), ["odd"], "n").collect()
+    assert {r["odd"]: r["n"] for r in odd} == {r["odd"]: r["n"] for r in df.filter("v <> ''").groupBy((F.col("k") % 2).alias("odd")).agg(
+        F.countDistinct("v").alias("n")).collect()}

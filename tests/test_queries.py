@@ -76,3 +76,17 @@ def test_plans_have_no_nested_loops(spark):
     for name in ("stock_movements", "po_lines", "project_tasks", "message_search", "project_hierarchy", "cash_requirements"):
         plan = REGISTRY[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "CartesianProduct" not in plan, name
+
+
+def test_plans_run_no_job_and_agree_without_broadcasts(con, spark):
+    """Nothing runs while the movements are planned; shuffled, spread joins give the same rows as those by broadcast."""
+    REGISTRY["stock_movements"](spark, FOLDER)  # the tables are read once
+    spark.sparkContext.setJobGroup("planning", "no job may run")
+    REGISTRY["stock_movements"](spark, FOLDER)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert compare.differences(con, spark, FOLDER, "stock_movements") == ""
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
