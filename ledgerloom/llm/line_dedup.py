@@ -1,22 +1,27 @@
-"""Repeated runs of lines by prefix doubling over line-ID sequences up to `min_lines`; no suffix array is built.
+"""Repeated runs of lines: a suffix array over line-ID sequences by prefix doubling, and its common-prefix intervals.
 
-Lines are named by 128 bits of hash; the sequence of names of all documents, in order of document and line, is sorted by
-prefix doubling: rank 0 orders suffixes by their first line, and each round ranks them by twice as many lines, from the
-pair (own rank, rank as many lines further on). A rank is the place of the pair among the sorted pairs, which sampled
-splitters range-partition. Suffixes that share their rank with no other leave: their longest common prefix with any other
-suffix is shorter than that. Doubling stops at `min_lines`, since the intervals whose common prefix is at least that long
-already show every run: a maximal repeated run of n lines is a row of n - min_lines + 1 starts that follow one another,
-each in such an interval, and deeper sorting would only split intervals without changing what repeats.
+Lines are named by 128 bits of hash; the suffixes of a document are the sequences of names from each of its lines on, in order
+of document and line. Prefix doubling ranks them by 1, 2, 4, ... lines: a rank is the place of the pair (own rank, rank as many
+lines further on) among the sorted pairs, which sampled splitters range-partition. A suffix that shares its rank with no other
+leaves, since its longest common prefix with any other is shorter; doubling ends when none is left.
 
-In each interval the smallest suffix (document, line) is the first copy. Lines covered by the others' first `min_lines`
-lines are later copies and are deleted, so of a maximal run all copies but the first go, whole.
+Suffixes that share a rank are an interval of the suffix array with a common prefix of that many lines. Between two rounds an
+interval splits into parts that have twice the prefix in common; one suffix of each part, the first in order, goes on as its
+representative and tells by halving how far the parts agree with each other: d lines are shared where the ranks of 2^k lines
+(2^k <= d < 2^(k+1)) agree at the start and at d - 2^k. Halving ends with the interval's longest common prefix. Of the suffixes
+that end in an interval, all but the first are later copies of its prefix, and no earlier suffix has more in common with them.
+So every suffix gets the length of the longest run that begins at it and also begins earlier; runs that lie inside the run of
+the line before are left out, and what stays are the maximal repeated runs.
 
-Ranks come from grouped counts (a line that is everywhere is one row for each task) and go back to their suffixes by
-joins, which Spark splits on hot lines. The one text shuffle joins the lists of deleted lines to their documents.
+Later copies of maximal runs of at least `min_words` words go, whole, even of a single line; shorter runs, such as a greeting,
+stay wherever they stand.
+
+Ranks and intervals come from grouped counts (a line that is everywhere is one row for each task) and go back to their
+suffixes by joins, which Spark splits on hot lines. The one text shuffle joins the runs of a document to its text.
 
 Cases: a null text is an empty one, with a single empty line; a document whose lines all go has an empty text; rows that
 repeat an id are told apart by their text, and of rows equal in both one is the first copy; null ids come last in the
-order; an empty table gives no rows. A document of many lines is one array in the last step.
+order; an empty table gives no rows. The lines and the runs of a document are arrays in the last step.
 """
 
 from __future__ import annotations
@@ -24,78 +29,170 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, shuffle_width
+from ledgerloom.llm.common import SPACES, cut, shuffle_width
 
-_PLACE = ["__doc", "__copy", "__pos"]
+_PLACE = ["doc", "copy", "twin", "pos"]
+_DOC = _PLACE[:3]
 #: Stands for a null id, after all others.
 _LAST = (1 << 63) - 1
 
 
 def _ranked(keys: DataFrame, names: list[str]) -> DataFrame:
-    """Distinct keys and `first`, with `place` in their order: the range partition, then the place inside it."""
+    """Distinct keys and `first`, with `rank`, their place in order: the range partition, then the place inside it."""
     parts = keys.repartitionByRange(shuffle_width(keys.sparkSession), *names).withColumn("part", F.spark_partition_id())
     inside = Window.partitionBy("part").orderBy(*names)
     place = F.shiftleft(F.col("part").cast("long"), 40) + F.row_number().over(inside)
-    return cut(parts.select(*names, "first", place.alias("place")))
+    return cut(parts.select(*names, "first", place.alias("rank")))
+
+
+def _shared(suffixes: DataFrame, names: list[str]) -> DataFrame:
+    """Keys that several suffixes have, with the first of these."""
+    known = suffixes.filter(F.col(names[-1]).isNotNull())
+    return known.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_PLACE)).alias("first")).filter("n > 1").drop("n")
+
+
+def _ahead(suffixes: DataFrame, step) -> DataFrame:
+    """Ranks by the place that lies `step` lines before them."""
+    return suffixes.select(*_DOC, (F.col("pos") - step).alias("pos"), F.col("rank").alias("rank2"))
+
+
+def common_prefixes(lines: DataFrame) -> DataFrame:
+    """For each suffix that shares lines with an earlier one: its place, `n`, the most lines so shared, and `first`, the place
+    of the first suffix that shares them; lines: places and the hashes `h1`, `h2` of the line."""
+    suffixes = cut(lines.join(_ranked(_shared(lines, ["h1", "h2"]), ["h1", "h2"]), ["h1", "h2"]).select(*_PLACE, "rank", "first"))
+    level, found, halves, ranks = 0, [], [], []
+    while not suffixes.isEmpty():
+        pairs = suffixes.withColumnRenamed("first", "head").join(_ahead(suffixes, F.lit(1 << level)), _PLACE, "left")
+        keys = _shared(pairs, ["rank", "rank2"]).withColumnsRenamed({"rank": "own", "rank2": "further"})
+        same = (F.col("rank2") == F.col("further")) & (pairs["rank"] == F.col("own"))
+        deeper = _ranked(keys, ["own", "further"]).withColumnRenamed("rank", "deep")
+        split = cut(pairs.join(deeper, same, "left").select(*_PLACE, "rank", "head", "first", "deep"))
+        # One suffix of each part stays in the interval; it has between 2^level and 2^(level + 1) - 1 lines in common there.
+        stay = split.filter(F.col("first").isNull() | (F.col("first") == F.struct(*_PLACE))).select(*_PLACE, F.col("head").alias("first"))
+        if level:
+            halves.append(stay.select(*_PLACE, "first", F.lit(level).alias("level"), F.lit(1 << level).alias("low"), F.lit(2 << level).alias("high")))
+            ranks.append(suffixes.select(*_PLACE, "rank", F.lit(level).alias("level")))
+        else:
+            found.append(stay.filter(F.col("first") != F.struct(*_PLACE)).select(*_PLACE, "first", F.lit(1).alias("n")))
+        suffixes, level = split.filter("deep IS NOT NULL").select(*_PLACE, F.col("deep").alias("rank"), "first"), level + 1
+    if halves:
+        found.append(_halved(_all(halves), _all(ranks), level - 1))
+    return _all(found) if found else lines.select(*_PLACE, F.struct(*_PLACE).alias("first"), F.lit(1).alias("n")).limit(0)
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def _halved(rows: DataFrame, ranks: DataFrame, rounds: int) -> DataFrame:
+    """Representatives with the longest prefix that they share with an earlier one of their interval."""
+    node, ranks = ["first", "level", "low", "high"], ranks.withColumnRenamed("rank", "rank2")
+    for _ in range(rounds):
+        middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+        open_ = F.col("high") - F.col("low") > 1
+        asked = rows.withColumn("middle", F.when(open_, middle)).withColumn(
+            "at", F.when(open_, F.col("pos") + F.col("middle") - F.call_function("shiftleft", F.lit(1), F.col("level"))))
+        there = ranks.select(*_DOC, F.col("pos").alias("at"), "level", "rank2")
+        asked = cut(asked.join(there, [*_DOC, "at", "level"], "left").drop("at"))
+        parts = _shared(asked.withColumnRenamed("first", "head"), ["head", "level", "low", "high", "rank2"])
+        split = asked.withColumnRenamed("first", "head").join(parts, ["head", "level", "low", "high", "rank2"], "left")
+        own = F.struct(*_PLACE)
+        upper = split.filter(F.col("first").isNotNull()).select(*_PLACE, "first", "level", F.col("middle").alias("low"), "high")
+        lower = split.filter(F.col("first").isNull() | (F.col("first") == own)).select(
+            *_PLACE, F.col("head").alias("first"), "level", "low", F.coalesce("middle", "high").alias("high"))
+        rows = cut(upper.unionByName(lower))
+    return rows.filter(F.col("first") != F.struct(*_PLACE)).select(*_PLACE, "first", F.col("low").alias("n"))
+
+
+def maximal_runs(lines: DataFrame) -> DataFrame:
+    """Later copies of maximal repeated runs: the place of the first line, `n` lines, `first` place of the earliest copy."""
+    runs = cut(common_prefixes(lines))
+    inside = runs.select(*_DOC, (F.col("pos") + 1).alias("pos"), (F.col("n") - 1).alias("n"))
+    return runs.join(inside, [*_PLACE, "n"], "left_anti")
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, prefix: str) -> DataFrame:
+    """The documents with what tells their rows apart: id, hash of the text, number among rows equal in both."""
+    doc, copy = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), F.xxhash64(text_col)
+    unique = docs.groupBy(doc.alias("id")).count().filter("count > 1").isEmpty()
+    twin = F.lit(0) if unique else F.row_number().over(Window.partitionBy(doc, copy).orderBy(F.xxhash64(*docs.columns)))
+    return docs.withColumns({f"{prefix}doc": doc, f"{prefix}copy": copy, f"{prefix}twin": twin})
 
 
-def _repeated(suffixes: DataFrame, names: list[str]) -> DataFrame:
-    """The suffixes whose keys are shared by others, with the place of their keys (`rank`) and the smallest suffix of them."""
-    shared = suffixes.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_PLACE)).alias("first"))
-    ranked = _ranked(shared.filter("n > 1").select(*names, "first"), names)
-    return cut(suffixes.join(ranked, names).select(*_PLACE, F.col("place").alias("rank"), "first"))
+def line_names(texts: DataFrame, text_col: str, prefix: str = "") -> DataFrame:
+    """Places and hashes of all lines."""
+    split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
+    own = texts.select(*[F.col(f"{prefix}{c}").alias(c) for c in _DOC], F.posexplode(split).alias("pos", "line"))
+    return own.select(*_PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def later_copies(lines: DataFrame, min_lines: int) -> DataFrame:
-    """Starts of runs of `min_lines` lines that begin earlier too; lines: places and the hashes `h1`, `h2` of the line."""
-    suffixes, depth = _repeated(lines, ["h1", "h2"]), 1
-    while depth < min_lines:
-        step = min(depth, min_lines - depth)
-        ahead = suffixes.select("__doc", "__copy", (F.col("__pos") - step).alias("__pos"), F.col("rank").alias("rank2"))
-        suffixes, depth = _repeated(suffixes.drop("first").join(ahead, _PLACE), ["rank", "rank2"]), depth + step
-    return suffixes.filter(F.struct(*_PLACE) != F.col("first")).select(*_PLACE)
+def free_prefix(columns: list[str]) -> str:
+    """A beginning of names that no column has."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
 
 
-def without_repeats(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of the documents and `__n_lines`, `__n_removed`, `__kept` (the text of the lines that stay)."""
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
-    unique = docs.groupBy(doc.alias("id")).count().filter("count > 1").isEmpty()
-    copy = F.lit(0) if unique else F.row_number().over(Window.partitionBy("__doc").orderBy(F.xxhash64(text_col)))
-    texts = docs.withColumn("__doc", doc).withColumn("__copy", copy)
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each later copy of a maximal repeated run: doc_id, start (line from 0), n_lines, first_id, first_start.
+
+    Null ids are null again. Whether a run is long enough to go is not asked here.
+    """
+    only = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    runs = maximal_runs(line_names(_named(only, "id", "text", ""), "text"))
+    known = lambda c: F.nullif(c, F.lit(_LAST))
+    return runs.select(known(F.col("doc")).alias("doc_id"), F.col("pos").cast("long").alias("start"), F.col("n").cast("long").alias("n_lines"),
+                       known(F.col("first.doc")).alias("first_id"), F.col("first.pos").cast("long").alias("first_start"))
+
+
+def without_repeats(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text", prefix: str = "__") -> DataFrame:
+    """All columns of the documents and, with `prefix`, n_lines, n_removed and kept (the text of the lines that stay).
+
+    `prefix` begins no column of the documents.
+    """
+    p = prefix
+    texts = _named(docs, id_col, text_col, p)
+    runs = maximal_runs(line_names(texts, text_col, p))
+    by_doc = runs.groupBy(*_DOC).agg(F.collect_list(F.struct("pos", "n")).alias(f"{p}runs")).withColumnsRenamed({c: f"{p}{c}" for c in _DOC})
     split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    lines = texts.select("__doc", "__copy", F.posexplode(split).alias("__pos", "line")).select(
-        *_PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-    gone = later_copies(lines, min_lines).select(
-        "__doc", "__copy", F.explode(F.sequence(F.col("__pos"), F.col("__pos") + min_lines - 1)).alias("line"))
-    dead = gone.groupBy("__doc", "__copy").agg(F.collect_set("line").alias("__dead"))
-    marked = texts.join(dead, ["__doc", "__copy"], "left").withColumn("__lines", split)
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__dead")
-    kept = F.array_join(F.transform(stay, lambda k: F.element_at("__lines", k + 1)), "\n")
+    words = F.transform(f"{p}lines", lambda x: F.size(F.filter(F.split(x, SPACES), lambda w: w != "")))
+    marked = texts.join(by_doc, [f"{p}{c}" for c in _DOC], "left").withColumn(f"{p}lines", split)
+    marked = marked.withColumn(f"{p}words", F.when(F.col(f"{p}runs").isNotNull(), words))
+    long = F.filter(f"{p}runs", lambda r: F.aggregate(F.slice(F.col(f"{p}words"), r["pos"] + 1, r["n"]), F.lit(0), lambda a, b: a + b) >= min_words)
+    dead = F.array_distinct(F.flatten(F.transform(long, lambda r: F.sequence(r["pos"], r["pos"] + r["n"] - 1))))
+    marked = marked.withColumn(f"{p}dead", dead)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(f"{p}lines") - 1), f"{p}dead")
+    kept = F.array_join(F.transform(stay, lambda k: F.element_at(F.col(f"{p}lines"), k + 1)), "\n")
+    removed = F.coalesce(F.size(f"{p}dead"), F.lit(0))
     return marked.select(
-        *[docs[c] for c in docs.columns],
-        F.size("__lines").cast("long").alias("__n_lines"),
-        F.coalesce(F.size("__dead"), F.lit(0)).cast("long").alias("__n_removed"),
-        F.when(F.col("__dead").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(kept).alias("__kept"),
+        *[F.col(f"`{c}`") for c in docs.columns],
+        F.size(f"{p}lines").cast("long").alias(f"{p}n_lines"),
+        F.greatest(removed, F.lit(0)).cast("long").alias(f"{p}n_removed"),
+        F.when(removed > 0, kept).otherwise(F.coalesce(F.col(text_col), F.lit(""))).alias(f"{p}kept"),
     )
 
 
-def drop_repeats(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
-    """The documents, all columns, without later copies of runs of lines; a document of which nothing stays goes.
+def drop_repeats(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """The documents, all columns, without later copies of long runs of lines; a document of which nothing stays goes.
 
     The number of characters follows the text where there is such a column.
     """
-    found = without_repeats(docs, min_lines, id_col, text_col)
-    cut_ = F.col("__n_removed") > 0
-    found = found.filter(~(cut_ & (F.trim("__kept") == ""))).withColumn(text_col, F.when(cut_, F.col("__kept")).otherwise(F.col(text_col)))
+    p = free_prefix(docs.columns)
+    found = without_repeats(docs, min_words, id_col, text_col, p)
+    cut_ = F.col(f"{p}n_removed") > 0
+    found = found.filter(~(cut_ & (F.trim(f"{p}kept") == ""))).withColumn(text_col, F.when(cut_, F.col(f"{p}kept")).otherwise(F.col(text_col)))
     if size_col in docs.columns:
         size = F.length(text_col).cast(docs.schema[size_col].dataType)
         found = found.withColumn(size_col, F.when(cut_, size).otherwise(F.col(size_col)))
     return found.select(*docs.columns)
 
 
-def report(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def report(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, kept_sha256."""
     only = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return without_repeats(only, min_lines).select(
-        "doc_id", F.col("__n_lines").alias("n_lines"), F.greatest(F.col("__n_removed"), F.lit(0)).alias("n_removed"),
-        F.sha2("__kept", 256).alias("kept_sha256"))
+    return without_repeats(only, min_words).select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), F.sha2("__kept", 256).alias("kept_sha256"))

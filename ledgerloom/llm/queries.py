@@ -15,8 +15,8 @@ from ledgerloom.llm.common import remainder, table
 Query = Callable[[SparkSession, str], DataFrame]
 #: Words of a shingle and bits of distance of the near-duplicate fingerprints.
 SHINGLE, RADIUS = 3, 2
-#: Words of a window that must not repeat; lines of a run that must not.
-WINDOW, MIN_LINES = 35, 2
+#: Words of a window that must not repeat; words from which on a repeated run of lines must not.
+WINDOW, MIN_WORDS = 35, 5
 #: Part positions, entries of a codebook and rounds of the vector codes; units of a vector component.
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 
@@ -54,7 +54,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(table(spark, sf_dir, "documents"), MIN_LINES)
+    return line_dedup.report(table(spark, sf_dir, "documents"), MIN_WORDS)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,21 +148,28 @@ SQL: dict[str, str] = {
         SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM documents d LEFT JOIN sums USING (doc_id)""",
-    "op7_line_dedup": r"""
-        WITH lines AS (
-            SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
-            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
-        starts AS (
-            SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS line2 FROM lines),
-        later AS (
-            SELECT doc_id, pos FROM starts WHERE line2 IS NOT NULL
-            QUALIFY row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, pos) > 1),
+    "op7_line_dedup": rf"""
+        WITH RECURSIVE lines AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY doc_id, pos) AS r, doc_id, line, dense_rank() OVER (ORDER BY line) AS name,
+                   len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+            FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+        shared AS (
+            SELECT r, doc_id, 1 AS n, min(r) OVER (PARTITION BY name) AS first FROM lines
+            QUALIFY count(*) OVER (PARTITION BY name) > 1
+            UNION ALL
+            SELECT s.r, s.doc_id, s.n + 1, min(s.r) OVER (PARTITION BY s.first, l.name)
+            FROM shared s JOIN lines l ON l.r = s.r + s.n AND l.doc_id = s.doc_id
+            QUALIFY count(*) OVER (PARTITION BY s.first, l.name) > 1),
+        runs AS (SELECT r, max(n) AS n FROM shared WHERE r <> first GROUP BY r),
+        upto AS (SELECT r, sum(words) OVER (ORDER BY r) AS words FROM lines),
+        long AS (
+            SELECT runs.r, runs.r + runs.n AS past FROM runs JOIN upto a ON a.r = runs.r JOIN lines ON lines.r = runs.r
+            JOIN upto b ON b.r = runs.r + runs.n - 1 WHERE b.words - a.words + lines.words >= {MIN_WORDS}),
         marked AS (
-            SELECT l.doc_id, l.line, l.pos, a.pos IS NOT NULL OR b.pos IS NOT NULL AS gone
-            FROM lines l LEFT JOIN later a ON a.doc_id = l.doc_id AND a.pos = l.pos
-            LEFT JOIN later b ON b.doc_id = l.doc_id AND b.pos = l.pos - 1)
+            SELECT lines.*, coalesce(max(past) OVER (ORDER BY lines.r) > lines.r, false) AS gone FROM lines LEFT JOIN long USING (r))
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY r) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
     "op12_vector_codes": vector_codes_sql(),
     "op13_filter_audit": r"""

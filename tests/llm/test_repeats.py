@@ -70,36 +70,83 @@ def test_windows_of_odd_documents(spark):
         substring.without_repeats(df, 35, 21, (0, 1, 4))
 
 
-def plain_lines(rows, n):
-    lines = [(t or "").split("\n") for _, t in rows]
+def plain_runs(rows):
+    """For each line, the most lines from it on that also begin earlier, by full comparison; only maximal ones."""
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
-    seen, gone = set(), [set() for _ in rows]
-    for k in order:
-        for p in range(len(lines[k]) - n + 1):
-            run = tuple(lines[k][p:p + n])
-            if run in seen:
-                gone[k].update(range(p, p + n))
-            seen.add(run)
+    lines = {k: (rows[k][1] or "").split("\n") for k in order}
+    places = [(k, p) for k in order for p in range(len(lines[k]))]
+    starts, found = defaultdict(list), {}
+    for k, p in places:
+        best = 0
+        for j, q in starts[lines[k][p]]:
+            n = 0
+            while p + n < len(lines[k]) and q + n < len(lines[j]) and lines[k][p + n] == lines[j][q + n]:
+                n += 1
+            best = max(best, n)
+        starts[lines[k][p]].append((k, p))
+        found[k, p] = best
+    return {(k, p): n for (k, p), n in found.items() if n and found.get((k, p - 1), 0) <= n}, lines
+
+
+def plain_lines(rows, min_words):
+    runs, lines = plain_runs(rows)
+    gone = [set() for _ in rows]
+    for (k, p), n in runs.items():
+        if sum(len(x.encode().split()) for x in lines[k][p:p + n]) >= min_words:
+            gone[k].update(range(p, p + n))
     return [(rows[k][0], len(lines[k]), len(gone[k]), "\n".join(x for p, x in enumerate(lines[k]) if p not in gone[k])) for k in range(len(rows))]
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 5])
-def test_lines(spark, n):
-    rng = random.Random(n)
-    texts = ["\n".join(rng.choice("abcdef") * 2 for _ in range(rng.randrange(1, 14))) for _ in range(50)] + ["a\n" * 300, "", None]
-    df = texts_of(spark, texts).repartition(4)
+def made_lines(seed):
+    rng = random.Random(seed)
+    words = lambda: " ".join(rng.choice(["la", "le", "un", "deux", "trois"]) for _ in range(rng.choice([0, 1, 1, 2, 7])))
+    pool = [words() for _ in range(12)]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 14))) for _ in range(40)]
+    whole = [rng.choice(pool) + str(k) for k in range(37)]
+    for k in range(12):  # copies and parts of a longer text, so that all depths up to its length come in
+        a, b = sorted((rng.randrange(38), rng.randrange(38)))
+        texts.append("\n".join([f"own {k}", *whole[a:b], rng.choice(pool)]))
+    return texts + ["\n".join(whole)] * 3 + ["a\n" * 70, "", None, "Les.", "Les.", "one long line that is repeated", "one long line that is repeated"]
+
+
+@pytest.mark.parametrize("min_words", [1, 5, 12])
+def test_lines(spark, min_words):
+    df = texts_of(spark, made_lines(min_words)).repartition(4)
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
-    got = line_dedup.report(df, n).collect()
-    want = [(i, a, b, hashlib.sha256(t.encode()).hexdigest()) for i, a, b, t in plain_lines(rows, n)]
+    got = line_dedup.report(df, min_words).collect()
+    want = [(i, a, b, hashlib.sha256(t.encode()).hexdigest()) for i, a, b, t in plain_lines(rows, min_words)]
     assert Counter(tuple(r) for r in got) == Counter(want)
 
 
+def test_runs_are_all_maximal_ones(spark):
+    df = texts_of(spark, made_lines(3)).repartition(3)
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    runs, lines = plain_runs(rows)
+    got = line_dedup.repeated_runs(df).collect()
+    assert Counter((r["doc_id"], r["start"], r["n_lines"]) for r in got) == Counter((rows[k][0], p, n) for (k, p), n in runs.items())
+    text = {rows[k][0]: x for k, x in lines.items()}
+    for r in got:
+        assert (r["first_id"], r["first_start"]) < (r["doc_id"], r["start"])
+        assert text[r["first_id"]][r["first_start"]:][:r["n_lines"]] == text[r["doc_id"]][r["start"]:][:r["n_lines"]]
+
+
+def test_long_lines_go_and_short_ones_stay(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    df = texts_of(spark, [f"a\n{long}\nLes.", f"Les.\n{long}\nb", f"{long}", "Les."])
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeats(df).collect()}
+    assert got == {0: f"a\n{long}\nLes.", 1: "Les.\nb", 3: "Les."}
+
+
 def test_lines_of_odd_documents(spark):
     df = odd_documents(spark)
-    got = line_dedup.without_repeats(df, 2)
+    got = line_dedup.without_repeats(df)
     assert got.columns == [*df.columns, "__n_lines", "__n_removed", "__kept"] and got.count() == df.count()
     rows = {r["doc_id"]: r["__n_removed"] for r in got.filter(F.col("doc_id") < 9).collect()}
-    assert rows == {1: 0, 2: 3, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0, 8: 0}
-    kept = line_dedup.drop_repeats(df, 2)
+    assert rows == {1: 0, 2: 3, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0, 8: 1}  # 8 is the single long line of 7 again
+    kept = line_dedup.drop_repeats(df)
     assert kept.columns == df.columns and kept.filter("doc_id = 2").isEmpty() and kept.filter("doc_id = 4").count() == 1
-    assert line_dedup.drop_repeats(no_documents(spark), 2).collect() == []
+    clashing = df.withColumns({c: F.lit("y") for c in ("__doc", "__copy", "___runs", "first", "rank", "level", "__kept")})
+    again = line_dedup.drop_repeats(clashing)
+    assert again.columns == clashing.columns and again.count() == kept.count() and again.filter("__kept = 'y' and __doc = 'y'").count() == kept.count()
+    assert line_dedup.drop_repeats(no_documents(spark)).collect() == []
+    assert line_dedup.repeated_runs(no_documents(spark)).collect() == []
