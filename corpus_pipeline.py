@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import decontaminate, language, line_dedup, packing, simhash
 from ledgerloom.llm.common import remainder, shared_folder, table
-from ledgerloom.llm.queries import MIN_LINES, RADIUS, SHINGLE, tokenizer_path
+from ledgerloom.llm.queries import MIN_WORDS, RADIUS, SHINGLE, tokenizer_path
 
 
 def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +22,8 @@ def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of lines go; a document of which nothing is left goes with them."""
-    return line_dedup.drop_repeats(docs, MIN_LINES)
+    """Later copies of long runs of lines go; a document of which nothing is left goes with them."""
+    return line_dedup.drop_repeats(docs, MIN_WORDS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
