@@ -32,7 +32,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import cut, shuffle_width
-from ledgerloom.llm.substring import WordHashes
 
 END = b"\n"
 _PART = 1 << 20
@@ -104,8 +103,22 @@ def _documents(block: pa.Table) -> Iterator[tuple[int, list[bytes], bytes]]:
         yield row, words, b" ".join(words) + END
 
 
-def _word_keys(words: list[bytes], hashes: WordHashes) -> np.ndarray:
-    return np.fromiter(map(hashes.__getitem__, [*words, END]), dtype=np.uint64, count=len(words) + 1)
+class Vocabulary(dict):
+    """Numbers of the distinct words of a block, in the order in which they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of a document's tokens: its words and the end."""
+        return np.fromiter(map(self.__getitem__, [*words, END]), dtype=np.int32, count=len(words) + 1)
+
+    def hashed(self) -> np.ndarray:
+        """The keys of the words by number."""
+        import xxhash
+
+        return np.fromiter(map(xxhash.xxh64_intdigest, self), dtype=np.uint64, count=len(self))
 
 
 def packed(values: np.ndarray, ordered: bool = False) -> bytes:
@@ -123,15 +136,17 @@ def unpacked(raw: bytes, kind: type, ordered: bool = False) -> np.ndarray:
 def name_keys(order: int, shards: int):
     """The distinct words and strings of a block, by shard of the key, with how often learnt documents hold them."""
     def of(block: pa.Table) -> pa.Table:
-        hashes, tallies = WordHashes(), (Tally(), Tally())
+        known, tally, learnt = Vocabulary(), Tally(), [np.zeros(0, np.int32)]
         held_out = block.column("held_out").to_pylist()
         for row, words, body in _documents(block):
-            tallies[WORDS].add(_word_keys(words, hashes), not held_out[row])
+            own = known.numbers(words)
+            if not held_out[row]:
+                learnt.append(own)
             for part in strings_of(body, order):
-                tallies[STRINGS].add(part, not held_out[row])
+                tally.add(part, not held_out[row])
         number, rows = block.column("block")[0].as_py(), []
-        for kind, tally in enumerate(tallies):
-            keys, counts = tally.settle()
+        word_counts = merged([(known.hashed(), np.bincount(np.concatenate(learnt), minlength=len(known)))])
+        for kind, (keys, counts) in enumerate((word_counts, tally.settle())):
             shard = shard_of(keys, shards, 50 if kind == WORDS else 4 * (order + 1))
             for k in np.unique(shard):
                 mine = shard == k
@@ -170,11 +185,42 @@ def give_values(named: pa.Table, valued: pa.Table) -> pa.Table:
     return pa.table([named.column("kind"), named.column("block"), named.column("keys"), pa.array(found, type=pa.binary())], schema=_VALUED)
 
 
-def looked_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> float:
-    """The sum of the values of keys. They are sorted first, so that the look-up goes through the table once, in its order."""
-    some = np.sort(keys)
-    first = np.flatnonzero(np.append(True, some[1:] != some[:-1])) if len(some) else np.zeros(0, np.int64)
-    return float((table[1][np.searchsorted(table[0], some[first])] * np.diff(first, append=len(some))).sum())
+class Sums:
+    """Sums of the values of keys by document, looked up for many documents at a time.
+
+    The keys of about `_PART` bytes of text are sorted, with their documents in the bits that the keys leave free, so that the
+    look-up goes through the table once, in its order.
+    """
+
+    def __init__(self, table: tuple[np.ndarray, np.ndarray], bits: int, documents: int):
+        self.keys, self.values = table
+        self.free, self.sums = 64 - bits, np.zeros(documents)
+        self.waiting, self.held = [], 0
+
+    def add(self, document: int, keys: np.ndarray) -> None:
+        if self.waiting and document - self.waiting[0][0] >= 1 << self.free:
+            self.settle()
+        self.waiting.append((document, keys))
+        self.held += len(keys)
+        if self.held > 2 * _PART:
+            self.settle()
+
+    def settle(self) -> np.ndarray:
+        if self.held:
+            base = self.waiting[0][0]
+            keys = np.concatenate([k for _, k in self.waiting])
+            owners = np.repeat([d - base for d, _ in self.waiting], [len(k) for _, k in self.waiting]).astype(np.uint64)
+            keys <<= np.uint64(self.free)
+            keys |= owners
+            keys.sort()
+            owners = (keys & np.uint64((1 << self.free) - 1)).astype(np.int64)
+            keys >>= np.uint64(self.free)
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            found = np.repeat(self.values[np.searchsorted(self.keys, keys[first])], np.diff(first, append=len(keys)))
+            part = np.bincount(owners, weights=found)
+            self.sums[base:base + len(part)] += part
+        self.waiting, self.held = [], 0
+        return self.sums
 
 
 def score_block(order: int, total: int, distinct: int):
@@ -188,16 +234,20 @@ def score_block(order: int, total: int, distinct: int):
             keys, found = (np.concatenate([np.zeros(0, t), *_blobs(some, c, t)]) for c, t in (("keys", np.uint64), ("values", np.float64)))
             at = np.argsort(keys)
             tables.append((keys[at], found[at]))
-        hashes, out = WordHashes(), ([], [], [], [])
-        for _, words, body in _documents(block):
-            own = _word_keys(words, hashes)
-            counts = tables[WORDS][1][np.searchsorted(tables[WORDS][0], own)]
-            out[0].append(len(own))
-            out[1].append(int((counts > 0).sum()))
-            out[2].append(float(np.log10(counts + 0.5).sum() - floor * len(own)))
-            out[3].append(sum(looked_up(tables[STRINGS], part) for part in strings_of(body, order)))
-        n = block.num_rows
-        columns = [block.column("doc_id"), block.column("held_out"), out[0], out[1], np.full(n, total), out[2], out[3]]
+        n, known, own = block.num_rows, Vocabulary(), []
+        lengths = Sums(tables[STRINGS], 8 * (order + 1), n)
+        for row, words, body in _documents(block):
+            own.append(known.numbers(words))
+            for part in strings_of(body, order):
+                lengths.add(row, part)
+        hashed = known.hashed()
+        at = np.argsort(hashed)  # counts of the distinct words, by their number
+        counts = np.zeros(len(hashed))
+        counts[at] = tables[WORDS][1][np.searchsorted(tables[WORDS][0], hashed[at])]
+        logs, seen = np.log10(counts + 0.5), counts > 0
+        tokens = [len(x) for x in own]
+        base = [float(logs[x].sum() - floor * len(x)) for x in own]
+        columns = [block.column("doc_id"), block.column("held_out"), tokens, [int(seen[x].sum()) for x in own], np.full(n, total), base, lengths.settle()]
         return pa.table([c if isinstance(c, pa.ChunkedArray) else pa.array(c, type=f.type) for c, f in zip(columns, _SCORED)], schema=_SCORED)
 
     return of
