@@ -15,7 +15,7 @@ from ledgerloom.operators import explore, groups, joins, ordered
 from ledgerloom.plans import attendance, cash, inventory, payables, projects, purchasing, quality, search, stock
 from ledgerloom.shared import shared_folder
 from ledgerloom.sinks import reports, runs
-from ledgerloom.sources import files, loose
+from ledgerloom.sources import files, layout, loose
 from ledgerloom.sources.sizes import fits
 from ledgerloom.sources.tables import query as sql_query
 
@@ -278,6 +278,13 @@ def po_lines(t):
     return order_lines(t)
 
 
+@register
+def po_lines_bucketed(t, spark, folder):
+    """The order lines over tables that are bucketed by order and by bill."""
+    names = layout.write_bucketed(t, new_folder(spark, "layout"), 8)
+    return order_lines(layout.bucketed_tables(spark, t, names))
+
+
 @register
 def po_lines_per_invoice(t):
     return order_lines(t, per_invoice=True, null_received_is_zero=False).select(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.sinks import reports, runs
-from ledgerloom.sources import files, loose, tables
+from ledgerloom.sources import files, layout, loose, tables
 
 
 def test_text_csv(spark, tmp_path):
@@ -107,3 +107,25 @@ def test_half_written_runs_are_not_seen(spark, tmp_path):
     runs.publish(spark, path, run)
     assert runs.read_run(spark, path).count() == 9
     assert sorted(n for n in os.listdir(f"{path}/runs") if not n.startswith(".")) == ["2024-01-01.json", "2024-01-02.json", "latest.json"]
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
+    orders = spark.range(400).selectExpr("id", "concat('P', id) AS name")
+    lines = spark.range(2_000).selectExpr("id", "id % 410 AS order_id")
+    names = layout.write_bucketed({"purchase_order": orders, "purchase_order_line": lines}, str(tmp_path / "layout"), 4,
+                                  {"purchase_order": "id", "purchase_order_line": "order_id"})
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        heads, rows = spark.table(names["purchase_order"]), spark.table(names["purchase_order_line"])
+        joined = rows.join(heads.withColumnRenamed("id", "order_id"), "order_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == lines.join(orders.withColumnRenamed("id", "order_id"), "order_id").count()
+        assert len([n for n in os.listdir(tmp_path / "layout" / "purchase_order_line") if n.endswith(".parquet")]) == 4
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+        for name in names.values():
+            spark.sql(f"DROP TABLE {name}")
