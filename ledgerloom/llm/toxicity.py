@@ -4,10 +4,14 @@ Features are the n-grams of 3, 4 and 5 bytes of the lower-cased text, present or
 log-count ratio of a bucket compares the shares of toxic and other labelled documents that hold it; a logistic regression
 on the features scaled by these ratios gives the weights. Scoring reads each whole text once; the model is 2^20 floats.
 
+The regression is fitted by L-BFGS. The features of the documents it learns from are written once to the shared folder; each
+step sends the weights to the tasks, which sum the slopes of their documents, and Spark adds up those sums by ranges of
+buckets. So the driver holds weights, slopes and a short history, 2^20 numbers each, however long the texts are.
+
 Bounds, as parameters: the ratios are learnt from at most `labelled` labelled documents (in order of a hash of their id),
 the weights from at most `fitted` of those, up to a third of them toxic, so that the few toxic ones weigh enough. Buckets that
-fewer than `SEEN` of them hold, or whose log-count ratio stays under `LEAST` either way, have no weight. The list of
-labelled ids is thus at most `labelled` rows, which is what is broadcast; texts never move.
+fewer than `SEEN` labelled documents hold have no weight. The list of labelled ids is thus at most `labelled` rows, which is
+what is broadcast; texts never move.
 
 Cases: a null text is an empty one and gets the score of no features; conflicting labels of an id count as toxic; null
 labels and ids without text are ignored; without labels of both kinds every score is the share of toxic labels (0 without
@@ -28,13 +32,16 @@ from ledgerloom.llm.common import batch_of, cut, text_slices
 
 BITS = 20
 BUCKETS = 1 << BITS
-#: Labelled documents that must hold a bucket, and the log-count ratio it must reach, to be a feature of the fit.
-SEEN, LEAST = 3, 0.7
+#: Labelled documents that must hold a bucket for it to be a feature.
+SEEN = 3
+#: Buckets whose slopes are added up together; tasks that hold the documents of the fit.
+_RANGE, _TASKS = 1 << 14, 12
 _PART = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
 _COUNTS = pa.schema([("bucket", pa.int32()), ("clean", pa.int64()), ("toxic", pa.int64())])
 _FEATURES = pa.schema([("toxic", pa.int32()), ("buckets", pa.list_(pa.int32()))])
+_SLOPES = pa.schema([("range", pa.int32()), ("slopes", pa.binary())])
 _SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
 
 
@@ -98,36 +105,87 @@ def _features(telling: np.ndarray):
     return of
 
 
-def fit_weights(buckets: np.ndarray, starts: np.ndarray, toxic: np.ndarray, ratios: np.ndarray, rounds: int = 120, ridge: float = 0.01) -> tuple[np.ndarray, float]:
-    """Weights by bucket (ratios included) and intercept of a ridge logistic regression.
-
-    `buckets` holds the features of all documents one after the other, `starts` where each document's begin.
-    """
-    marked = np.zeros(BUCKETS, bool)
-    marked[buckets] = True
-    used = np.flatnonzero(marked)
-    places = np.zeros(BUCKETS, np.int32)
-    places[used] = np.arange(len(used), dtype=np.int32)
-    at, scale = places[buckets], ratios[used]
-    doc = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(buckets))))
-    scaled = scale[at].astype(np.float32)
-    spread = float(np.sqrt((scaled.astype(np.float64) ** 2).sum() / len(starts))) or 1.0
-    scaled /= np.float32(spread)
-    weights, share = np.zeros(len(used)), toxic.mean()
-    bias = float(np.log(share / (1 - share)))
-    first, second, bias_first, bias_second = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
-    for step in range(1, rounds + 1):
-        guess = 1 / (1 + np.exp(-np.clip(np.bincount(doc, weights=scaled * weights.astype(np.float32)[at], minlength=len(starts)) + bias, -30, 30)))
-        error = (guess - toxic) / len(toxic)
-        slope = np.bincount(at, weights=scaled * error.astype(np.float32)[doc], minlength=len(used)) + ridge * weights / len(toxic)
-        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
-        bias_first, bias_second = 0.9 * bias_first + 0.1 * error.sum(), 0.999 * bias_second + 0.001 * error.sum() ** 2
-        rate = 0.1 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-        weights -= rate * first / (np.sqrt(second) + 1e-10)
-        bias -= rate * bias_first / (np.sqrt(bias_second) + 1e-10)
-    out = np.zeros(BUCKETS)
-    out[used] = weights * scale / spread
-    return out, bias
+def _slopes(model, whole: bool):
+    """Partial sums of a task: the slope of each bucket and, as range -1, those of bias and loss. With `whole` each document
+    counts once instead of by its error, which gives the number of documents by bucket."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, bias = model.value
+        slopes, ends = np.zeros(BUCKETS), np.zeros(2)
+        for batch in batches:
+            lists, toxic = batch.column("buckets"), batch.column("toxic").to_numpy()
+            flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            logit = np.clip(np.bincount(doc, weights=weights[flat], minlength=len(sizes)) + bias, -30, 30)
+            error = np.ones(len(sizes)) if whole else 1 / (1 + np.exp(-logit)) - toxic
+            slopes += np.bincount(flat, weights=error[doc], minlength=BUCKETS)
+            ends += error.sum(), (np.log1p(np.exp(logit)) - toxic * logit).sum()
+        some = [k for k in range(BUCKETS // _RANGE) if slopes[k * _RANGE:(k + 1) * _RANGE].any()]
+        yield batch_of(_SLOPES, [-1, *some], [ends.tobytes(), *[slopes[k * _RANGE:(k + 1) * _RANGE].tobytes() for k in some]])
+
+    return of
+
+
+def _added(parts: pa.Table) -> pa.Table:
+    """The sums of one range of buckets over all tasks."""
+    total = sum(np.frombuffer(x.as_py()) for x in parts.column("slopes"))
+    return pa.table([parts.column("range").slice(0, 1), pa.array([total.tobytes()], type=pa.binary())], schema=_SLOPES)
+
+
+def _evaluated(features: DataFrame, weights: np.ndarray, bias: float, whole: bool = False) -> tuple[np.ndarray, float, float]:
+    """Slopes by bucket, slope of the bias and loss, each summed over all documents of the fit."""
+    model = features.sparkSession.sparkContext.broadcast((weights, bias))  # 8 MB
+    parts = features.mapInArrow(_slopes(model, whole), "range int, slopes binary")
+    slopes, ends = np.zeros(BUCKETS), np.zeros(2)
+    for row in parts.groupBy("range").applyInArrow(_added, "range int, slopes binary").collect():  # 65 rows
+        found = np.frombuffer(bytes(row["slopes"]))
+        if row["range"] < 0:
+            ends = found
+        else:
+            slopes[row["range"] * _RANGE:(row["range"] + 1) * _RANGE] = found
+    model.unpersist()
+    return slopes, float(ends[0]), float(ends[1])
+
+
+def fit_weights(features: DataFrame, documents: int, toxic: int, ratios: np.ndarray, rounds: int = 30, ridge: float = 0.01,
+                history: int = 6) -> tuple[np.ndarray, float]:
+    """Weights by bucket (ratios included) and intercept of a ridge logistic regression, by L-BFGS."""
+    bias = float(np.log(toxic / (documents - toxic)))
+    held = _evaluated(features, np.zeros(BUCKETS), bias, whole=True)[0]
+    scale = ratios / (float(np.sqrt((held * ratios**2).sum() / documents)) or 1.0)
+
+    def at(point: np.ndarray) -> tuple[float, np.ndarray]:
+        slopes, bias_slope, loss = _evaluated(features, point[:-1] * scale, float(point[-1]))
+        whole = np.append(slopes * scale + ridge * point[:-1], bias_slope) / documents
+        return (loss + ridge / 2 * float((point[:-1] ** 2).sum())) / documents, whole
+
+    point = np.append(np.zeros(BUCKETS), bias)
+    value, slope = at(point)
+    steps: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(rounds):
+        way, kept = slope.copy(), []
+        for move, change, inner in reversed(steps):
+            kept.append(float(move @ way) / inner)
+            way -= kept[-1] * change
+        if steps:
+            way *= steps[-1][2] / float(steps[-1][1] @ steps[-1][1])
+        else:
+            way /= max(1e-12, float(np.linalg.norm(way)))
+        for (move, change, inner), part in zip(steps, reversed(kept)):
+            way += move * (part - float(change @ way) / inner)
+        rate, down = 1.0, float(way @ slope)
+        while True:
+            there = point - rate * way
+            new_value, new_slope = at(there)
+            if new_value <= value - 1e-4 * rate * down or rate < 1e-3:
+                break
+            rate /= 4
+        move, change = there - point, new_slope - slope
+        if new_value >= value or value - new_value < 1e-7 * value:
+            break
+        if float(move @ change) > 1e-12:
+            steps = [*steps[-history + 1:], (move, change, float(move @ change))]
+        point, value, slope = there, new_value, new_slope
+    return point[:-1] * scale, float(point[-1])
 
 
 def scores(docs: DataFrame, labels: DataFrame, held_out: Column, labelled: int = 20_000, fitted: int = 6_000,
@@ -153,16 +211,15 @@ def scores(docs: DataFrame, labels: DataFrame, held_out: Column, labelled: int =
         held[0, counts["bucket"]], held[1, counts["bucket"]] = counts["clean"], counts["toxic"]
         shares = [(held[k] + 1) / (sizes[k] + 2) for k in (0, 1)]
         ratios = np.log(shares[1] / shares[0])
-        telling = (held.sum(axis=0) >= SEEN) & (np.abs(ratios) >= LEAST)
+        telling = held.sum(axis=0) >= SEEN
         few = cut(known.filter("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted // 3).unionByName(
             known.filter("toxic = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted - fitted // 3)))
         sample = texts.join(F.broadcast(few), "doc_id").select("toxic", "text")
-        got = sample.mapInArrow(_features(telling), "toxic int, buckets array<int>").toArrow()  # about `fitted` rows
-        lists = got.column("buckets").combine_chunks()
-        flat, starts = lists.flatten().to_numpy(), lists.offsets.to_numpy()[:-1].astype(np.int64) - lists.offsets[0].as_py()
-        toxic = got.column("toxic").to_numpy().astype(float)
-        if 0 < toxic.mean() < 1:
-            weights, bias = fit_weights(flat, starts, toxic, ratios)
+        # About `fitted` rows, written once for all steps.
+        features = cut(sample.repartition(_TASKS).mapInArrow(_features(telling), "toxic int, buckets array<int>"))
+        taken = {r["toxic"]: r["count"] for r in features.groupBy("toxic").count().collect()}
+        if len(taken) == 2:
+            weights, bias = fit_weights(features, sum(taken.values()), taken[1], ratios * telling)
     if bias is None:
         share = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.0
         bias = 30.0 if share == 1 else float(np.log(share / (1 - share))) if share else None

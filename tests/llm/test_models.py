@@ -324,3 +324,33 @@ def test_decontamination_steps_select(spark):
     found = set(block.indexed_pairs(a, b))
     close = set(zip(*(x.tolist() for x in np.nonzero(np.bitwise_count(a[:, None] ^ b) <= radius))))
     assert close <= found and len(found) < 0.5 * len(a) * len(b)
+
+
+def test_toxicity_equals_a_plain_regression(spark):
+    """Ratios, weights and scores against sets of buckets and plain gradient descent over a dense matrix."""
+    rng = random.Random(9)
+    mild, bad = ["sun", "tree", "river", "stone", "cloud", "bread"], ["grumf", "zlorb", "krasch"]
+    rows = [(k, " ".join(rng.choices(mild, k=6) + (rng.choices(bad, k=rng.randrange(1, 3)) if k % 3 == 0 else [])), int(k % 3 == 0)) for k in range(90)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(500, None), (501, "zlorb river"), (502, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    held = remainder("doc_id", 5) == 0
+    kept = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    sets = lambda t: set(toxicity._hashes(np.frombuffer((t or "").encode(), np.uint8)).tolist())
+    found = [(sets(t), y) for _, t, y in kept]
+    holders = Counter((b, y) for s, y in found for b in s)
+    used = sorted({b for b, _ in holders if holders[b, 0] + holders[b, 1] >= toxicity.SEEN})
+    n = [sum(y == k for _, y in found) for k in (0, 1)]
+    ratio = np.array([math.log((holders[b, 1] + 1) / (n[1] + 2)) - math.log((holders[b, 0] + 1) / (n[0] + 2)) for b in used])
+    dense = np.array([[b in s for b in used] for s, _ in found]) * ratio
+    dense, y = dense / math.sqrt((dense**2).sum() / len(found)), np.array([y for _, y in found])
+    spread = math.sqrt((np.array([[b in s for b in used] for s, _ in found]) * ratio**2).sum() / len(found))
+    w, bias = np.zeros(len(used)), math.log(n[1] / n[0])
+    for _ in range(20_000):
+        error = 1 / (1 + np.exp(-(dense @ w + bias))) - y
+        w -= 0.5 * (dense.T @ error + 0.01 * w) / len(y)
+        bias -= 0.5 * error.mean()
+    want = {i: 1 / (1 + math.exp(-(sum(w[k] * ratio[k] / spread for k, b in enumerate(used) if b in sets(t)) + bias)))
+            for i, t in [tuple(r) for r in df.collect()]}
+    got = {r["doc_id"]: r["score"] for r in toxicity.scores(df, labels, held).collect()}
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in got) < 0.05
+    assert got[501] > 0.5 > max(got[i] for i, _, y in rows if not y)
