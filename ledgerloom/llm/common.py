@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` written once as a table in the shared folder and read from there.
+
+    For rounds of joins: a checkpoint keeps Spark's estimate of its size, which is a product of the sizes joined, so that the
+    number grows twice as long with each round; a table has the size of its files.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Number of shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

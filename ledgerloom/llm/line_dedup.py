@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import SPACES, cut, shuffle_width
+from ledgerloom.llm.common import SPACES, shuffle_width, written
 
 _PLACE = ["doc", "copy", "twin", "pos"]
 _DOC = _PLACE[:3]
@@ -42,7 +42,7 @@ def _ranked(keys: DataFrame, names: list[str]) -> DataFrame:
     parts = keys.repartitionByRange(shuffle_width(keys.sparkSession), *names).withColumn("part", F.spark_partition_id())
     inside = Window.partitionBy("part").orderBy(*names)
     place = F.shiftleft(F.col("part").cast("long"), 40) + F.row_number().over(inside)
-    return cut(parts.select(*names, "first", place.alias("rank")))
+    return written(parts.select(*names, "first", place.alias("rank")))
 
 
 def _shared(suffixes: DataFrame, names: list[str]) -> DataFrame:
@@ -59,14 +59,14 @@ def _ahead(suffixes: DataFrame, step) -> DataFrame:
 def common_prefixes(lines: DataFrame) -> DataFrame:
     """For each suffix that shares lines with an earlier one: its place, `n`, the most lines so shared, and `first`, the place
     of the first suffix that shares them; lines: places and the hashes `h1`, `h2` of the line."""
-    suffixes = cut(lines.join(_ranked(_shared(lines, ["h1", "h2"]), ["h1", "h2"]), ["h1", "h2"]).select(*_PLACE, "rank", "first"))
+    suffixes = written(lines.join(_ranked(_shared(lines, ["h1", "h2"]), ["h1", "h2"]), ["h1", "h2"]).select(*_PLACE, "rank", "first"))
     level, found, halves, ranks = 0, [], [], []
     while not suffixes.isEmpty():
         pairs = suffixes.withColumnRenamed("first", "head").join(_ahead(suffixes, F.lit(1 << level)), _PLACE, "left")
         keys = _shared(pairs, ["rank", "rank2"]).withColumnsRenamed({"rank": "own", "rank2": "further"})
         same = (F.col("rank2") == F.col("further")) & (pairs["rank"] == F.col("own"))
         deeper = _ranked(keys, ["own", "further"]).withColumnRenamed("rank", "deep")
-        split = cut(pairs.join(deeper, same, "left").select(*_PLACE, "rank", "head", "first", "deep"))
+        split = written(pairs.join(deeper, same, "left").select(*_PLACE, "rank", "head", "first", "deep"))
         # One suffix of each part stays in the interval; it has between 2^level and 2^(level + 1) - 1 lines in common there.
         stay = split.filter(F.col("first").isNull() | (F.col("first") == F.struct(*_PLACE))).select(*_PLACE, F.col("head").alias("first"))
         if level:
@@ -96,20 +96,22 @@ def _halved(rows: DataFrame, ranks: DataFrame, rounds: int) -> DataFrame:
         asked = rows.withColumn("middle", F.when(open_, middle)).withColumn(
             "at", F.when(open_, F.col("pos") + F.col("middle") - F.call_function("shiftleft", F.lit(1), F.col("level"))))
         there = ranks.select(*_DOC, F.col("pos").alias("at"), "level", "rank2")
-        asked = cut(asked.join(there, [*_DOC, "at", "level"], "left").drop("at"))
+        asked = written(asked.join(there, [*_DOC, "at", "level"], "left").drop("at"))
         parts = _shared(asked.withColumnRenamed("first", "head"), ["head", "level", "low", "high", "rank2"])
         split = asked.withColumnRenamed("first", "head").join(parts, ["head", "level", "low", "high", "rank2"], "left")
         own = F.struct(*_PLACE)
-        upper = split.filter(F.col("first").isNotNull()).select(*_PLACE, "first", "level", F.col("middle").alias("low"), "high")
-        lower = split.filter(F.col("first").isNull() | (F.col("first") == own)).select(
-            *_PLACE, F.col("head").alias("first"), "level", "low", F.coalesce("middle", "high").alias("high"))
-        rows = cut(upper.unionByName(lower))
+        # A suffix goes on in the part that it shares with others, and as the first of its part in the interval itself.
+        state = lambda first, low, high: F.struct(first.alias("first"), F.col("level"), low.alias("low"), high.alias("high"))
+        goes_on = F.array_compact(F.array(
+            F.when(F.col("first").isNotNull(), state(F.col("first"), F.col("middle"), F.col("high"))),
+            F.when(F.col("first").isNull() | (F.col("first") == own), state(F.col("head"), F.col("low"), F.coalesce("middle", "high")))))
+        rows = written(split.select(*_PLACE, F.explode(goes_on).alias("x")).select(*_PLACE, "x.*"))
     return rows.filter(F.col("first") != F.struct(*_PLACE)).select(*_PLACE, "first", F.col("low").alias("n"))
 
 
 def maximal_runs(lines: DataFrame) -> DataFrame:
     """Later copies of maximal repeated runs: the place of the first line, `n` lines, `first` place of the earliest copy."""
-    runs = cut(common_prefixes(lines))
+    runs = written(common_prefixes(lines))
     inside = runs.select(*_DOC, (F.col("pos") + 1).alias("pos"), (F.col("n") - 1).alias("n"))
     return runs.join(inside, [*_PLACE, "n"], "left_anti")
 
