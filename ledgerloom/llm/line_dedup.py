@@ -21,7 +21,8 @@ suffixes by joins, which Spark splits on hot lines. The one text shuffle joins t
 
 Cases: a null text is an empty one, with a single empty line; a document whose lines all go has an empty text; rows that
 repeat an id are told apart by their text, and of rows equal in both one is the first copy; null ids come last in the
-order; an empty table gives no rows. The lines and the runs of a document are arrays in the last step.
+order; an empty table gives no rows. The lines and the runs of a document are arrays in the last step. A document has at most
+2^24 lines.
 """
 
 from __future__ import annotations
@@ -31,53 +32,58 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import SPACES, shuffle_width, written
 
-_PLACE = ["doc", "copy", "twin", "pos"]
-_DOC = _PLACE[:3]
+_DOC = ["doc", "copy", "twin"]
 #: Stands for a null id, after all others.
 _LAST = (1 << 63) - 1
+#: Bits of a place that hold the line: it is the number of the document in the order, then the line.
+_LINE_BITS = 24
 
 
 def _ranked(keys: DataFrame, names: list[str]) -> DataFrame:
-    """Distinct keys and `first`, with `rank`, their place in order: the range partition, then the place inside it."""
+    """Distinct keys and their other columns with `rank`, their place in order: the range partition, then the place inside it."""
     parts = keys.repartitionByRange(shuffle_width(keys.sparkSession), *names).withColumn("part", F.spark_partition_id())
     inside = Window.partitionBy("part").orderBy(*names)
     place = F.shiftleft(F.col("part").cast("long"), 40) + F.row_number().over(inside)
-    return written(parts.select(*names, "first", place.alias("rank")))
+    return written(parts.select(*keys.columns, place.alias("rank")))
 
 
 def _shared(suffixes: DataFrame, names: list[str]) -> DataFrame:
     """Keys that several suffixes have, with the first of these."""
     known = suffixes.filter(F.col(names[-1]).isNotNull())
-    return known.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_PLACE)).alias("first")).filter("n > 1").drop("n")
+    return known.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).filter("n > 1").drop("n")
 
 
-def _ahead(suffixes: DataFrame, step) -> DataFrame:
-    """Ranks by the place that lies `step` lines before them."""
-    return suffixes.select(*_DOC, (F.col("pos") - step).alias("pos"), F.col("rank").alias("rank2"))
+def _suffixes(lines: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The suffixes whose first line others begin with too: `at`, `rank`, `first`."""
+    keys = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    known = lines.join(_ranked(keys, ["h1", "h2"]), ["h1", "h2"]).join(numbers, _DOC)
+    own = written(known.select((F.shiftleft("number", _LINE_BITS) + F.col("pos")).alias("at"), "rank"))
+    return own.join(own.groupBy("rank").agg(F.min("at").alias("first")), "rank")
 
 
-def common_prefixes(lines: DataFrame) -> DataFrame:
-    """For each suffix that shares lines with an earlier one: its place, `n`, the most lines so shared, and `first`, the place
-    of the first suffix that shares them; lines: places and the hashes `h1`, `h2` of the line."""
-    suffixes = written(lines.join(_ranked(_shared(lines, ["h1", "h2"]), ["h1", "h2"]), ["h1", "h2"]).select(*_PLACE, "rank", "first"))
+def common_prefixes(lines: DataFrame, numbers: DataFrame) -> DataFrame:
+    """For each suffix that shares lines with an earlier one: its place `at`, `n`, the most lines so shared, and `first`, the
+    place of the first suffix that shares them; lines: document, `pos` and the hashes `h1`, `h2` of the line."""
+    suffixes = written(_suffixes(lines, numbers))
     level, found, halves, ranks = 0, [], [], []
     while not suffixes.isEmpty():
-        pairs = suffixes.withColumnRenamed("first", "head").join(_ahead(suffixes, F.lit(1 << level)), _PLACE, "left")
+        ahead = suffixes.select((F.col("at") - (1 << level)).alias("at"), F.col("rank").alias("rank2"))
+        pairs = suffixes.withColumnRenamed("first", "head").join(ahead, "at", "left")
         keys = _shared(pairs, ["rank", "rank2"]).withColumnsRenamed({"rank": "own", "rank2": "further"})
         same = (F.col("rank2") == F.col("further")) & (pairs["rank"] == F.col("own"))
         deeper = _ranked(keys, ["own", "further"]).withColumnRenamed("rank", "deep")
-        split = written(pairs.join(deeper, same, "left").select(*_PLACE, "rank", "head", "first", "deep"))
+        split = written(pairs.join(deeper, same, "left").select("at", "rank", "head", "first", "deep"))
         # One suffix of each part stays in the interval; it has between 2^level and 2^(level + 1) - 1 lines in common there.
-        stay = split.filter(F.col("first").isNull() | (F.col("first") == F.struct(*_PLACE))).select(*_PLACE, F.col("head").alias("first"))
+        stay = split.filter("first IS NULL OR first = at").select("at", F.col("head").alias("first"))
         if level:
-            halves.append(stay.select(*_PLACE, "first", F.lit(level).alias("level"), F.lit(1 << level).alias("low"), F.lit(2 << level).alias("high")))
-            ranks.append(suffixes.select(*_PLACE, "rank", F.lit(level).alias("level")))
+            halves.append(stay.select("at", "first", F.lit(level).alias("level"), F.lit(1 << level).alias("low"), F.lit(2 << level).alias("high")))
+            ranks.append(suffixes.select("at", "rank", F.lit(level).alias("level")))
         else:
-            found.append(stay.filter(F.col("first") != F.struct(*_PLACE)).select(*_PLACE, "first", F.lit(1).alias("n")))
-        suffixes, level = split.filter("deep IS NOT NULL").select(*_PLACE, F.col("deep").alias("rank"), "first"), level + 1
+            found.append(stay.filter("first <> at").select("at", "first", F.lit(1).alias("n")))
+        suffixes, level = split.filter("deep IS NOT NULL").select("at", F.col("deep").alias("rank"), "first"), level + 1
     if halves:
         found.append(_halved(_all(halves), _all(ranks), level - 1))
-    return _all(found) if found else lines.select(*_PLACE, F.struct(*_PLACE).alias("first"), F.lit(1).alias("n")).limit(0)
+    return _all(found) if found else suffixes.select("at", "first", F.lit(1).alias("n"))
 
 
 def _all(frames: list[DataFrame]) -> DataFrame:
@@ -89,31 +95,45 @@ def _all(frames: list[DataFrame]) -> DataFrame:
 
 def _halved(rows: DataFrame, ranks: DataFrame, rounds: int) -> DataFrame:
     """Representatives with the longest prefix that they share with an earlier one of their interval."""
-    node, ranks = ["first", "level", "low", "high"], ranks.withColumnRenamed("rank", "rank2")
+    node, there = ["head", "level", "low", "high"], ranks.select(F.col("at").alias("there"), "level", F.col("rank").alias("rank2"))
     for _ in range(rounds):
         middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-        open_ = F.col("high") - F.col("low") > 1
-        asked = rows.withColumn("middle", F.when(open_, middle)).withColumn(
-            "at", F.when(open_, F.col("pos") + F.col("middle") - F.call_function("shiftleft", F.lit(1), F.col("level"))))
-        there = ranks.select(*_DOC, F.col("pos").alias("at"), "level", "rank2")
-        asked = written(asked.join(there, [*_DOC, "at", "level"], "left").drop("at"))
-        parts = _shared(asked.withColumnRenamed("first", "head"), ["head", "level", "low", "high", "rank2"])
-        split = asked.withColumnRenamed("first", "head").join(parts, ["head", "level", "low", "high", "rank2"], "left")
-        own = F.struct(*_PLACE)
+        asked = rows.withColumn("middle", F.when(F.col("high") - F.col("low") > 1, middle)).withColumn(
+            "there", F.col("at") + F.col("middle") - F.call_function("shiftleft", F.lit(1), F.col("level")))
+        asked = written(asked.join(there, ["there", "level"], "left").drop("there").withColumnRenamed("first", "head"))
+        split = asked.join(_shared(asked, [*node, "rank2"]), [*node, "rank2"], "left")
         # A suffix goes on in the part that it shares with others, and as the first of its part in the interval itself.
         state = lambda first, low, high: F.struct(first.alias("first"), F.col("level"), low.alias("low"), high.alias("high"))
         goes_on = F.array_compact(F.array(
             F.when(F.col("first").isNotNull(), state(F.col("first"), F.col("middle"), F.col("high"))),
-            F.when(F.col("first").isNull() | (F.col("first") == own), state(F.col("head"), F.col("low"), F.coalesce("middle", "high")))))
-        rows = written(split.select(*_PLACE, F.explode(goes_on).alias("x")).select(*_PLACE, "x.*"))
-    return rows.filter(F.col("first") != F.struct(*_PLACE)).select(*_PLACE, "first", F.col("low").alias("n"))
+            F.when(F.col("first").isNull() | (F.col("first") == F.col("at")), state(F.col("head"), F.col("low"), F.coalesce("middle", "high")))))
+        rows = written(split.select("at", F.explode(goes_on).alias("x")).select("at", "x.*"))
+    return rows.filter("first <> at").select("at", "first", F.col("low").alias("n"))
 
 
-def maximal_runs(lines: DataFrame) -> DataFrame:
-    """Later copies of maximal repeated runs: the place of the first line, `n` lines, `first` place of the earliest copy."""
-    runs = written(common_prefixes(lines))
-    inside = runs.select(*_DOC, (F.col("pos") + 1).alias("pos"), (F.col("n") - 1).alias("n"))
-    return runs.join(inside, [*_PLACE, "n"], "left_anti")
+def line_names(texts: DataFrame, text_col: str, prefix: str = "") -> DataFrame:
+    """Documents, `pos` and hashes of all lines."""
+    split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
+    own = texts.select(*[F.col(f"{prefix}{c}").alias(c) for c in _DOC], F.posexplode(split).alias("pos", "line"))
+    return own.select(*_DOC, "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+
+
+def maximal_runs(texts: DataFrame, text_col: str, prefix: str = "") -> DataFrame:
+    """Later copies of maximal repeated runs: document, `pos` of the first line, `n` lines, place of the earliest copy as
+    `first_doc` (an id) and `first_pos`."""
+    lines = line_names(texts, text_col, prefix)
+    numbers = _ranked(texts.select(*[F.col(f"{prefix}{c}").alias(c) for c in _DOC]), _DOC)
+    # The numbers of ranks leave no room for lines: parts and rows of a part take 39 bits together.
+    number = F.shiftleft(F.shiftright("rank", 40), 25) + F.col("rank").bitwiseAND(F.lit((1 << 40) - 1))
+    numbers = numbers.select(*_DOC, number.alias("number"))
+    runs = written(common_prefixes(lines, numbers))
+    inside = runs.select((F.col("at") + 1).alias("at"), (F.col("n") - 1).alias("n"))
+    line = F.lit((1 << _LINE_BITS) - 1)
+    runs = runs.join(inside, ["at", "n"], "left_anti").select(
+        F.shiftright("at", _LINE_BITS).alias("number"), F.col("at").bitwiseAND(line).cast("int").alias("pos"), "n",
+        F.shiftright("first", _LINE_BITS).alias("first_number"), F.col("first").bitwiseAND(line).cast("int").alias("first_pos"))
+    firsts = numbers.select(F.col("number").alias("first_number"), F.col("doc").alias("first_doc"))
+    return runs.join(numbers, "number").join(firsts, "first_number").drop("number", "first_number")
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, prefix: str) -> DataFrame:
@@ -124,13 +144,6 @@ def _named(docs: DataFrame, id_col: str, text_col: str, prefix: str) -> DataFram
     return docs.withColumns({f"{prefix}doc": doc, f"{prefix}copy": copy, f"{prefix}twin": twin})
 
 
-def line_names(texts: DataFrame, text_col: str, prefix: str = "") -> DataFrame:
-    """Places and hashes of all lines."""
-    split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    own = texts.select(*[F.col(f"{prefix}{c}").alias(c) for c in _DOC], F.posexplode(split).alias("pos", "line"))
-    return own.select(*_PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-
-
 def free_prefix(columns: list[str]) -> str:
     """A beginning of names that no column has."""
     prefix = "__"
@@ -145,10 +158,10 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null ids are null again. Whether a run is long enough to go is not asked here.
     """
     only = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    runs = maximal_runs(line_names(_named(only, "id", "text", ""), "text"))
+    runs = maximal_runs(_named(only, "id", "text", ""), "text")
     known = lambda c: F.nullif(c, F.lit(_LAST))
     return runs.select(known(F.col("doc")).alias("doc_id"), F.col("pos").cast("long").alias("start"), F.col("n").cast("long").alias("n_lines"),
-                       known(F.col("first.doc")).alias("first_id"), F.col("first.pos").cast("long").alias("first_start"))
+                       known(F.col("first_doc")).alias("first_id"), F.col("first_pos").cast("long").alias("first_start"))
 
 
 def without_repeats(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text", prefix: str = "__") -> DataFrame:
@@ -158,7 +171,7 @@ def without_repeats(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id",
     """
     p = prefix
     texts = _named(docs, id_col, text_col, p)
-    runs = maximal_runs(line_names(texts, text_col, p))
+    runs = maximal_runs(texts, text_col, p)
     by_doc = runs.groupBy(*_DOC).agg(F.collect_list(F.struct("pos", "n")).alias(f"{p}runs")).withColumnsRenamed({c: f"{p}{c}" for c in _DOC})
     split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
     words = F.transform(f"{p}lines", lambda x: F.size(F.filter(F.split(x, SPACES), lambda w: w != "")))
