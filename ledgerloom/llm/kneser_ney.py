@@ -5,13 +5,13 @@ counts, the three discounts of each order and the context totals are tables; joi
 them into interpolated probabilities and back-off weights, each order using the table of the one below. The model stays in
 tables: neither the driver nor a broadcast holds it.
 
-Documents are dealt into blocks of bounded text. A block names each of its distinct n-grams once; the distinct n-grams of
-all blocks get their probability by joins with the tables, from the shortest up, and go back to the blocks that named them,
+Documents are dealt into blocks of bounded text. A block names each of its distinct n-grams once, with its number in trusted
+documents; those numbers, summed over the blocks, are the counts of the model. The distinct n-grams of all blocks get their probability by joins with the tables, from the shortest up, and go back to the blocks that named them,
 where documents meet them (cogroup). No key of these joins has more rows than there are symbols, or blocks. `train` is the
 same model over the 46 most frequent bytes as one array, small enough to look at; nothing is scored with it.
 
-The trusted documents are those that a label marks; the model learns from at most `trusted` of them (in order of a hash of
-the id), a parameter. The threshold of a language is the `quantile` of the perplexities of all its trusted documents,
+The trusted documents are those that a label marks; the model learns from all of them. A caller may bound that by `trusted`
+(documents in order of a hash of the id). The threshold of a language is the `quantile` of the perplexities of all its trusted documents,
 learnt from or not; a language without any takes the quantile over all trusted documents. A document is kept if its perplexity does not exceed the threshold.
 
 Cases: null and empty texts have no perplexity and are not kept; a null language is a language of its own; without trusted
@@ -29,14 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batch_of, cut, text_slices
+from ledgerloom.llm.common import batch_of, cut, text_slices, written
 from ledgerloom.llm.ppm import Tally
 
 #: Symbols of the array that `train` gives; symbols of the model: the start of a text, then the bytes.
 SYMBOLS, ALPHABET, ORDER = 48, 257, 4
 _EVERY_BYTE = np.arange(1, ALPHABET, dtype=np.uint16)
 _COUNTS = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
-_NAMED = pa.schema([("block", pa.int32()), ("gram", pa.int64())])
+_NAMED = pa.schema([("block", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
 _SCORES = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_bytes", pa.int64()), ("perplexity", pa.float64())])
 
 
@@ -93,8 +93,8 @@ def _interpolated(counts: DataFrame, lower: DataFrame | None, order: int, base:
     return full.select("gram", (own + F.col("back") * F.col("p_below")).alias("p")), contexts.select("context", "back")
 
 
-def tables(trusted: DataFrame, symbol: np.ndarray, base: int) -> list[tuple[DataFrame, DataFrame]] | None:
-    """For each order (gram, p) of the seen n-grams and (context, back) of their contexts; None without text."""
+def counts_of(trusted: DataFrame, symbol: np.ndarray, base: int) -> DataFrame:
+    """(gram, n): how often each n-gram of the highest order stands in the texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally()
         for batch in batches:
@@ -103,7 +103,15 @@ def tables(trusted: DataFrame, symbol: np.ndarray, base: int) -> list[tuple[Data
         keys, n = tally.settle()
         yield batch_of(_COUNTS, keys.view(np.int64), n)
 
-    counted = [cut(trusted.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))]
+    return trusted.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def tables(counts: DataFrame, base: int) -> list[tuple[DataFrame, DataFrame]] | None:
+    """For each order (gram, p) of the seen n-grams and (context, back) of their contexts; None without any.
+
+    ``counts`` has (gram, n) of the highest order.
+    """
+    counted = [cut(counts)]
     if counted[0].isEmpty():
         return None
     for order in range(ORDER - 1, 0, -1):  # below the top, n is the number of different symbols seen before the n-gram
@@ -127,7 +135,7 @@ def train(trusted: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
     frequent = [b for b in np.lexsort((np.arange(256), -held)) if held[b]][:SYMBOLS - 2]
     symbol[frequent] = np.arange(2, 2 + len(frequent))
     dense = np.full(SYMBOLS, 1 / SYMBOLS)
-    for order, (seen, contexts) in enumerate(tables(trusted, symbol, SYMBOLS), 1):
+    for order, (seen, contexts) in enumerate(tables(counts_of(trusted, symbol, SYMBOLS), SYMBOLS), 1):
         p, back = seen.toPandas(), contexts.toPandas()  # at most 48^order rows each
         weight = np.ones(SYMBOLS ** (order - 1))
         weight[back["context"]] = back["back"]
@@ -154,15 +162,20 @@ def log_probabilities(grams: DataFrame, model: list[tuple[DataFrame, DataFrame]]
     return level.select("gram", F.log10("p").alias("value"))
 
 
-def name_grams(block: pa.Table) -> pa.Table:
-    """The distinct n-grams of a block."""
-    tally = Tally()
+def name_grams(block: pa.Table, learnt: pa.Table) -> pa.Table:
+    """The distinct n-grams of a block and how often each stands in the documents that `learnt` lists."""
+    tally, ids = Tally(), learnt.column("id").to_numpy()
     for batch in block.to_batches():
-        for _, data, at in text_slices(batch, "text"):
-            tally.add(_grams(data, at, _EVERY_BYTE, ALPHABET)[0].view(np.uint64), True)
-    keys, _ = tally.settle()
+        own = batch.column("doc_id")
+        learns = np.isin(own.fill_null(0).to_numpy(), ids) & own.is_valid().to_numpy(zero_copy_only=False)
+        for first, data, at in text_slices(batch, "text"):
+            grams, rows = _grams(data, at, _EVERY_BYTE, ALPHABET)
+            taken = learns[first + rows]
+            tally.add(grams[taken].view(np.uint64), True)
+            tally.add(grams[~taken].view(np.uint64), False)
+    keys, n = tally.settle()
     number = block.column("block")[0].as_py() if block.num_rows else 0
-    return pa.table([pa.array(np.full(len(keys), number, np.int32)), pa.array(keys.view(np.int64))], schema=_NAMED)
+    return pa.table([pa.array(np.full(len(keys), number, np.int32)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], schema=_NAMED)
 
 
 def score_block(block: pa.Table, values: pa.Table) -> pa.Table:
@@ -185,22 +198,35 @@ def score_block(block: pa.Table, values: pa.Table) -> pa.Table:
     return pa.Table.from_batches(out, schema=_SCORES)
 
 
-def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]] | None, block_bytes: int = 48 << 20) -> DataFrame:
-    """doc_id, lang, n_bytes, perplexity (for each byte) of whole texts; docs has doc_id, text and lang."""
+def dealt(docs: DataFrame, block_bytes: int = 48 << 20) -> DataFrame:
+    """doc_id, lang, text and block: documents by a hash of id and text, blocks of about `block_bytes`."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    blocks = max(12, math.ceil((docs.agg(F.sum(size).alias("b")).first()["b"] or 0) / block_bytes))
+    return docs.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
+
+
+def named_grams(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(block, gram, n): the distinct n-grams of each block of `dealt` documents, n of them in documents whose id is in `ids`.
+
+    The texts meet no list of ids: the ids go to the blocks of their documents as narrow rows.
+    """
+    learnt = docs.join(ids, "doc_id").select(F.col("block").alias("of"), F.col("doc_id").alias("id")).distinct()
+    texts = docs.select("block", "doc_id", "text").groupBy("block")
+    return texts.cogroup(learnt.groupBy("of")).applyInArrow(name_grams, "block int, gram long, n long")
+
+
+def perplexities(docs: DataFrame, named: DataFrame, model: list[tuple[DataFrame, DataFrame]] | None) -> DataFrame:
+    """doc_id, lang, n_bytes, perplexity (for each byte) of whole texts; of `dealt` documents and their `named` n-grams."""
     if model is None:
+        size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
         return docs.select("doc_id", "lang", size.alias("n_bytes"), F.lit(None).cast("double").alias("perplexity"))
-    blocks = max(12, math.ceil((docs.agg(F.sum(size).alias("b")).first()["b"] or 0) / block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")
-    dealt = docs.select("doc_id", "lang", "text", block)
-    named = cut(dealt.select("block", "text").groupBy("block").applyInArrow(name_grams, "block int, gram long"))
     values = log_probabilities(cut(named.select("gram").distinct()), model, ALPHABET)
     given = named.join(values, "gram").select("block", "gram", "value")
-    return dealt.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(
+    return docs.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(
         score_block, "doc_id long, lang string, n_bytes long, perplexity double")
 
 
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, trusted: int = 50_000, id_col: str = "doc_id",
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, trusted: int | None = None, id_col: str = "doc_id",
             text_col: str = "text", lang_col: str = "lang", label_col: str = "quality") -> DataFrame:
     """One row per document: doc_id, lang, n_bytes, perplexity, threshold, kept."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
@@ -209,9 +235,11 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, trusted:
         labels.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min(F.col(label_col).cast("int")).alias("good"))
         .filter(F.col("doc_id").isNotNull() & (F.col("good") == 1)).select("doc_id")
     )
-    ids = cut(good_ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted))  # for the fit alone
-    model = tables(texts.join(F.broadcast(ids), "doc_id"), _EVERY_BYTE, ALPHABET)
-    scored = cut(perplexities(texts, model))
+    ids = good_ids if trusted is None else cut(good_ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted))
+    blocks = dealt(texts)
+    named = written(named_grams(blocks, ids))
+    model = tables(named.filter("n > 0").groupBy("gram").agg(F.sum("n").alias("n")), ALPHABET)
+    scored = cut(perplexities(blocks, named, model))
     good = scored.join(good_ids, "doc_id").filter(F.col("perplexity").isNotNull())
     at = F.percentile_approx("perplexity", quantile, 10_000)
     by_lang = good.groupBy("lang").agg(at.alias("own"))

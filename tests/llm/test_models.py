@@ -157,6 +157,16 @@ def test_quality_thresholds_come_from_all_trusted_documents(spark):
     assert len(exact) > 1 and all(r["threshold"] == exact[r["lang"]][math.ceil(0.99 * len(exact[r["lang"]])) - 1] for r in rows)
 
 
+def test_quality_learns_from_all_trusted_documents(spark, monkeypatch):
+    """More trusted documents than the 50,000 that the model once learnt from, and the n-grams of each count."""
+    learnt = []
+    monkeypatch.setattr(kneser_ney, "tables", lambda counts, *rest: learnt.append(counts.agg(F.sum("n")).first()[0]))
+    df = spark.range(0, 50_400, 1, 4).select(F.col("id").alias("doc_id"), F.lit("a bc").alias("text"), F.lit("x").alias("lang"))
+    labels = df.select("doc_id", (F.col("doc_id") >= 100).cast("int").alias("quality"))
+    kneser_ney.quality(df, labels)
+    assert learnt == [4 * 50_300]
+
+
 def test_quality_of_odd_documents(spark):
     df = odd_documents(spark)
     labels = spark.createDataFrame([(1, 1, 0), (10, 1, 0), (99, 1, 1), (None, 1, 0), (7, None, None)], "doc_id long, quality int, toxic int")
