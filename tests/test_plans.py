@@ -295,3 +295,18 @@ def test_run_summary(spark):
     assert (row["success_count"], row["failure_count"], row["total_duration_seconds"]) == (1, 1, 3.5)
     assert (row["stock_reports"], row["cash_flow_reports"], row["inventory_reports"], row["attendance_reports"], row["total_files"]) == (1, 1, 1, 1, 3)
     assert [r["job"] for r in quality.failed_jobs(runs).collect()] == ["b"]
+
+
+def test_order_texts_are_joined_after_the_other_shuffles_of_the_lines(spark):
+    """The join with the orders is the last of the order lines: no shuffle of lines carries the texts of an order."""
+    from checks.queries import order_lines
+    from checks.views import erp
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = order_lines(erp(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    joins = [line for line in plan.splitlines() if "Join [" in line]
+    assert "order_id" in joins[0] and any("line_id" in line for line in joins[1:])
