@@ -34,8 +34,8 @@ BITS = 20
 BUCKETS = 1 << BITS
 #: Labelled documents that must hold a bucket for it to be a feature.
 SEEN = 3
-#: Buckets whose slopes are added up together; tasks that hold the documents of the fit.
-_RANGE, _TASKS = 1 << 14, 12
+#: Buckets whose slopes are added up together; tasks that hold the documents of the fit, at most, and documents of a task.
+_RANGE, _TASKS, _TASK_DOCS = 1 << 14, 12, 500
 _PART = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
@@ -142,7 +142,7 @@ def _evaluated(features: DataFrame, weights: np.ndarray, bias: float, whole: boo
             ends = found
         else:
             slopes[row["range"] * _RANGE:(row["range"] + 1) * _RANGE] = found
-    model.unpersist()
+    model.destroy()  # its files go too, on the driver and where the tasks ran: a step leaves nothing on disk
     return slopes, float(ends[0]), float(ends[1])
 
 
@@ -215,8 +215,9 @@ def scores(docs: DataFrame, labels: DataFrame, held_out: Column, labelled: int =
         few = cut(known.filter("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted // 3).unionByName(
             known.filter("toxic = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted - fitted // 3)))
         sample = texts.join(F.broadcast(few), "doc_id").select("toxic", "text")
-        # About `fitted` rows, written once for all steps.
-        features = cut(sample.repartition(_TASKS).mapInArrow(_features(telling), "toxic int, buckets array<int>"))
+        # About `fitted` rows, written once for all steps. Each task adds up to 8 MB of slopes to a step, so few rows go to few.
+        tasks = min(_TASKS, 1 + few.count() // _TASK_DOCS)
+        features = cut(sample.repartition(tasks).mapInArrow(_features(telling), "toxic int, buckets array<int>"))
         taken = {r["toxic"]: r["count"] for r in features.groupBy("toxic").count().collect()}
         if len(taken) == 2:
             weights, bias = fit_weights(features, sum(taken.values()), taken[1], ratios * telling)

@@ -205,6 +205,17 @@ def test_a_long_text_has_the_features_of_its_parts():
     assert whole == set(np.unique(toxicity._hashes(text)).tolist())
 
 
+def test_steps_of_the_fit_leave_no_files(spark):
+    """A step sends the weights as a file of 8 MB; it must be gone when the step is over. Few documents make one task."""
+    from pathlib import Path
+
+    features = spark.createDataFrame([(k % 2, [k % 7, 9 + k % 2]) for k in range(40)], "toxic int, buckets array<int>").coalesce(1)
+    place = Path(spark.sparkContext._temp_dir)
+    before = set(place.rglob("*"))
+    toxicity.fit_weights(features, 40, 20, np.ones(toxicity.BUCKETS), rounds=3)
+    assert not [f for f in set(place.rglob("*")) - before if f.is_file() and f.stat().st_size > 1 << 20]
+
+
 def test_language_on_held_out_texts(spark):
     rows = REGISTRY["op6_language"](spark, LARGER).join(spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "lang"), "doc_id")
     right = rows.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
