@@ -5,16 +5,18 @@ word positions whose residue lies in the cover. Of two equal windows at any two
 cover positions, so windows of `size` words that are equal share an aligned anchor of size - P + 1 words. With P = 21 and
 five residues that is 15 words for a window of 35, and under a quarter of all positions are hashed.
 
-1. Anchors are sorted by hash; those equal to a neighbour are repeated (an anchor at the edge of a partition counts as
-   repeated too, which only costs a comparison later).
+1. Anchors are dealt by hash and sorted; those equal to a neighbour are repeated (an anchor at the edge of a partition counts
+   as repeated too, which only costs a comparison later). Anchors that a sample of documents holds often are repeated for
+   certain and are dealt over all partitions. The sample only spreads them; which anchors are repeated is decided over all.
 2. Repeated anchors are extended: each window that holds one is hashed whole (96 bits over 64-bit word hashes). The
    windows are sorted the same way, and equal neighbours are repeated windows. A group that meets the edge of a partition
    is settled with the edges of all partitions, two groups each. Of texts that are equal as a whole (128 bits) all windows
    are repeated, and the first of them alone stands for them here.
 3. Words covered by a repeated window are removed; the others are joined by one space.
 
-Both sorts are range partitions with sampled splitters over (hash, document, position), so that a passage held by a third
-of all documents is spread over many tasks; no task gathers a group, and pairs are never listed.
+Anchors are hashed once, as dealing them needs no splitters. The windows are range partitions with sampled splitters over
+(hash, document, position). So a passage held by a third of all documents is spread over many tasks; no task gathers a large
+group, and pairs are never listed.
 
 Cases: a null text has no words; a text shorter than a window keeps all; rows that repeat an id are told apart by their
 text, and rows equal in both are copies of each other; null ids are rows like any other; an empty table gives no rows;
@@ -37,6 +39,8 @@ from ledgerloom.llm.common import batch_of, cut, shuffle_width
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 #: Word hashes that a worker remembers; beyond it starts anew. It bounds memory and changes no result.
 REMEMBERED = 300_000
+#: Documents whose anchors are counted to find the busy ones, counts that make one, and how many are told to all tasks.
+SAMPLED, BUSY, MOST_BUSY = 10_000, 8, 100_000
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _KEY = "doc_id long, copy int"
 _ANCHORS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("copy", pa.int32()), ("pos", pa.int32())])
@@ -159,9 +163,9 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[
 
 
 def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places of anchors that equal a neighbour or stand at an edge of the partition."""
+    """Places of anchors that are busy, equal a neighbour or stand at an edge of the partition."""
     for part, left, right, first, last in _runs(batches, ["h"]):
-        some = left | right
+        some = left | right | part.column("busy").to_numpy()
         some[0] |= first
         some[-1] |= last
         found = part.select(_PLACES.names).filter(pa.array(some)).combine_chunks()
@@ -264,7 +268,12 @@ def without_repeats(docs: DataFrame, size: int = 35, period: int = PERIOD, cover
         return texts.join(places(found), same, how).select("doc_id", "copy", "text", "places")
 
     hashed = texts.mapInArrow(anchors(size, period, cover), "h long, " + _KEY + ", pos int")
-    ordered = hashed.repartitionByRange(parts, "h", "doc_id", "pos").sortWithinPartitions("h")
+    some = min(1.0, SAMPLED / max(1, ids.count()))
+    counted = texts.sample(some, 1).mapInArrow(anchors(size, period, cover), "h long, " + _KEY + ", pos int").groupBy("h").count()
+    busy = cut(counted.filter(F.col("count") >= BUSY).orderBy(F.desc("count"), "h").limit(MOST_BUSY).select(F.col("h").alias("b")))
+    marked = hashed.join(F.broadcast(busy), F.col("h") == F.col("b"), "left").withColumn("busy", F.col("b").isNotNull()).drop("b")
+    slot = F.when(F.col("busy"), F.pmod(F.xxhash64("doc_id", "pos"), F.lit(parts))).otherwise(0)
+    ordered = marked.repartition(parts, "h", slot).sortWithinPartitions("h")
     matched = ordered.mapInArrow(repeated_anchors, _KEY + ", pos int")
     is_later = F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.col("copy") == F.col("c_copy")) & F.col("later")
     matched = matched.join(copied, is_later, "left_anti")

@@ -70,6 +70,29 @@ def test_windows_of_odd_documents(spark):
         substring.without_repeats(df, 35, 21, (0, 1, 4))
 
 
+def test_anchors_are_hashed_once(spark, tmp_path, monkeypatch):
+    """Dealing the anchors must not hash all texts a second time; busy anchors are found and nothing is lost."""
+    calls, plain = str(tmp_path / "calls"), substring.anchors
+
+    def noted(*args):
+        of = plain(*args)
+
+        def run(batches):
+            for batch in batches:
+                with open(calls, "a") as file:
+                    file.write(f"{batch.num_rows}\n")
+                yield from of(iter([batch]))
+
+        return run
+
+    monkeypatch.setattr(substring, "anchors", noted)
+    monkeypatch.setattr(substring, "SAMPLED", 4)
+    rows = [(k, " ".join(["own" + str(k), *(f"w{j}" for j in range(60)), str(k)])) for k in range(200)]
+    got = substring.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).drop("kept")
+    assert Counter(tuple(r) for r in got.collect()) == plain_windows(rows, 35)
+    assert sum(map(int, open(calls).read().split())) < 300
+
+
 def plain_runs(rows):
     """For each line, the most lines from it on that also begin earlier, by full comparison; only maximal ones."""
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
