@@ -237,7 +237,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, trusted:
     )
     ids = good_ids if trusted is None else cut(good_ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted))
     blocks = dealt(texts)
-    named = written(named_grams(blocks, ids))
+    named = written(named_grams(blocks, ids), freed=True)
     model = tables(named.filter("n > 0").groupBy("gram").agg(F.sum("n").alias("n")), ALPHABET)
     scored = cut(perplexities(blocks, named, model))
     good = scored.join(good_ids, "doc_id").filter(F.col("perplexity").isNotNull())

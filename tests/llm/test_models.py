@@ -375,3 +375,12 @@ def test_toxicity_equals_a_plain_regression(spark):
     got = {r["doc_id"]: r["score"] for r in toxicity.scores(df, labels, held).collect()}
     assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in got) < 0.05
     assert got[501] > 0.5 > max(got[i] for i, _, y in rows if not y)
+
+
+def test_a_freed_table_leaves_no_shuffle(spark):
+    """The shuffle of a freed frame goes when it is written; the session's setting is as before and its rows are whole."""
+    from ledgerloom.llm import common
+
+    df = spark.range(5_000).repartition(3, "id").groupBy("id").count()
+    before = spark.conf.get(common._CLEANUP, "false")
+    assert common.written(df, freed=True).count() == 5_000 and spark.conf.get(common._CLEANUP, "false") == before
