@@ -250,3 +250,15 @@ def test_bitmaps_count_distinct_values(spark):
     odd = distinct.bit_counts(distinct.merged(bits, [(F.col("k") % 2).alias("odd")]), ["odd"], "n").collect()
     assert {r["odd"]: r["n"] for r in odd} == {r["odd"]: r["n"] for r in df.filter("v <> ''").groupBy((F.col("k") % 2).alias("odd")).agg(
         F.countDistinct("v").alias("n")).collect()}
+
+
+def test_attached_lines_meet_their_headers_last(spark):
+    """Lines found by narrow keys and completed by their headers equal a plain left join."""
+    fact = spark.createDataFrame([(i, None if i % 3 == 0 else i % 5) for i in range(60)], "id int, fk int")
+    lines = spark.createDataFrame([(1, 7, "a"), (2, 8, "b"), (2, 9, "c"), (4, None, "d")], "id int, head int, name string")
+    heads = spark.createDataFrame([(7, "x"), (8, "y"), (8, "z")], "head int, title string")
+    columns = {"name": "line", "title": "of"}
+    want = sorted(joins.look_up(fact, lines.join(heads, "head", "left"), "fk", "d", columns).collect(), key=str)
+    for small in (False, True):
+        got = joins.attach(fact, fact, lines, "fk", "d", columns, small=small, header=heads, header_key="head")
+        assert got.columns == ["id", "fk", "line", "of"] and sorted(got.collect(), key=str) == want
