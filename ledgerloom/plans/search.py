@@ -14,12 +14,11 @@ from ..functions.text import haystack
 from ..operators.ordered import one_per_key, ranked_union, top_n_per_key
 from ..params import SearchPreset
 from ..shared import settled
+from ..sources.sizes import ROW_BYTES, broadcast_limit
 
 UNKNOWN_SENDER = "Desconocido"
 #: White space between words; characters of a gram.
 GAP, GRAM = r"[\x20\x09-\x0D]+", 3
-#: Parts over which the index rows of a word are dealt.
-SLICES = 16
 
 
 def _rows(spark: SparkSession, names: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
@@ -86,11 +85,21 @@ def _grams(c: Column, size: int) -> Column:
 def word_index(rows: DataFrame, text: Column, key: str = "id") -> DataFrame:
     """The inverted index of words: one row (``key``, ``word``) per text and distinct word.
 
-    A word is what white space separates; texts are indexed whole. ``key`` is unique in ``rows``. The rows of a word lie in
-    a few parts, by a slice of the key, so that a word of all texts is no single part.
+    A word is what white space separates; texts are indexed whole. ``key`` is unique in ``rows``. The rows stay where their
+    text is read: they are many times the texts, and of most words only the vocabulary needs to know.
     """
-    words = rows.select(key, F.explode(F.array_distinct(F.split(text, GAP))).alias("word")).filter("word <> ''")
-    return words.repartition("word", F.pmod(F.xxhash64(key), F.lit(SLICES)))
+    return rows.select(key, F.explode(F.array_distinct(F.split(text, GAP))).alias("word")).filter("word <> ''")
+
+
+def indexed_hits(words: DataFrame, matches: DataFrame, key: str = "id") -> DataFrame:
+    """(``key``, term, whole): the texts that hold a matching word; ``matches`` is settled ``word_hits``.
+
+    The matching words are those of the terms, far fewer than the index. Where their measured size fits the broadcast limit
+    they go to the index rows, which are not shuffled; else both meet by the word.
+    """
+    held = matches.agg(F.sum(F.octet_length("word") + F.octet_length("term") + ROW_BYTES)).first()[0] or 0
+    matches = F.broadcast(matches) if held <= broadcast_limit(words) else matches
+    return words.join(matches, "word").select(key, "term", "whole").distinct()
 
 
 def gram_index(words: DataFrame, sizes: Sequence[int] = (GRAM,)) -> DataFrame:
@@ -128,14 +137,12 @@ def term_hits(rows: DataFrame, text: Column, terms: DataFrame, key: str = "id")
 
     A term without white space lies in a text just where it lies in one of its words, so the indexes answer it. Of a term of
     several words the longest finds the candidates, and their texts are compared. A term of white space alone finds nothing.
-    A word of all texts is a skewed key of the last join, which Spark splits.
     """
     words, pieces = word_index(rows, text, key), term_pieces(terms)
     # Pieces shorter than a gram need grams of their own length; most searches have none, and no terms of several words.
     kinds = pieces.select(F.length("piece").alias("n"), (F.col("term") == F.col("piece")).alias("whole")).distinct().collect()
     sizes = (GRAM, *sorted({r["n"] for r in kinds if r["n"] < GRAM}))
-    matches = word_hits(gram_index(words, sizes), pieces)
-    hits = words.join(matches, "word").select(key, "term", "whole").distinct()
+    hits = indexed_hits(words, settled(word_hits(gram_index(words, sizes), pieces)), key)
     if all(r["whole"] for r in kinds):
         return hits.select(key, "term")
     compared = hits.filter("NOT whole").join(rows.select(key, text.alias("_text")), key).filter(F.contains("_text", "term"))

@@ -328,3 +328,23 @@ def test_wide_moves_are_not_shuffled_by_cost_or_creator(spark):
         assert got.count() == want.count() and got.exceptAll(want).isEmpty()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_index_rows_are_not_shuffled(spark):
+    """The matching words go to the index rows; where these are too many, both meet by the word, with the same hits."""
+    rows = spark.createDataFrame([(f"m{i}", f"alpha w{i} {'betaville' if i % 3 else 'x'} end") for i in range(60)], "id string, text string")
+    terms = spark.createDataFrame([("beta",), ("w1",), ("ville end",)], "term string")
+    limit, found = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    try:
+        for most in ("10m", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            hits = search.term_hits(rows, F.col("text"), terms)
+            found.append(sorted(map(tuple, hits.collect())))
+            moved = "hashpartitioning(word" in hits._jdf.queryExecution().sparkPlan().toString() or "RepartitionByExpression" in hits._jdf.queryExecution().optimizedPlan().toString()
+            assert not moved
+            assert ("BroadcastHashJoin [word" in hits._jdf.queryExecution().sparkPlan().toString()) == (most == "10m")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    want = [(f"m{i}", term) for i in range(60) for term in ("beta", "w1", "ville end")
+            if term in f"alpha w{i} {'betaville' if i % 3 else 'x'} end"]
+    assert found == [sorted(want)] * 2
