@@ -14,6 +14,7 @@ from ..functions.text import html_to_lines, localized_nonblank, squash_lines
 from ..operators.groups import list_cell, list_parts
 from ..operators.joins import look_up
 from ..operators.ordered import numbered
+from ..shared import settled
 from ..sources.sizes import fits
 
 HEADER_TEXT = ("bill_number", "vendor_reference", "invoice_origin", "supplier_name", "supplier_phone",
@@ -66,7 +67,8 @@ def bills(t: Mapping[str, DataFrame], as_of: dt.date, *, only_posted: bool = Tru
         F.col("email").alias("supplier_email")), "partner_id")
     df = look_up(df, t["res_currency"], "currency_id", "currency", {"name": "_currency"}, small=fits(t, "res_currency"))
     if orders:
-        found = list_cell(bill_orders(t), ["move_id"], "po_number", "po_numbers", "po_count")
+        # Settled, as a list is read for its values and for their number: the lines meet their orders once.
+        found = list_cell(settled(bill_orders(t)), ["move_id"], "po_number", "po_numbers", "po_count")
         df = look_up(df, found, "id", "orders", {"po_numbers": "po_numbers", "po_count": "po_count"}, key="move_id")
     else:
         df = df.withColumns({"po_numbers": F.lit(None).cast("string"), "po_count": F.lit(None).cast("bigint")})

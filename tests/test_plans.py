@@ -348,3 +348,16 @@ def test_index_rows_are_not_shuffled(spark):
     want = [(f"m{i}", term) for i in range(60) for term in ("beta", "w1", "ville end")
             if term in f"alpha w{i} {'betaville' if i % 3 else 'x'} end"]
     assert found == [sorted(want)] * 2
+
+
+def test_bills_meet_their_orders_once(spark):
+    """The orders of the bills are settled: the list and its number do not join the lines again."""
+    from checks.views import erp
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = payables.bills(erp(spark, "/root/testdata/sf0.001"), DAY)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "purchase_line_id" not in plan
