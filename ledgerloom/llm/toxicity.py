@@ -6,7 +6,8 @@ on the features scaled by these ratios gives the weights. Scoring reads each who
 
 The regression is fitted by L-BFGS. The features of the documents it learns from are written once to the shared folder; each
 step sends the weights to the tasks, which sum the slopes of their documents, and Spark adds up those sums by ranges of
-buckets. So the driver holds weights, slopes and a short history, 2^20 numbers each, however long the texts are.
+features. The buckets that are features are numbered, so the driver holds weights, slopes and a short history with a number
+for each feature, 2^20 at most, however long the texts are.
 
 Bounds, as parameters: the ratios are learnt from at most `labelled` labelled documents (in order of a hash of their id),
 the weights from at most `fitted` of those, up to a third of them toxic, so that the few toxic ones weigh enough. Buckets that
@@ -34,7 +35,7 @@ BITS = 20
 BUCKETS = 1 << BITS
 #: Labelled documents that must hold a bucket for it to be a feature.
 SEEN = 3
-#: Buckets whose slopes are added up together; tasks that hold the documents of the fit, at most, and documents of a task.
+#: Features whose slopes are added up together; tasks that hold the documents of the fit, at most, and documents of a task.
 _RANGE, _TASKS, _TASK_DOCS = 1 << 14, 12, 500
 _PART = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -95,48 +96,50 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _features(telling: np.ndarray):
-    """The buckets of each text that are marked in `telling`."""
+    """The features of each text: the places in `telling`, a sorted list of buckets, of those that it holds."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        present = Present()
+        present, place = Present(), np.full(BUCKETS, -1, dtype=np.int32)
+        place[telling] = np.arange(len(telling), dtype=np.int32)
         for batch in batches:
-            found = [present(text).astype(np.int32) for _, text in _texts(batch)]
-            yield batch_of(_FEATURES, batch.column("toxic"), pa.array([f[telling[f]] for f in found], type=pa.list_(pa.int32())))
+            found = [place[present(text)] for _, text in _texts(batch)]
+            yield batch_of(_FEATURES, batch.column("toxic"), pa.array([f[f >= 0] for f in found], type=pa.list_(pa.int32())))
 
     return of
 
 
 def _slopes(model, whole: bool):
-    """Partial sums of a task: the slope of each bucket and, as range -1, those of bias and loss. With `whole` each document
-    counts once instead of by its error, which gives the number of documents by bucket."""
+    """Partial sums of a task: the slope of each feature and, as range -1, those of bias and loss. With `whole` each document
+    counts once instead of by its error, which gives the number of documents by feature."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = model.value
-        slopes, ends = np.zeros(BUCKETS), np.zeros(2)
+        size = len(weights)
+        slopes, ends = np.zeros(size), np.zeros(2)
         for batch in batches:
             lists, toxic = batch.column("buckets"), batch.column("toxic").to_numpy()
             flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
             doc = np.repeat(np.arange(len(sizes)), sizes)
             logit = np.clip(np.bincount(doc, weights=weights[flat], minlength=len(sizes)) + bias, -30, 30)
             error = np.ones(len(sizes)) if whole else 1 / (1 + np.exp(-logit)) - toxic
-            slopes += np.bincount(flat, weights=error[doc], minlength=BUCKETS)
+            slopes += np.bincount(flat, weights=error[doc], minlength=size)
             ends += error.sum(), (np.log1p(np.exp(logit)) - toxic * logit).sum()
-        some = [k for k in range(BUCKETS // _RANGE) if slopes[k * _RANGE:(k + 1) * _RANGE].any()]
+        some = [k for k in range(-(-size // _RANGE)) if slopes[k * _RANGE:(k + 1) * _RANGE].any()]
         yield batch_of(_SLOPES, [-1, *some], [ends.tobytes(), *[slopes[k * _RANGE:(k + 1) * _RANGE].tobytes() for k in some]])
 
     return of
 
 
 def _added(parts: pa.Table) -> pa.Table:
-    """The sums of one range of buckets over all tasks."""
+    """The sums of one range of features over all tasks."""
     total = sum(np.frombuffer(x.as_py()) for x in parts.column("slopes"))
     return pa.table([parts.column("range").slice(0, 1), pa.array([total.tobytes()], type=pa.binary())], schema=_SLOPES)
 
 
 def _evaluated(features: DataFrame, weights: np.ndarray, bias: float, whole: bool = False) -> tuple[np.ndarray, float, float]:
-    """Slopes by bucket, slope of the bias and loss, each summed over all documents of the fit."""
-    model = features.sparkSession.sparkContext.broadcast((weights, bias))  # 8 MB
+    """Slopes by feature, slope of the bias and loss, each summed over all documents of the fit."""
+    model = features.sparkSession.sparkContext.broadcast((weights, bias))  # 8 MB at most
     parts = features.mapInArrow(_slopes(model, whole), "range int, slopes binary")
-    slopes, ends = np.zeros(BUCKETS), np.zeros(2)
-    for row in parts.groupBy("range").applyInArrow(_added, "range int, slopes binary").collect():  # 65 rows
+    slopes, ends = np.zeros(len(weights)), np.zeros(2)
+    for row in parts.groupBy("range").applyInArrow(_added, "range int, slopes binary").collect():  # 65 rows at most
         found = np.frombuffer(bytes(row["slopes"]))
         if row["range"] < 0:
             ends = found
@@ -148,9 +151,9 @@ def _evaluated(features: DataFrame, weights: np.ndarray, bias: float, whole: boo
 
 def fit_weights(features: DataFrame, documents: int, toxic: int, ratios: np.ndarray, rounds: int = 30, ridge: float = 0.01,
                 history: int = 6) -> tuple[np.ndarray, float]:
-    """Weights by bucket (ratios included) and intercept of a ridge logistic regression, by L-BFGS."""
+    """Weights by feature (ratios included) and intercept of a ridge logistic regression, by L-BFGS."""
     bias = float(np.log(toxic / (documents - toxic)))
-    held = _evaluated(features, np.zeros(BUCKETS), bias, whole=True)[0]
+    held = _evaluated(features, np.zeros(len(ratios)), bias, whole=True)[0]
     scale = ratios / (float(np.sqrt((held * ratios**2).sum() / documents)) or 1.0)
 
     def at(point: np.ndarray) -> tuple[float, np.ndarray]:
@@ -158,7 +161,7 @@ def fit_weights(features: DataFrame, documents: int, toxic: int, ratios: np.ndar
         whole = np.append(slopes * scale + ridge * point[:-1], bias_slope) / documents
         return (loss + ridge / 2 * float((point[:-1] ** 2).sum())) / documents, whole
 
-    point = np.append(np.zeros(BUCKETS), bias)
+    point = np.append(np.zeros(len(ratios)), bias)
     value, slope = at(point)
     steps: list[tuple[np.ndarray, np.ndarray, float]] = []
     for _ in range(rounds):
@@ -207,11 +210,11 @@ def scores(docs: DataFrame, labels: DataFrame, held_out: Column, labelled: int =
     sizes = {r["toxic"]: r["count"] for r in learnt.groupBy("toxic").count().collect()}
     weights, bias = np.zeros(BUCKETS), None
     if len(sizes) == 2:
-        held = np.zeros((2, BUCKETS))
-        held[0, counts["bucket"]], held[1, counts["bucket"]] = counts["clean"], counts["toxic"]
-        shares = [(held[k] + 1) / (sizes[k] + 2) for k in (0, 1)]
+        counts = counts.sort_values("bucket")
+        telling = counts["bucket"].to_numpy()
+        shares = [(counts[name].to_numpy() + 1) / (sizes[k] + 2) for k, name in enumerate(("clean", "toxic"))]
         ratios = np.log(shares[1] / shares[0])
-        telling = held.sum(axis=0) >= SEEN
+        del counts, shares
         few = cut(known.filter("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted // 3).unionByName(
             known.filter("toxic = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted - fitted // 3)))
         sample = texts.join(F.broadcast(few), "doc_id").select("toxic", "text")
@@ -220,7 +223,7 @@ def scores(docs: DataFrame, labels: DataFrame, held_out: Column, labelled: int =
         features = cut(sample.repartition(tasks).mapInArrow(_features(telling), "toxic int, buckets array<int>"))
         taken = {r["toxic"]: r["count"] for r in features.groupBy("toxic").count().collect()}
         if len(taken) == 2:
-            weights, bias = fit_weights(features, sum(taken.values()), taken[1], ratios * telling)
+            weights[telling], bias = fit_weights(features, sum(taken.values()), taken[1], ratios)
     if bias is None:
         share = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.0
         bias = 30.0 if share == 1 else float(np.log(share / (1 - share))) if share else None

@@ -384,3 +384,13 @@ def test_a_freed_table_leaves_no_shuffle(spark):
     df = spark.range(5_000).repartition(3, "id").groupBy("id").count()
     before = spark.conf.get(common._CLEANUP, "false")
     assert common.written(df, freed=True).count() == 5_000 and spark.conf.get(common._CLEANUP, "false") == before
+
+
+def test_the_fit_holds_a_number_for_each_feature(spark, monkeypatch):
+    """The driver's vectors are as long as there are features, not as there are buckets."""
+    seen, plain = [], toxicity._evaluated
+    monkeypatch.setattr(toxicity, "_evaluated", lambda f, weights, *a, **k: seen.append(len(weights)) or plain(f, weights, *a, **k))
+    docs = spark.createDataFrame([(i, "good sun" if i % 2 else "grumf bad") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.scores(docs, labels, remainder("doc_id", 5) == 0).collect()}
+    assert got == {i: 1 - i % 2 for i in range(40)} and seen and max(seen) < 100
