@@ -129,3 +129,11 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
             spark.conf.set(c, v)
         for name in names.values():
             spark.sql(f"DROP TABLE {name}")
+
+
+def test_buckets_grow_with_the_tables(spark):
+    orders, lines = spark.range(400).selectExpr("id"), spark.range(2_000).selectExpr("id", "id % 400 AS order_id")
+    tables, keys = {"purchase_order": orders, "purchase_order_line": lines}, {"purchase_order": "id", "purchase_order_line": "order_id"}
+    assert layout.bucket_count(tables, 8, 100, keys) == 20 and layout.bucket_count(tables, 8, 99, keys) == 21
+    assert layout.bucket_count(tables, 8, keys=keys) == 8
+    assert layout.bucket_count({"purchase_order": orders.limit(0)}, 8, 100, {"purchase_order": "id"}) == 8
