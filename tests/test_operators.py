@@ -111,6 +111,21 @@ def test_list_cells_say_what_they_leave_out(spark):
     assert arrays == {1: ["v00", "v01", "v02"], 2: ["v00", "v01", "v02", "v03", "v04"]}
 
 
+def test_list_cells_join_no_numbers_of_whole_lists(spark):
+    """Lists are not sorted again to meet their number; a missing key has no list, a list of just a part is whole."""
+    links = spark.createDataFrame([(1, "a"), (None, "b"), (2, None), *[(3, f"v{i}") for i in range(5)], *[(4, f"v{i}") for i in range(6)]],
+                                  "k int, v string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        cells = groups.list_cell(links, ["k"], "v", "names", "n", part_size=5)
+        assert "SortMergeJoin" not in cells._jdf.queryExecution().sparkPlan().toString()
+        assert {r["k"]: (r["n"], r["names"]) for r in cells.collect()} == {
+            1: (1, "a"), 3: (5, "v0, v1, v2, v3, v4"), 4: (6, "v0, v1, v2, v3, v4, … +1")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_total_row_and_spread(spark):
     df = spark.createDataFrame([("a", 0, 1), ("a", 2, 5), ("b", 0, 2), (None, 0, 4)], "k string, w int, x int")
     columns = groups.spread(F.col("w"), [0, 1, 2], F.col("x"), lambda i, _: f"w{i}")

@@ -361,3 +361,21 @@ def test_bills_meet_their_orders_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "purchase_line_id" not in plan
+
+
+def test_only_lines_invoiced_in_full_meet_bills(erp):
+    """What is open of other lines does not depend on bills: they are summed by order, with no shuffle by their id."""
+    def line(id, order_id, qty, invoiced):
+        return dict(id=id, order_id=order_id, product_qty=qty and D(qty), qty_invoiced=invoiced and D(invoiced), price_unit=D(3), price_total=D(10))
+
+    t = erp(
+        purchase_order_line=[line(1, 1, 2, None), line(2, 1, 2, 1), line(3, 1, 2, 2), line(4, 2, None, 2), line(5, 2, 2, 2), line(5, 2, 2, 2),
+                             line(None, 3, 2, 2), line(7, 4, None, None), line(8, None, 2, 2), dict(id=9, order_id=5)],
+        account_move=[dict(id=m, move_type="in_invoice", state="posted", payment_state="not_paid", amount_residual_signed=D(a)) for m, a in ((1, -70), (2, 40))],
+        account_move_line=[dict(id=n, move_id=m, purchase_line_id=p) for n, (m, p) in enumerate([(1, 1), (1, 2), (1, 3), (2, 3), (2, 4), (2, 5), (1, 8)])])
+    pending = projects.order_pending(t)
+    plan = pending._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["order_id"]: r["pending"] for r in pending.collect()} == {
+        1: D(10 + 3 + 70), 2: D(40 + 40 + 40), 3: D(0), 4: D(10), None: D(70), 5: None}
+    joins = plan[plan.index("Join LeftOuter"):]
+    assert "price_total" not in joins[:joins.index("LogicalRDD")] and "Union" in plan
