@@ -277,3 +277,33 @@ def test_attached_lines_meet_their_headers_last(spark):
     for small in (False, True):
         got = joins.attach(fact, fact, lines, "fk", "d", columns, small=small, header=heads, header_key="head")
         assert got.columns == ["id", "fk", "line", "of"] and sorted(got.collect(), key=str) == want
+
+
+def shuffled_with(plan, column):
+    """The shuffles of a plan that carry a column."""
+    plan = plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    kids = [plan.children().apply(i) for i in range(plan.children().size())]
+    own = plan.nodeName() == "Exchange" and f"{column}#" in plan.output().toString()
+    return sum((shuffled_with(k, column) for k in kids), int(own))
+
+
+def test_wide_rows_are_shuffled_once_for_two_dimensions(spark):
+    """Pairs go to the dimensions instead of the wide rows, with the rows of plain joins where keys repeat or are missing."""
+    fact = spark.createDataFrame([(i % 7 or None, i % 5 or None, i % 3 or None, f"wide {i % 30}") for i in range(80)],
+                                 "order_id int, a int, b int, text string")
+    one = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (4, None), (None, "z")], "a int, first string")
+    two = spark.createDataFrame([(1, "p"), (1, "q"), (None, "z")], "b int, second string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = joins.join_in_place(fact, fact, one, "order_id", "a")
+        got = joins.join_in_place(got, fact, two, "order_id", "b", "left")
+        plain = fact.filter("order_id is not null").join(one, "a").join(two, "b", "left").select(*got.columns)
+        assert got.columns == ["order_id", "a", "b", "text", "first", "second"]
+        assert sorted(got.collect(), key=str) == sorted(plain.collect(), key=str)
+        assert shuffled_with(got._jdf.queryExecution().executedPlan(), "text") == 1
+        assert shuffled_with(plain._jdf.queryExecution().executedPlan(), "text") == 2
+        small = joins.join_in_place(fact, fact, two, "order_id", "b", "left", small=True)
+        assert sorted(small.collect(), key=str) == sorted(fact.join(two, "b", "left").select(*small.columns).collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -379,3 +379,38 @@ def test_only_lines_invoiced_in_full_meet_bills(erp):
         1: D(10 + 3 + 70), 2: D(40 + 40 + 40), 3: D(0), 4: D(10), None: D(70), 5: None}
     joins = plan[plan.index("Join LeftOuter"):]
     assert "price_total" not in joins[:joins.index("LogicalRDD")] and "Union" in plan
+
+
+ORDER_LINES = dict(
+    res_partner=[dict(id=1, name="P1"), dict(id=2, name="P2")], res_users=[dict(id=5, partner_id=2)], res_currency=[dict(id=2, name="USD")],
+    product_product=[dict(id=7, product_tmpl_id=70, default_code="S")], product_template=[dict(id=70, name="N")],
+    purchase_order=[dict(id=i, name=f"O{i}", state="purchase", partner_id=1, user_id=5 if i == 1 else None) for i in (1, 1, 2)],
+    purchase_order_line=[dict(id=k, order_id=o, product_id=7, name=f"l{k}", product_qty=D(4), qty_received=D(r), qty_invoiced=D(0),
+                              price_unit=D(1), price_total=D(4)) for k, o, r in ((11, 1, 4), (11, 1, 0), (11, 2, 0), (12, 2, 1), (None, 2, 0))],
+    account_move=[dict(id=m, name=f"B{m}", move_type="in_invoice", state="posted", payment_state="partial", amount_residual_signed=D(m))
+                  for m in (31, 32, 32)],
+    account_move_line=[dict(id=n, move_id=m, purchase_line_id=k) for n, (m, k) in enumerate(((31, 11), (31, 11), (32, 11), (32, None), (31, 99)))])
+
+
+def test_order_lines_are_shuffled_once(erp, spark):
+    """Bills and products come to the lines, which are shuffled by their order alone; keys may repeat or be missing."""
+    from test_operators import shuffled_with
+
+    from ledgerloom.plans import purchasing
+
+    t, limit = erp(**ORDER_LINES), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = purchasing.po_lines(t, DAY)
+        assert shuffled_with(lines._jdf.queryExecution().executedPlan(), "line_description") \
+            + shuffled_with(lines._jdf.queryExecution().executedPlan(), "qty_received") == 2  # the one shuffle holds both
+        rows = sorted((r["po_number"], r["line_id"] or 0, r["invoice_count"], r["invoice_number"], r["invoice_unpaid"], r["buyer_name"])
+                      for r in lines.collect())
+        assert rows == sorted([("O1", 11, 2, "B31", D(63), "P2")] * 4 + [("O2", 11, 2, "B31", D(63), "")]
+                              + [("O2", k, 0, "", D(0), "") for k in (0, 12)], key=lambda r: r[:2])
+        waiting = purchasing.po_lines(t, DAY, only_waiting=True)
+        assert waiting.exceptAll(lines.filter("qty_pending_receipt > 0")).isEmpty() and waiting.count() == 5
+        bills = sorted((r["po_number"], r["invoice_number"]) for r in purchasing.po_lines(t, DAY, per_invoice=True).filter("line_id = 11").collect())
+        assert bills == [("O1", "B31")] * 4 + [("O1", "B32")] * 4 + [("O2", "B31"), ("O2", "B32")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
