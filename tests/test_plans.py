@@ -414,3 +414,40 @@ def test_order_lines_are_shuffled_once(erp, spark):
         assert bills == [("O1", "B31")] * 4 + [("O1", "B32")] * 4 + [("O2", "B31"), ("O2", "B32")]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_wide_moves_stay_by_their_id(spark):
+    """Employees come with the creator of a move: after the shuffle by the move no other follows, and lots are shuffled once."""
+    from checks.views import erp
+    from ledgerloom.plans import stock
+    from test_operators import shuffled_with
+
+    t, limit = erp(spark, "/root/testdata/sf0.001"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = stock.stock_movements(t)._jdf.queryExecution().executedPlan()
+        assert shuffled_with(plan, "location_dest_id") == 7  # by product, two places, unit, the move, two warehouses
+        assert shuffled_with(plan, "_creator") == 1 and shuffled_with(plan, "lot_id") == 1
+        assert plan.toString().count("hashpartitioning(_creator#") == 0 and plan.toString().count("hashpartitioning(move_id#") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_bill_lines_are_shuffled_once(erp, spark):
+    """Products come to the lines of a bill; lines without a product, and bills without lines, stay."""
+    from test_operators import shuffled_with
+
+    t = erp(res_partner=[dict(id=1, name="P1")], product_product=[dict(id=7, product_tmpl_id=70, default_code="S")] * 2,
+            product_template=[dict(id=70, name="N")],
+            account_move=[dict(id=m, name=f"B{m}", move_type="in_invoice", state="posted", partner_id=1) for m in (31, 32)],
+            account_move_line=[dict(id=n, move_id=m, product_id=p, name=f"l{n}") for n, (m, p) in enumerate(
+                ((31, 7), (31, 7), (31, None), (31, 8), (None, 7)))])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = payables.vendor_bills(t, payables.bills(t, DAY))
+        assert shuffled_with(lines._jdf.queryExecution().executedPlan(), "price_subtotal") == 1
+        rows = sorted((r["bill_id"], r["line_id"] if r["line_id"] is not None else -1, r["product_name"]) for r in lines.collect())
+        assert rows == [(31, 0, "N"), (31, 0, "N"), (31, 1, "N"), (31, 1, "N"), (31, 2, ""), (31, 3, ""), (32, -1, "")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
