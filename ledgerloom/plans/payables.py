@@ -12,7 +12,7 @@ from ..functions.dates import day, days_overdue
 from ..functions.money import currency_code
 from ..functions.text import html_to_lines, localized_nonblank, squash_lines
 from ..operators.groups import list_cell, list_parts
-from ..operators.joins import look_up
+from ..operators.joins import join_in_place, look_up
 from ..operators.ordered import numbered
 from ..shared import settled
 from ..sources.sizes import fits
@@ -99,16 +99,16 @@ def vendor_bills(t: Mapping[str, DataFrame], headers: DataFrame) -> DataFrame:
         t["product_product"].select("id", "product_tmpl_id", "default_code")
         .join(t["product_template"].select(F.col("id").alias("product_tmpl_id"), F.col("name").alias("_name")),
               "product_tmpl_id", "left")
-        .select("id", squash_lines(localized_nonblank("_name")).alias("product_name"),
+        .select(F.col("id").alias("product_id"), squash_lines(localized_nonblank("_name")).alias("product_name"),
                 squash_lines(F.col("default_code")).alias("product_code"))
     )
     lines = t["account_move_line"].select(
         F.col("id").alias("line_id"), F.col("move_id").alias("bill_id"), squash_lines(F.col("name")).alias("line_label"),
         "display_type", "quantity", "price_unit", "price_subtotal", "price_total",
         squash_lines(F.col("ref")).alias("line_ref"), "sequence", "product_id")
-    lines = look_up(lines, products, "product_id", "product",
-                    {"product_name": "product_name", "product_code": "product_code"},
-                    small=fits(t, "product_product", "product_template")).drop("product_id")
+    # The products come to the lines, which are shuffled once, by their bill.
+    lines = join_in_place(lines, lines, products, "bill_id", "product_id", "left",
+                          small=fits(t, "product_product", "product_template")).drop("product_id")
     return headers.join(lines, "bill_id", "left").na.fill("", list(LINE_TEXT))
 
 
